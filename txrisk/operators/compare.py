@@ -80,18 +80,6 @@ def ttest(
     return _with_p(two_arm_t(score_stats(rows, arm, score), arm, a, b, variant), alpha)
 
 
-def paired_ttest(df: DataFrame, a: str, b: str, alpha: float = ALPHA) -> DataFrame:
-    """t-test of the difference of two scores carried by the same rows."""
-    stats = score_stats(df.select((F.col(a) - F.col(b)).alias("score")))
-    error = F.col("sd") / F.sqrt("n")
-    return _with_p(
-        stats.withColumns(
-            {"t": F.when(error > 0, F.col("mean") / error), "df": (F.col("n") - 1).cast("double")}
-        ),
-        alpha,
-    )
-
-
 def drift_t(
     reference: DataFrame, live: DataFrame, by: str, score: str = "score", variant: str = "damped"
 ) -> DataFrame:
@@ -130,23 +118,6 @@ def top_models(runs: DataFrame, metric: str = AUC_CV, k: int = 2, ascending: boo
     return ranked.orderBy(order, "run_id").limit(k)
 
 
-def _result(df: DataFrame, status: str, first: Row | None, second: Row | None, n: Column) -> DataFrame:
-    def text(row: Row | None, name: str) -> Column:
-        return F.lit(row[name] if row else None).cast("string")
-
-    def number(row: Row | None) -> Column:
-        return F.lit(row["metric"] if row else None).cast("double")
-
-    return df.select(
-        F.lit(status).alias("status"),
-        text(first, "run_id").alias("new_run_id"),
-        text(second, "run_id").alias("current_run_id"),
-        number(first).alias("new_metric"),
-        number(second).alias("current_metric"),
-        n.alias("required_n"),
-    )
-
-
 def compare_models(
     test: DataFrame,
     runs: DataFrame,
@@ -168,59 +139,62 @@ def compare_models(
     difference alone makes it win. ``load`` maps an artifact path to a model.
     """
     spark = test.sparkSession
-    one = spark.range(1)
     if models is None:
         picked = top_models(runs, metric, 2, ascending).collect()
     else:
         known = top_models(runs.where(F.col("run_id").isin(*models)), metric).collect()
         picked = sorted(known, key=lambda r: models.index(r["run_id"]))
-    nothing = F.lit(None)
-    blank = {
-        "n": nothing.cast("bigint"),
-        "t": nothing.cast("double"),
-        "df": nothing.cast("double"),
-        "p": nothing.cast("double"),
-        "direction": nothing.cast("int"),
-        "different": F.lit(False),
-        "best_run_id": nothing.cast("string"),
-    }
-    if len(picked) < 2:
-        first = picked[0] if picked else None
-        return _result(one, "not_enough_models", first, None, nothing.cast("bigint")).withColumns(blank)
-
-    new, current = picked
-    p1, p2 = (F.lit(r["metric"]).cast("double") for r in (current, new))
-    needed = one.select(required_n(p1, p2).alias("n")).first()["n"]
-    n_col = F.lit(needed).cast("bigint")
-    if needed is None:
-        return _result(one, "equal_metrics", new, current, n_col).withColumns(blank)
-
-    arms = [
-        scored.select(F.lit(name).alias("arm"), score_of(scored, which).alias("score"))
-        for name, scored in (
-            ("new", load(new["artifact_path"]).transform(test)),
-            ("current", load(current["artifact_path"]).transform(test)),
+    new, current = (picked + [None, None])[:2]
+
+    base = spark.range(1)
+    p1, p2 = (F.lit(r["metric"] if r else None).cast("double") for r in (current, new))
+    needed = base.select(required_n(p1, p2).alias("n")).first()["n"]
+    if current is None:
+        status, tested = "not_enough_models", None
+    elif needed is None:
+        status, tested = "equal_metrics", None
+    elif test.count() <= needed:
+        status, tested = "not_enough_samples", None
+    else:
+        status = "compared"
+        arms = [
+            scored.select(F.lit(name).alias("arm"), score_of(scored, which).alias("score"))
+            for name, scored in (
+                ("new", load(new["artifact_path"]).transform(test)),
+                ("current", load(current["artifact_path"]).transform(test)),
+            )
+        ]
+        rows = arms[0].unionByName(arms[1])
+        tested = ttest(rows, "arm", "new", "current", variant=variant, alpha=alpha)
+
+    def known_of(row: Row | None, name: str, kind: str) -> Column:
+        return F.lit(row[name] if row else None).cast(kind)
+
+    if tested is None:
+        tested = base.select(
+            *[F.lit(None).cast("double").alias(c) for c in ("mean_a", "mean_b", "t", "df", "p")],
+            F.lit(None).cast("bigint").alias("n_a"),
+            F.lit(None).cast("int").alias("direction"),
+            F.lit(False).alias("different"),
         )
-    ]
-    tested = ttest(arms[0].unionByName(arms[1]), "arm", "new", "current", variant=variant, alpha=alpha)
-    better = F.lit(not require_better or new["metric"] > current["metric"])
-    enough = F.col("n_a") > n_col
-    head = _result(tested.limit(1), "", new, current, n_col).columns
-    named = {
-        "new_run_id": F.lit(new["run_id"]),
-        "current_run_id": F.lit(current["run_id"]),
-        "new_metric": F.lit(new["metric"]).cast("double"),
-        "current_metric": F.lit(current["metric"]).cast("double"),
-        "required_n": n_col,
-    }
-    full = tested.withColumns(
-        {
-            "status": F.when(enough, "compared").otherwise("not_enough_samples"),
-            **named,
-            "n": F.col("n_a"),
-            "best_run_id": F.when(
-                enough, F.when(F.col("different") & better, new["run_id"]).otherwise(current["run_id"])
-            ),
-        }
+        best = F.lit(None).cast("string")
+    else:
+        better = F.lit(not require_better or new["metric"] > current["metric"])
+        best = F.when(F.col("different") & better, new["run_id"]).otherwise(current["run_id"])
+    return tested.select(
+        F.lit(status).alias("status"),
+        known_of(new, "run_id", "string").alias("new_run_id"),
+        known_of(current, "run_id", "string").alias("current_run_id"),
+        known_of(new, "metric", "double").alias("new_metric"),
+        known_of(current, "metric", "double").alias("current_metric"),
+        F.lit(needed).cast("bigint").alias("required_n"),
+        F.col("n_a").alias("n"),
+        F.col("mean_a").alias("new_mean"),
+        F.col("mean_b").alias("current_mean"),
+        "t",
+        "df",
+        "p",
+        "direction",
+        "different",
+        best.alias("best_run_id"),
     )
-    return full.select(*head, *blank)

@@ -89,9 +89,10 @@ def rolling_stats(
     wanted = [F.col(key).alias(KEY), epoch_seconds(ts).alias(SEC), *inputs]
     rows, own = source.select(*wanted), []
     if history is not None:
-        rows = rows.withColumn(OWN, F.lit(1)).unionByName(
-            history.select(*wanted).withColumn(OWN, F.lit(0))
-        )
+        # Only the keys at hand; AQE broadcasts their list if it is small.
+        keys = source.select(key).distinct()
+        earlier = history.join(keys, key, "left_semi").select(*wanted)
+        rows = rows.withColumn(OWN, F.lit(1)).unionByName(earlier.withColumn(OWN, F.lit(0)))
         own = [F.max(OWN).alias(OWN)]
     slim = rows.groupBy(KEY, SEC).agg(*[c.alias(n) for n, c in _measures(aggs).items()], *own)
 

@@ -53,8 +53,6 @@ FEATURES = [
     "number_of_tx_per_customer_for_30_days",
 ]
 
-FORECAST = "tranaction_id LONG, tx_datetime STRING, prediction DOUBLE, probability ARRAY<DOUBLE>"
-
 # Layout of a forecast text file, matched to the file by position.
 FORECAST_TEXT = "tx_id LONG, datetime STRING, prediction DOUBLE, probability STRING"
 
