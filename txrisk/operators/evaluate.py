@@ -71,11 +71,19 @@ def roc_auc(df: DataFrame, score: str, label: str = "tx_fraud", bins: int = 0) -
     """Area under the ROC curve, equal scores counting half.
 
     ``bins = 0`` is exact; Spark's own default of 1000 down-samples the curve.
-    Rows are first combined per distinct score, then range-sorted.
+    Rows are first counted per distinct score, so that only those are sorted.
     """
-    evaluator = BinaryClassificationEvaluator(
-        rawPredictionCol=score, labelCol=label, metricName="areaUnderROC", numBins=bins
+    counts = (
+        df.select(F.col(score).cast("double").alias("score"), F.col(label).cast("double").alias("label"))
+        .dropna()
+        .groupBy("score", "label")
+        .agg(F.count(F.lit(1)).cast("double").alias("n"))
     )
-    return evaluator.evaluate(
-        df.select(F.col(score), F.col(label).cast("double").alias(label)).dropna()
+    evaluator = BinaryClassificationEvaluator(
+        rawPredictionCol="score",
+        labelCol="label",
+        weightCol="n",
+        metricName="areaUnderROC",
+        numBins=bins,
     )
+    return evaluator.evaluate(counts)

@@ -28,11 +28,11 @@ from pyspark.sql import functions as F
 
 from txrisk.functions.calendar import DAY_SECONDS, epoch_seconds
 
-# 180 + 180 days have fewer than 2**25 seconds, so a total of fractions of 38
-# bits each fits in 63 bits.
-BLOCK_DAYS = 180
+# A block and its look-back of at most another block have fewer than 2**24
+# seconds, so a total of fractions of 38 bits each fits in 63 bits.
+BLOCK_DAYS = 90
 FRACTION = float(1 << 38)
-# Two counts of seconds, each below 2**25, share one BIGINT.
+# Two counts of seconds, each below 2**24, share one BIGINT.
 DOWN = 1 << 32
 
 KEY, SEC, BLOCK, OWN = "__key", "__sec", "__block", "__own"

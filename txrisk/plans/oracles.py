@@ -261,6 +261,7 @@ select tranaction_id, round((tx_amount - a0) / (a1 - a0) + 1e-9, 6) as tx_amount
   round((tx_time_seconds - s0) / (s1 - s0) + 1e-9, 6) as tx_time_seconds,
   round((terminal_id - t0) / (t1 - t0) + 1e-9, 6) as terminal_id, 0.5::double as constant
 from tx, e""",
+        "model_round_trip": f"with {CLEAN} select tranaction_id, tx_fraud, true as same from clean",
         "confusion_matrix": f"with {CELLS} select label, prediction, n from cells",
         "class_metrics": f"with {CELLS} select * from metrics",
         "acceptance": f"""with {CELLS}

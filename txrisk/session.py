@@ -35,6 +35,8 @@ def local_session(cpus: str | int = "*", app: str = "txrisk", **conf: str) -> Sp
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(cores))
+        # Small data still spreads over all cores.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128KB")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )

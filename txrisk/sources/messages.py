@@ -12,6 +12,7 @@ from txrisk.operators.clean import coerce_types
 from txrisk.schema import RAW_COLUMNS, RAW_STRING, REQUIRED_COLUMNS
 from txrisk.sources.raw import number_lines, raw_header
 
+BROKEN = "__broken"
 SCORE_COLUMNS = ["tranaction_id", "tx_datetime", "prediction", "probability"]
 
 
@@ -46,33 +47,46 @@ def decode_messages(messages: DataFrame) -> DataFrame:
     ``reason`` is null for a usable message, else not_json or missing_field (one
     of the seven required fields is absent). Labels are optional.
     """
-    value = F.col("value").cast("string")
-    decoded = messages.select(
-        F.col("key").cast("string").alias("key"),
-        value.alias("value"),
-        F.from_json(value, RAW_STRING).alias("tx"),
-    )
-    row = decoded.select("key", "value", "tx.*")
-    known = F.get_json_object("value", "$").isNotNull() & F.ltrim("value").startswith("{")
-    missing = _any_null(REQUIRED_COLUMNS)
-    return row.withColumn("reason", F.when(~known, "not_json").when(missing, "missing_field"))
+    schema = f"{RAW_STRING}, {BROKEN} STRING"
+    parsed = F.from_json("value", schema, {"columnNameOfCorruptRecord": BROKEN})
+    # inline keeps the parsed row together: plain field access would let the
+    # optimizer repeat the parsing for every field and filter.
+    row = messages.select(
+        F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value")
+    ).select("key", "value", F.inline(F.array(parsed)))
+    is_object = F.coalesce(F.col(BROKEN).isNull() & F.ltrim("value").startswith("{"), F.lit(False))
+    reason = F.when(~is_object, "not_json").when(_any_null(REQUIRED_COLUMNS), "missing_field")
+    return row.withColumn("reason", reason).drop(BROKEN)
 
 
 def _any_null(columns: list[str]) -> Column:
     return reduce(Column.__or__, [F.col(c).isNull() for c in columns])
 
 
-def split_invalid(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(typed valid rows with their key, rejected messages with the reason).
+def check_messages(messages: DataFrame) -> DataFrame:
+    """Decoded, typed rows with ``reason`` null where the message is usable.
 
     Adds the reason unparsable: a required field is there but does not fit its type.
     """
     typed = coerce_types(decode_messages(messages))
     lost = F.when(_any_null(REQUIRED_COLUMNS), "unparsable")
-    marked = typed.withColumn("reason", F.coalesce(F.col("reason"), lost))
-    valid = marked.where(F.col("reason").isNull()).select("key", *RAW_COLUMNS)
-    rejected = marked.where(F.col("reason").isNotNull()).select("key", "value", "reason")
-    return valid, rejected
+    return typed.withColumn("reason", F.coalesce(F.col("reason"), lost))
+
+
+def valid_rows(checked: DataFrame) -> DataFrame:
+    """Typed rows of the usable messages, with their key."""
+    return checked.where(F.col("reason").isNull()).select("key", *RAW_COLUMNS)
+
+
+def rejected_rows(checked: DataFrame) -> DataFrame:
+    """The other messages as they came, with the reason."""
+    return checked.where(F.col("reason").isNotNull()).select("key", "value", "reason")
+
+
+def split_invalid(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(valid rows, rejected messages)."""
+    checked = check_messages(messages)
+    return valid_rows(checked), rejected_rows(checked)
 
 
 def score_fields(scored: DataFrame) -> DataFrame:

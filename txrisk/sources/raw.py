@@ -46,6 +46,7 @@ def number_lines(spark: SparkSession, path: str) -> DataFrame:
     )
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select("file", "block", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("skip"))
-    return lines.join(offsets, ["file", "block"]).select(
+    # One row per block of spark.sql.files.maxPartitionBytes: about 1 MB per TB of text.
+    return lines.join(F.broadcast(offsets), ["file", "block"]).select(
         "file", (F.col("skip") + F.col("id") - F.col("first") + 1).alias("line"), "value"
     )

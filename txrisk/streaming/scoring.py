@@ -13,7 +13,13 @@ from txrisk.functions.scores import probability_array
 from txrisk.operators.clean import clamp_negative
 from txrisk.operators.features import build_features, single_row_features
 from txrisk.schema import RAW_COLUMNS, WINDOW_DAYS
-from txrisk.sources.messages import decode_scores, encode_scores, split_invalid
+from txrisk.sources.messages import (
+    check_messages,
+    decode_scores,
+    encode_scores,
+    rejected_rows,
+    valid_rows,
+)
 from txrisk.sources.tables import append_forecasts, read_if_exists, write_clean
 
 MESSAGE = "key STRING, value STRING, timestamp TIMESTAMP"
@@ -66,13 +72,6 @@ def recent_history(batch: DataFrame, path: str, batch_id: int) -> DataFrame | No
     ).select(*RAW_COLUMNS)
 
 
-def history_features(batch: DataFrame, history: DataFrame | None) -> DataFrame:
-    """``build_features`` for the rows of a batch, given the rows before it."""
-    if history is None:
-        return build_features(batch)
-    return build_features(batch, history=history)
-
-
 def score_batch(
     messages: DataFrame,
     batch_id: int,
@@ -84,13 +83,12 @@ def score_batch(
     quarantine_path: str | None,
 ) -> None:
     """Everything one micro-batch does: validate, clean, derive, score, write."""
-    kept = messages.select("key", "value").persist(StorageLevel.MEMORY_AND_DISK)
+    checked = check_messages(messages).persist(StorageLevel.MEMORY_AND_DISK)
     out = None
     try:
-        valid, rejected = split_invalid(kept)
-        rows = clamp_negative(valid.dropDuplicates())
+        rows = clamp_negative(valid_rows(checked).dropDuplicates())
         if features == "history":
-            out = history_features(rows, recent_history(rows, history_path, batch_id))
+            out = build_features(rows, history=recent_history(rows, history_path, batch_id))
         else:
             out = single_row_features(rows).transform(time_features)
         if model is not None:
@@ -99,18 +97,18 @@ def score_batch(
                 "features", "scaledFeatures", "rawPrediction"
             )
         out = out.persist(StorageLevel.MEMORY_AND_DISK)
-        if quarantine_path:
-            _write_batch(rejected, quarantine_path, batch_id)
         if features_path:
             _write_batch(out, features_path, batch_id)
         if scores_path:
             _write_messages(encode_scores(out), scores_path, batch_id)
         if history_path:
             write_clean(out.select("key", *RAW_COLUMNS), history_path, batch_id)
+        if quarantine_path:
+            _write_batch(rejected_rows(checked), quarantine_path, batch_id)
     finally:
         if out is not None:
             out.unpersist()
-        kept.unpersist()
+        checked.unpersist()
 
 
 def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
