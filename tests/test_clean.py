@@ -1,0 +1,56 @@
+import datetime as dt
+
+from txrisk.operators.clean import clamp_negative, clean, coerce_types, drop_negative
+from txrisk.schema import RAW_COLUMNS, RAW_STRING, REQUIRED_COLUMNS
+
+GOOD = ("1", "2024-01-05 10:00:00", "7", "3", "9.5", "100", "0", "0", "0")
+
+
+def rows(spark, *changes):
+    base = dict(zip(RAW_COLUMNS, GOOD))
+    return spark.createDataFrame([tuple((base | c)[n] for n in RAW_COLUMNS) for c in changes], RAW_STRING)
+
+
+def test_values_that_do_not_parse_become_null(spark):
+    df = coerce_types(
+        rows(
+            spark,
+            {"terminal_id": "Err"},
+            {"tx_datetime": "2024-01-05 24:00:00"},
+            {"customer_id": "99999999999"},
+            {"tx_amount": "x"},
+        )
+    )
+    got = df.collect()
+    assert got[0]["terminal_id"] is None
+    assert got[1]["tx_datetime"] is None
+    assert got[2]["customer_id"] is None
+    assert got[3]["tx_amount"] is None
+    assert got[0]["tx_datetime"] == dt.datetime(2024, 1, 5, 10)
+
+
+def test_whole_decimals_count_as_integers(spark):
+    got = coerce_types(rows(spark, {"terminal_id": "178.0"}, {"terminal_id": " 5 "}, {"terminal_id": "5x"}))
+    assert [r["terminal_id"] for r in got.collect()] == [178, 5, None]
+
+
+def test_clean_drops_incomplete_and_repeated_rows(spark):
+    df = rows(spark, {}, {}, {"tx_fraud": None}, {"terminal_id": "Err", "tranaction_id": "2"}, {"tx_amount": "NaN"})
+    assert clean(df).count() == 1
+    # Without labels being required the unlabelled row stays.
+    assert clean(df, REQUIRED_COLUMNS).count() == 2
+
+
+def test_duplicates_are_dropped_before_clamping(spark):
+    df = rows(spark, {"customer_id": "-1"}, {"customer_id": "-2"}, {"customer_id": "-2"})
+    got = clean(df).collect()
+    assert [r["customer_id"] for r in got] == [0, 0]
+    assert clean(df, invalid_keys="drop").count() == 0
+
+
+def test_clamp_keeps_null_type_and_amount(spark):
+    df = spark.createDataFrame([(-1, -5.0), (None, 2.0)], "customer_id INT, tx_amount DOUBLE")
+    got = clamp_negative(df, ["customer_id"])
+    assert got.schema["customer_id"].dataType.typeName() == "integer"
+    assert [tuple(r) for r in got.collect()] == [(0, -5.0), (None, 2.0)]
+    assert drop_negative(df, ["tx_amount"]).count() == 1

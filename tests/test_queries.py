@@ -1,0 +1,56 @@
+"""Each query against its SQL on the smallest tables."""
+
+import os
+import sys
+
+import duckdb
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+import __spark_entry__ as entry_points  # noqa: E402
+
+SF_DIR = "/root/testdata/sf0.001"
+QUERIES, ORACLE = entry_points.queries(), entry_points.oracle_sql()
+KINDS = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for name in os.listdir(SF_DIR):
+        con.execute(f"create view {name.removesuffix('.parquet')} as select * from '{SF_DIR}/{name}'")
+    return con
+
+
+def comparable(rows, names):
+    return sorted(tuple("\0" if r[n] is None else str(r[n] + 0.0 if isinstance(r[n], float) else r[n]) for n in names) for r in rows)
+
+
+def test_every_oracle_has_a_query():
+    assert not set(ORACLE) - set(QUERIES)
+    # No SQL counterpart: trained models, sampling and Student's t probabilities.
+    assert set(QUERIES) - set(ORACLE) == {
+        "compare_models",
+        "cv_grid",
+        "daily_drift_flags",
+        "gbt_scores",
+        "sample_rows",
+        "stream_model_scores",
+        "ttest_p_value",
+    }
+
+
+@pytest.mark.parametrize("name", sorted(set(ORACLE) - {"model_round_trip"}))
+def test_query_matches_its_sql(spark, duck, name):
+    df = QUERIES[name](spark, SF_DIR)
+    result = duck.execute(ORACLE[name])
+    types = {d[0]: str(d[1]) for d in result.description}
+    want = [dict(zip(types, r)) for r in result.fetchall()]
+    assert {n: KINDS[t] for n, t in df.dtypes} == types
+    names = sorted(types)
+    assert want and comparable([r.asDict() for r in df.collect()], names) == comparable(want, names)
+
+
+def test_entry(spark):
+    assert entry_points.entry(spark).count() == 949
