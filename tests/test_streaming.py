@@ -7,7 +7,13 @@ from txrisk.operators.features import feature_table
 from txrisk.schema import RAW_STRING, REQUIRED_COLUMNS
 from txrisk.sources.messages import encode_scores, to_messages
 from txrisk.sources.tables import read_forecasts
-from txrisk.streaming.scoring import persist_scores, read_tx_stream, score_batch, score_stream
+from txrisk.streaming.scoring import (
+    persist_scores,
+    read_tx_stream,
+    recent_history,
+    score_batch,
+    score_stream,
+)
 
 from test_sources import SAMPLE, scored
 
@@ -49,6 +55,27 @@ def test_history_features_equal_the_batch_job(spark, tmp_path):
     assert rejected.count() == df.where("terminal_id = 'Err'").count()
 
 
+def test_whole_days_come_from_totals(spark, tmp_path):
+    """Forty days of rows, then single later days: windows reach into stored totals."""
+    rows = []
+    for i in range(400):
+        day, minute = divmod(i * 144, 1440)
+        at = f"2024-{1 + day // 31:02}-{1 + day % 31:02} {minute // 60:02}:{minute % 60:02}:00"
+        rows.append((str(i), at, str(i % 3), str(i % 2), str(i * 1.25), str(i), "0", str(int(i % 5 == 0)), "0"))
+    df = spark.createDataFrame(rows, RAW_STRING)
+    history, out = str(tmp_path / "h"), str(tmp_path / "out")
+    cuts = ["2024-01-01", "2024-02-04", "2024-02-05", "2024-02-09", "2025"]
+    for batch_id, (lo, hi) in enumerate(zip(cuts, cuts[1:])):
+        part = df.where((F.col("tx_datetime") >= lo) & (F.col("tx_datetime") < hi))
+        score_batch(to_messages(part), batch_id, None, "history", history, None, out, None)
+    compare(spark.read.parquet(out), feature_table(df))
+    batch = df.where("tx_datetime >= '2024-02-09 12:00:00'").select(F.col("tx_datetime").cast("timestamp"))
+    found = recent_history(batch, history, 9)
+    days = {r[0] for r in found["history"].select(F.to_date("tx_datetime").cast("string")).distinct().collect()}
+    assert days == {"2024-02-09", "2024-02-08", "2024-02-02", "2024-01-10"}
+    assert found["customer_totals"].select("day").distinct().count() == 27
+
+
 def test_a_repeated_batch_counts_once(spark, tmp_path):
     history, out = str(tmp_path / "h"), str(tmp_path / "out")
     df = transactions(spark, 60)

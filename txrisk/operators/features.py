@@ -59,12 +59,23 @@ def single_row_features(df: DataFrame, days: Sequence[int] = WINDOW_DAYS) -> Dat
     return df.withColumns(columns)
 
 
-def build_features(df: DataFrame, history: DataFrame | None = None, delay_days: int = 0) -> DataFrame:
-    """All 17 derived columns on already clean rows."""
+def build_features(
+    df: DataFrame,
+    history: DataFrame | None = None,
+    delay_days: int = 0,
+    customer_totals: DataFrame | None = None,
+    terminal_totals: DataFrame | None = None,
+) -> DataFrame:
+    """All 17 derived columns on already clean rows.
+
+    Rows of ``history`` and the daily totals count in the windows as well.
+    """
     terminals = rolling_stats(
-        df, "terminal_id", "tx_datetime", WINDOW_DAYS, TERMINAL_AGGS, history, delay_days
+        df, "terminal_id", "tx_datetime", WINDOW_DAYS, TERMINAL_AGGS, history, delay_days, terminal_totals
+    )
+    customers = rolling_stats(
+        df, "customer_id", "tx_datetime", WINDOW_DAYS, CUSTOMER_AGGS, history, 0, customer_totals
     )
-    customers = rolling_stats(df, "customer_id", "tx_datetime", WINDOW_DAYS, CUSTOMER_AGGS, history)
     # Both read the clean rows, not each other's result, so that these rows are
     # computed once and their exchange is shared.
     return (

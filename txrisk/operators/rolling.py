@@ -39,15 +39,26 @@ KEY, SEC, BLOCK, OWN = "__key", "__sec", "__block", "__own"
 
 
 def _measures(aggs: dict[str, tuple[str, str]]) -> dict[str, Column]:
-    """Per-second aggregates needed for ``aggs``, by internal name."""
+    """What one row adds to each total needed for ``aggs``, by internal name."""
     out: dict[str, Column] = {}
     for func, column in aggs.values():
-        out[f"n_{column}"] = F.count(F.lit(1) if column == "*" else column)
+        if column == "*":
+            out["n_"] = F.lit(1).cast("bigint")
+            continue
+        out[f"n_{column}"] = F.col(column).isNotNull().cast("bigint")
         if func in ("sum", "avg"):
-            out[f"s_{column}"] = F.sum(column)
+            out[f"s_{column}"] = F.col(column)
     return out
 
 
+def daily_totals(df: DataFrame, key: str, ts: str, aggs: dict[str, tuple[str, str]]) -> DataFrame:
+    """Totals per key and UTC day, from which ``rolling_stats`` can take whole days."""
+    measures = _measures(aggs)
+    day = F.floor(epoch_seconds(ts) / F.lit(DAY_SECONDS)).alias("day")
+    rows = df.select(key, day, *[c.alias(n) for n, c in measures.items()])
+    return rows.groupBy(key, "day").agg(*[F.sum(n).alias(n) for n in measures])
+
+
 def _exact_parts(column: str) -> dict[str, Column]:
     """A per-second DOUBLE sum as units, fraction and non-finite flags."""
     s = F.col(f"s_{column}")
@@ -74,27 +85,43 @@ def rolling_stats(
     aggs: dict[str, tuple[str, str]],
     history: DataFrame | None = None,
     delay_days: int = 0,
+    totals: DataFrame | None = None,
 ) -> DataFrame:
     """One row per (key, second) of ``source`` with its rolling aggregates.
 
     The result has the columns ``key``, ``__sec`` and one per (window, output).
-    See ``rolling_range`` for the arguments.
+    ``totals`` (of ``daily_totals``) stand in for earlier rows on days that no
+    window starts or ends in; see ``cut_days``. See ``rolling_range`` for the
+    other arguments.
     """
     look_back = max(days) + delay_days
     if look_back > BLOCK_DAYS:
         raise ValueError(f"windows may reach back {BLOCK_DAYS} days at most")
     delay, block_seconds = delay_days * DAY_SECONDS, BLOCK_DAYS * DAY_SECONDS
 
-    inputs = sorted({c for _, c in aggs.values() if c != "*"})
-    wanted = [F.col(key).alias(KEY), epoch_seconds(ts).alias(SEC), *inputs]
-    rows, own = source.select(*wanted), []
-    if history is not None:
+    measures = _measures(aggs)
+
+    def slim_rows(df: DataFrame, own: int) -> DataFrame:
+        columns = [c.alias(n) for n, c in measures.items()]
+        return df.select(F.col(key).alias(KEY), epoch_seconds(ts).alias(SEC), *columns, F.lit(own).alias(OWN))
+
+    rows = slim_rows(source, 1)
+    with_past = history is not None or totals is not None
+    if with_past:
         # Only the keys at hand; AQE broadcasts their list if it is small.
         keys = source.select(key).distinct()
-        earlier = history.join(keys, key, "left_semi").select(*wanted)
-        rows = rows.withColumn(OWN, F.lit(1)).unionByName(earlier.withColumn(OWN, F.lit(0)))
-        own = [F.max(OWN).alias(OWN)]
-    slim = rows.groupBy(KEY, SEC).agg(*[c.alias(n) for n, c in _measures(aggs).items()], *own)
+    if history is not None:
+        rows = rows.unionByName(slim_rows(history.join(keys, key, "left_semi"), 0))
+    if totals is not None:
+        whole_days = totals.join(keys, key, "left_semi").select(
+            F.col(key).alias(KEY),
+            (F.col("day") * DAY_SECONDS).alias(SEC),
+            *measures,
+            F.lit(0).alias(OWN),
+        )
+        rows = rows.unionByName(whole_days)
+    own = [F.max(OWN).alias(OWN)] if with_past else []
+    slim = rows.groupBy(KEY, SEC).agg(*[F.sum(n).alias(n) for n in measures], *own)
 
     doubles = {
         c
@@ -103,7 +130,7 @@ def rolling_stats(
     }
     for c in doubles:
         slim = slim.withColumns(_exact_parts(c)).drop(f"s_{c}")
-    totals = [n for n in slim.columns if n not in (KEY, SEC, OWN)]
+    summed = [n for n in slim.columns if n not in (KEY, SEC, OWN)]
 
     home = F.floor(F.col(SEC) / F.lit(block_seconds))
     # floor of the quotient and pmod agree for times before 1970 too.
@@ -119,10 +146,10 @@ def rolling_stats(
         return F.coalesce(F.sum(name).over(frame), F.lit(0))
 
     spread = spread.withColumns(
-        {f"now_{n}": running(n, delay) for n in totals}
-        | {f"old{d}_{n}": running(n, delay + d * DAY_SECONDS + 1) for d in days for n in totals}
+        {f"now_{n}": running(n, delay) for n in summed}
+        | {f"old{d}_{n}": running(n, delay + d * DAY_SECONDS + 1) for d in days for n in summed}
     ).where(F.col(BLOCK) == home)
-    if history is not None:
+    if with_past:
         spread = spread.where(F.col(OWN) == 1)
 
     def inside(name: str, d: int) -> Column:
@@ -143,7 +170,7 @@ def rolling_stats(
     out: dict[str, Column] = {}
     for d in days:
         for template, (func, column) in aggs.items():
-            n = inside(f"n_{column}", d)
+            n = inside("n_" if column == "*" else f"n_{column}", d)
             if func == "count":
                 value = n
             elif func == "sum":
@@ -156,6 +183,15 @@ def rolling_stats(
     return spread.select(F.col(KEY).alias(key), SEC, *[c.alias(n) for n, c in out.items()])
 
 
+def cut_days(row_days: Sequence[int], days: Sequence[int], delay_days: int = 0) -> set[int]:
+    """The days in which a window of a row on one of ``row_days`` starts or ends.
+
+    Windows are whole numbers of days long, so that every other day lies fully
+    inside or fully outside of each of them.
+    """
+    return {row - delay_days - back for row in row_days for back in (0, *days)} | set(row_days)
+
+
 def attach_stats(df: DataFrame, key: str, ts: str, stats: DataFrame) -> DataFrame:
     """Add the columns of ``rolling_stats`` to the rows of ``df``."""
     # The statistics grow with the data, so they are never broadcast.

@@ -10,23 +10,18 @@ from txrisk.functions.calendar import date_stamp
 from txrisk.schema import FORECAST_TEXT
 
 
-def write_clean(df: DataFrame, path: str, batch_id: int | None = None) -> None:
+def write_clean(df: DataFrame, path: str) -> None:
     """Write rows partitioned by event date, replacing the partitions they touch.
 
     ``rebalance`` gathers a date into few files and lets AQE cut a large date
-    into several. With ``batch_id`` a date keeps one sub-partition per batch, so
-    that repeating a batch replaces only that batch.
+    into several.
     """
     dated = df.withColumn("tx_date", F.to_date("tx_datetime"))
-    parts = ["tx_date"]
-    if batch_id is not None:
-        dated = dated.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        parts.append("batch_id")
     (
         dated.hint("rebalance", F.col("tx_date"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*parts)
+        .partitionBy("tx_date")
         .parquet(path)
     )
 

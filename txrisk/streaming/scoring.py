@@ -8,10 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from txrisk.functions.calendar import time_features
+from txrisk.functions.calendar import DAY_SECONDS, epoch_seconds, time_features
 from txrisk.functions.scores import probability_array
 from txrisk.operators.clean import clamp_negative
-from txrisk.operators.features import build_features, single_row_features
+from txrisk.operators.features import (
+    CUSTOMER_AGGS,
+    TERMINAL_AGGS,
+    build_features,
+    single_row_features,
+)
+from txrisk.operators.rolling import cut_days, daily_totals
 from txrisk.schema import RAW_COLUMNS, WINDOW_DAYS
 from txrisk.sources.messages import (
     check_messages,
@@ -20,7 +26,7 @@ from txrisk.sources.messages import (
     rejected_rows,
     valid_rows,
 )
-from txrisk.sources.tables import append_forecasts, read_if_exists, write_clean
+from txrisk.sources.tables import append_forecasts, read_if_exists
 
 MESSAGE = "key STRING, value STRING, timestamp TIMESTAMP"
 
@@ -51,25 +57,48 @@ def read_tx_stream(
     return stream
 
 
-def recent_history(batch: DataFrame, path: str, batch_id: int) -> DataFrame | None:
-    """Stored rows that windows of this batch can reach, for the keys it holds.
+ROWS, CUSTOMERS, TERMINALS = "rows", "customers", "terminals"
+
+
+def recent_history(batch: DataFrame, path: str, batch_id: int) -> dict[str, DataFrame]:
+    """What earlier batches stored and windows of this batch can reach.
 
-    Reaches back from the oldest row of the batch, not from now, and leaves out
-    what an earlier attempt at the same batch wrote.
+    Single rows are read only for the days in which some window starts or ends:
+    for a batch within one day that is four days. The days between come from the
+    daily totals per key. The range reaches back from the oldest row of the
+    batch, not from now, and leaves out what an earlier attempt at the same
+    batch wrote. The result holds arguments for ``build_features``.
     """
-    stored = read_if_exists(batch.sparkSession, path)
-    if stored is None:
-        return None
-    ends = batch.agg(F.min("tx_datetime").alias("lo"), F.max("tx_datetime").alias("hi")).first()
-    if ends["lo"] is None:
-        return None
-    lo, hi = F.lit(ends["lo"]).cast("timestamp"), F.lit(ends["hi"]).cast("timestamp")
-    first_day = F.date_sub(lo.cast("date"), max(WINDOW_DAYS))
-    return stored.where(
-        (F.col("tx_date") >= first_day)
-        & (F.col("tx_date") <= hi.cast("date"))
-        & (F.col("batch_id") != batch_id)
-    ).select(*RAW_COLUMNS)
+    spark = batch.sparkSession
+    rows = read_if_exists(spark, f"{path}/{ROWS}")
+    if rows is None:
+        return {}
+    day = F.floor(epoch_seconds("tx_datetime") / F.lit(DAY_SECONDS))
+    present = [r["day"] for r in batch.select(day.alias("day")).distinct().collect()]
+    if not present:
+        return {}
+    cut = cut_days(present, WINDOW_DAYS)
+    whole = set(range(min(present) - max(WINDOW_DAYS), max(present))) - cut
+
+    def on(df: DataFrame, days: set[int]) -> DataFrame:
+        return df.where(F.col("day").isin(*days) & (F.col("batch_id") != batch_id))
+
+    found = {"history": on(rows, cut).select(*RAW_COLUMNS)}
+    if whole:
+        found["customer_totals"] = on(spark.read.parquet(f"{path}/{CUSTOMERS}"), whole)
+        found["terminal_totals"] = on(spark.read.parquet(f"{path}/{TERMINALS}"), whole)
+    return found
+
+
+def store_history(rows: DataFrame, path: str, batch_id: int) -> None:
+    """Keep a batch's rows and their daily totals for the batches to come."""
+    day = F.floor(epoch_seconds("tx_datetime") / F.lit(DAY_SECONDS))
+    customers = daily_totals(rows, "customer_id", "tx_datetime", CUSTOMER_AGGS)
+    terminals = daily_totals(rows, "terminal_id", "tx_datetime", TERMINAL_AGGS)
+    _write_batch(customers, f"{path}/{CUSTOMERS}", batch_id, "day")
+    _write_batch(terminals, f"{path}/{TERMINALS}", batch_id, "day")
+    # Last, because recent_history looks for the rows first.
+    _write_batch(rows.select("key", *RAW_COLUMNS, day.alias("day")), f"{path}/{ROWS}", batch_id, "day")
 
 
 def score_batch(
@@ -83,12 +112,15 @@ def score_batch(
     quarantine_path: str | None,
 ) -> None:
     """Everything one micro-batch does: validate, clean, derive, score, write."""
-    checked = check_messages(messages).persist(StorageLevel.MEMORY_AND_DISK)
-    out = None
+    checked, out = check_messages(messages), None
+    with_history = features == "history"
+    several = with_history or bool(quarantine_path)
+    if several:
+        checked = checked.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         rows = clamp_negative(valid_rows(checked).dropDuplicates())
-        if features == "history":
-            out = build_features(rows, history=recent_history(rows, history_path, batch_id))
+        if with_history:
+            out = build_features(rows, **recent_history(rows, history_path, batch_id))
         else:
             out = single_row_features(rows).transform(time_features)
         if model is not None:
@@ -96,28 +128,36 @@ def score_batch(
             out = out.withColumn("probability", probability_array(out)).drop(
                 "features", "scaledFeatures", "rawPrediction"
             )
-        out = out.persist(StorageLevel.MEMORY_AND_DISK)
+        if features_path and scores_path:
+            out = out.persist(StorageLevel.MEMORY_AND_DISK)
         if features_path:
             _write_batch(out, features_path, batch_id)
         if scores_path:
             _write_messages(encode_scores(out), scores_path, batch_id)
-        if history_path:
-            write_clean(out.select("key", *RAW_COLUMNS), history_path, batch_id)
+        if with_history:
+            store_history(rows, history_path, batch_id)
         if quarantine_path:
             _write_batch(rejected_rows(checked), quarantine_path, batch_id)
     finally:
         if out is not None:
             out.unpersist()
-        checked.unpersist()
+        if several:
+            checked.unpersist()
 
 
-def _write_batch(df: DataFrame, path: str, batch_id: int) -> None:
-    """Replace this batch's own partition, so that a repeated batch adds nothing."""
+def _write_batch(df: DataFrame, path: str, batch_id: int, *within: str) -> None:
+    """Replace this batch's own partitions, so that a repeated batch adds nothing.
+
+    ``within`` names columns to partition by first; ``rebalance`` then gathers
+    each of their values into few files.
+    """
+    if within:
+        df = df.hint("rebalance", *[F.col(c) for c in within])
     (
         df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("batch_id")
+        .partitionBy(*within, "batch_id")
         .parquet(path)
     )
 
