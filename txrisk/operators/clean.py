@@ -11,12 +11,11 @@ INTEGRAL = {"int", "bigint"}
 
 
 def _coerced(df: DataFrame, name: str, to: str) -> Column:
-    col = F.col(name)
     if df.schema[name].dataType.typeName() == "string" and to in INTEGRAL:
         # "178.0" stands for 178 in text fields; try_cast alone would reject it.
-        whole = F.regexp_replace(F.trim(col), r"(?<=\d)\.\d*$", "")
-        return F.coalesce(col.try_cast(to), whole.try_cast(to))
-    return col.try_cast(to)
+        whole = rf"regexp_replace(trim(`{name}`), r'(?<=\d)\.\d*$', '')"
+        return F.expr(f"coalesce(try_cast(`{name}` as {to}), try_cast({whole} as {to}))")
+    return F.expr(f"try_cast(`{name}` as {to})")
 
 
 def coerce_types(df: DataFrame, types: dict[str, str] = CLEAN_TYPES) -> DataFrame:

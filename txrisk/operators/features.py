@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from txrisk.functions.calendar import time_features
 from txrisk.operators.clean import clean
@@ -47,16 +46,14 @@ def terminal_features(
 
 def single_row_features(df: DataFrame, days: Sequence[int] = WINDOW_DAYS) -> DataFrame:
     """The rolling columns of a row that knows no other row: a plain projection."""
-    amount, label = F.col("tx_amount").cast("double"), F.col("tx_fraud").cast("bigint")
-    one = F.lit(1).cast("bigint")
     columns = {}
     for d in days:
-        columns[f"number_of_tx_per_terminal_for_{d}_day"] = one
-        columns[f"number_of_fraud_tx_per_terminal_for_{d}_day"] = label
+        columns[f"number_of_tx_per_terminal_for_{d}_day"] = "1L"
+        columns[f"number_of_fraud_tx_per_terminal_for_{d}_day"] = "cast(tx_fraud as bigint)"
     for d in days:
-        columns[f"avg_amount_per_customer_for_{d}_days"] = amount
-        columns[f"number_of_tx_per_customer_for_{d}_days"] = one
-    return df.withColumns(columns)
+        columns[f"avg_amount_per_customer_for_{d}_days"] = "cast(tx_amount as double)"
+        columns[f"number_of_tx_per_customer_for_{d}_days"] = "1L"
+    return df.selectExpr("*", *[f"{text} as {name}" for name, text in columns.items()])
 
 
 def build_features(

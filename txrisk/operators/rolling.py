@@ -23,10 +23,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from txrisk.functions.calendar import DAY_SECONDS, epoch_seconds
+from txrisk.functions.calendar import DAY_SECONDS
 
 # A block and its look-back of at most another block have fewer than 2**24
 # seconds, so a total of fractions of 38 bits each fits in 63 bits.
@@ -35,45 +35,53 @@ FRACTION = float(1 << 38)
 # Two counts of seconds, each below 2**24, share one BIGINT.
 DOWN = 1 << 32
 
-KEY, SEC, BLOCK, OWN = "__key", "__sec", "__block", "__own"
+KEY, SEC, BLOCK, OWN, AT = "__key", "__sec", "__block", "__own", "__at"
 
 
-def _measures(aggs: dict[str, tuple[str, str]]) -> dict[str, Column]:
+def _second(ts: str) -> str:
+    return f"cast(cast(`{ts}` as timestamp) as bigint)"
+
+
+def _measures(aggs: dict[str, tuple[str, str]]) -> dict[str, str]:
     """What one row adds to each total needed for ``aggs``, by internal name."""
-    out: dict[str, Column] = {}
+    out: dict[str, str] = {}
     for func, column in aggs.values():
+        if func not in ("count", "sum", "avg"):
+            raise ValueError(f"unknown rolling function {func!r}")
         if column == "*":
-            out["n_"] = F.lit(1).cast("bigint")
+            out["n_"] = "1L"
             continue
-        out[f"n_{column}"] = F.col(column).isNotNull().cast("bigint")
-        if func in ("sum", "avg"):
-            out[f"s_{column}"] = F.col(column)
+        out[f"n_{column}"] = f"cast(`{column}` is not null as bigint)"
+        if func != "count":
+            out[f"s_{column}"] = f"`{column}`"
     return out
 
 
+def _named(expressions: dict[str, str]) -> list[str]:
+    return [f"{text} as `{name}`" for name, text in expressions.items()]
+
+
+def _sums(names) -> list[Column]:
+    return [F.expr(f"sum(`{n}`) as `{n}`") for n in names]
+
+
 def daily_totals(df: DataFrame, key: str, ts: str, aggs: dict[str, tuple[str, str]]) -> DataFrame:
     """Totals per key and UTC day, from which ``rolling_stats`` can take whole days."""
     measures = _measures(aggs)
-    day = F.floor(epoch_seconds(ts) / F.lit(DAY_SECONDS)).alias("day")
-    rows = df.select(key, day, *[c.alias(n) for n, c in measures.items()])
-    return rows.groupBy(key, "day").agg(*[F.sum(n).alias(n) for n in measures])
+    day = f"floor({_second(ts)} / {DAY_SECONDS}) as day"
+    return df.selectExpr(f"`{key}`", day, *_named(measures)).groupBy(key, "day").agg(*_sums(measures))
 
 
-def _exact_parts(column: str) -> dict[str, Column]:
+def _exact_parts(column: str) -> dict[str, str]:
     """A per-second DOUBLE sum as units, fraction and non-finite flags."""
-    s = F.col(f"s_{column}")
-    up, down = F.lit(float("inf")), F.lit(float("-inf"))
-    finite = ~F.isnan(s) & (s != up) & (s != down)
-    units = F.floor(s)
+    s = f"`s_{column}`"
+    finite = f"not isnan({s}) and abs({s}) < double('Infinity')"
     return {
-        f"units_{column}": F.when(finite, units),
-        f"parts_{column}": F.when(finite, F.round((s - units) * FRACTION).cast("bigint")),
+        f"units_{column}": f"case when {finite} then floor({s}) end",
+        f"parts_{column}": f"case when {finite} then cast(round(({s} - floor({s})) * {FRACTION}D) as bigint) end",
         # NaN counts as both infinities: their sum is NaN again.
-        f"odd_{column}": F.when(finite, 0)
-        .when(F.isnan(s), 1 + DOWN)
-        .when(s == up, 1)
-        .when(s == down, DOWN)
-        .cast("bigint"),
+        f"odd_{column}": f"case when {s} is null or {finite} then 0L when isnan({s}) then {1 + DOWN}L "
+        f"when {s} > 0 then 1L else {DOWN}L end",
     }
 
 
@@ -89,7 +97,7 @@ def rolling_stats(
 ) -> DataFrame:
     """One row per (key, second) of ``source`` with its rolling aggregates.
 
-    The result has the columns ``key``, ``__sec`` and one per (window, output).
+    The result has the columns ``__key``, ``__sec`` and one per (window, output).
     ``totals`` (of ``daily_totals``) stand in for earlier rows on days that no
     window starts or ends in; see ``cut_days``. See ``rolling_range`` for the
     other arguments.
@@ -98,12 +106,12 @@ def rolling_stats(
     if look_back > BLOCK_DAYS:
         raise ValueError(f"windows may reach back {BLOCK_DAYS} days at most")
     delay, block_seconds = delay_days * DAY_SECONDS, BLOCK_DAYS * DAY_SECONDS
-
     measures = _measures(aggs)
 
     def slim_rows(df: DataFrame, own: int) -> DataFrame:
-        columns = [c.alias(n) for n, c in measures.items()]
-        return df.select(F.col(key).alias(KEY), epoch_seconds(ts).alias(SEC), *columns, F.lit(own).alias(OWN))
+        return df.selectExpr(
+            f"`{key}` as {KEY}", f"{_second(ts)} as {SEC}", *_named(measures), f"{own} as {OWN}"
+        )
 
     rows = slim_rows(source, 1)
     with_past = history is not None or totals is not None
@@ -113,74 +121,71 @@ def rolling_stats(
     if history is not None:
         rows = rows.unionByName(slim_rows(history.join(keys, key, "left_semi"), 0))
     if totals is not None:
-        whole_days = totals.join(keys, key, "left_semi").select(
-            F.col(key).alias(KEY),
-            (F.col("day") * DAY_SECONDS).alias(SEC),
-            *measures,
-            F.lit(0).alias(OWN),
+        whole_days = totals.join(keys, key, "left_semi").selectExpr(
+            f"`{key}` as {KEY}",
+            f"day * {DAY_SECONDS} as {SEC}",
+            *[f"`{n}`" for n in measures],
+            f"0 as {OWN}",
         )
         rows = rows.unionByName(whole_days)
     own = [F.max(OWN).alias(OWN)] if with_past else []
-    slim = rows.groupBy(KEY, SEC).agg(*[F.sum(n).alias(n) for n in measures], *own)
+    slim = rows.groupBy(KEY, SEC).agg(*_sums(measures), *own)
 
     doubles = {
         c
         for f, c in aggs.values()
         if f != "count" and source.schema[c].dataType.typeName() in ("double", "float")
     }
-    for c in doubles:
-        slim = slim.withColumns(_exact_parts(c)).drop(f"s_{c}")
-    summed = [n for n in slim.columns if n not in (KEY, SEC, OWN)]
-
-    home = F.floor(F.col(SEC) / F.lit(block_seconds))
+    exact = {n: f"`{n}`" for n in measures if n[2:] not in doubles or n.startswith("n_")}
+    for c in sorted(doubles):
+        exact |= _exact_parts(c)
+    home = f"floor({SEC} / {block_seconds})"
     # floor of the quotient and pmod agree for times before 1970 too.
-    near_end = F.pmod(F.col(SEC), F.lit(block_seconds)) >= block_seconds - look_back * DAY_SECONDS
-    spread = slim.withColumn(
-        BLOCK, F.explode(F.when(near_end, F.array(home, home + 1)).otherwise(F.array(home)))
+    near_end = f"pmod({SEC}, {block_seconds}) >= {block_seconds - look_back * DAY_SECONDS}"
+    spread = slim.selectExpr(
+        KEY,
+        SEC,
+        *([OWN] if with_past else []),
+        *_named(exact),
+        f"explode(case when {near_end} then array({home}, {home} + 1) else array({home}) end) as {BLOCK}",
     )
 
-    line = Window.partitionBy(KEY, BLOCK).orderBy(SEC)
-
-    def running(name: str, seconds_back: int) -> Column:
-        frame = line.rangeBetween(Window.unboundedPreceding, -seconds_back)
-        return F.coalesce(F.sum(name).over(frame), F.lit(0))
+    def running(name: str, seconds_back: int) -> str:
+        end = f"{seconds_back} preceding" if seconds_back else "current row"
+        return (
+            f"coalesce(sum(`{name}`) over (partition by {KEY}, {BLOCK} order by {SEC} "
+            f"range between unbounded preceding and {end}), 0L)"
+        )
 
-    spread = spread.withColumns(
-        {f"now_{n}": running(n, delay) for n in summed}
-        | {f"old{d}_{n}": running(n, delay + d * DAY_SECONDS + 1) for d in days for n in summed}
-    ).where(F.col(BLOCK) == home)
-    if with_past:
-        spread = spread.where(F.col(OWN) == 1)
+    frames = {f"now_{n}": running(n, delay) for n in exact}
+    for d in days:
+        frames |= {f"old{d}_{n}": running(n, delay + d * DAY_SECONDS + 1) for n in exact}
+    kept = f"{BLOCK} = {home} and {OWN} = 1" if with_past else f"{BLOCK} = {home}"
+    spread = spread.selectExpr("*", *_named(frames)).where(kept)
 
-    def inside(name: str, d: int) -> Column:
-        return F.col(f"now_{name}") - F.col(f"old{d}_{name}")
+    def inside(name: str, d: int) -> str:
+        return f"(`now_{name}` - `old{d}_{name}`)"
 
-    def total(column: str, d: int) -> Column:
+    def total(column: str, d: int) -> str:
         if column not in doubles:
             return inside(f"s_{column}", d)
         odd = inside(f"odd_{column}", d)
-        up, down = odd % DOWN > 0, odd >= DOWN
+        value = f"({inside(f'units_{column}', d)} + {inside(f'parts_{column}', d)} / {FRACTION}D)"
         return (
-            F.when(up & down, F.lit(float("nan")))
-            .when(up, F.lit(float("inf")))
-            .when(down, F.lit(float("-inf")))
-            .otherwise(inside(f"units_{column}", d) + inside(f"parts_{column}", d) / F.lit(FRACTION))
+            f"(case when {odd} = 0 then {value} when {odd} % {DOWN}L = 0 then double('-Infinity') "
+            f"when {odd} < {DOWN}L then double('Infinity') else double('NaN') end)"
         )
 
-    out: dict[str, Column] = {}
+    out: dict[str, str] = {}
     for d in days:
         for template, (func, column) in aggs.items():
             n = inside("n_" if column == "*" else f"n_{column}", d)
-            if func == "count":
-                value = n
-            elif func == "sum":
-                value = F.when(n > 0, total(column, d))
-            elif func == "avg":
-                value = F.when(n > 0, total(column, d).cast("double") / n)
-            else:
-                raise ValueError(f"unknown rolling function {func!r}")
-            out[template.format(d=d)] = value
-    return spread.select(F.col(KEY).alias(key), SEC, *[c.alias(n) for n, c in out.items()])
+            out[template.format(d=d)] = {
+                "count": lambda: n,
+                "sum": lambda: f"case when {n} > 0 then {total(column, d)} end",
+                "avg": lambda: f"case when {n} > 0 then cast({total(column, d)} as double) / {n} end",
+            }[func]()
+    return spread.selectExpr(KEY, SEC, *_named(out))
 
 
 def cut_days(row_days: Sequence[int], days: Sequence[int], delay_days: int = 0) -> set[int]:
@@ -194,16 +199,13 @@ def cut_days(row_days: Sequence[int], days: Sequence[int], delay_days: int = 0)
 
 def attach_stats(df: DataFrame, key: str, ts: str, stats: DataFrame) -> DataFrame:
     """Add the columns of ``rolling_stats`` to the rows of ``df``."""
-    # The statistics grow with the data, so they are never broadcast.
-    left, right = df.withColumn(SEC, epoch_seconds(ts)), stats.hint("merge")
-    # Null-safe on the key: null keys form a group, as in a window. It also
+    # The statistics grow with the data, so they are never broadcast. The match
+    # is null-safe on the key: null keys form a group, as in a window. It also
     # keeps Spark from pushing a null filter below the shared input, which
     # would stop the exchange under it from being reused.
-    joined = left.join(
-        right, left[key].eqNullSafe(right[key]) & (left[SEC] == right[SEC]), "left"
-    )
-    added = [right[c] for c in right.columns if c not in (key, SEC)]
-    return joined.select(*[left[c] for c in df.columns], *added)
+    match = F.expr(f"`{key}` <=> {KEY} and {AT} = {SEC}")
+    rows = df.selectExpr("*", f"{_second(ts)} as {AT}")
+    return rows.join(stats.hint("merge"), match, "left").drop(AT, KEY, SEC)
 
 
 def rolling_range(
