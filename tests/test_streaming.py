@@ -76,6 +76,16 @@ def test_whole_days_come_from_totals(spark, tmp_path):
     assert found["customer_totals"].select("day").distinct().count() == 27
 
 
+def test_late_rows_see_only_what_came_before_them_in_time(spark, tmp_path):
+    history, out = str(tmp_path / "h"), str(tmp_path / "out")
+    df = transactions(spark, 60).where("terminal_id <> 'Err'")
+    late, early = df.where("tx_datetime < '2024-01-02'"), df.where("tx_datetime >= '2024-01-02'")
+    for batch_id, part in enumerate((early, late)):
+        score_batch(to_messages(part), batch_id, None, "history", history, None, out, None)
+    got = spark.read.parquet(out).where("tx_datetime < '2024-01-02'")
+    compare(got, feature_table(late))
+
+
 def test_a_repeated_batch_counts_once(spark, tmp_path):
     history, out = str(tmp_path / "h"), str(tmp_path / "out")
     df = transactions(spark, 60)

@@ -123,7 +123,7 @@ def rolling_stats(
     if totals is not None:
         whole_days = totals.join(keys, key, "left_semi").selectExpr(
             f"`{key}` as {KEY}",
-            f"day * {DAY_SECONDS} as {SEC}",
+            f"cast(day as bigint) * {DAY_SECONDS} as {SEC}",
             *[f"`{n}`" for n in measures],
             f"0 as {OWN}",
         )
