@@ -17,7 +17,7 @@ from txrisk.operators.learn import (
     union_snapshots,
     with_class_weight,
 )
-from txrisk.plans.jobs import clean_job, compare_job, daily_drift, refit_job
+from txrisk.plans.jobs import clean_job, compare_job, daily_drift, profile_job, refit_job
 from txrisk.schema import AUC_CV, AUC_TEST, FEATURES, P_VALUE, RAW_COLUMNS, RECALL_TEST
 from txrisk.sources.messages import decode_scores, encode_scores
 from txrisk.sources.runs import load_model, read_runs, save_model
@@ -46,6 +46,17 @@ def table(spark, tmp_path_factory):
     return folder
 
 
+def test_profile_job(spark, table):
+    (table / "raw" / "b.txt").write_text("1,2024-01-01 00:00:00,5,Err,1.5,0,0,0,0\n" * 2)
+    found = profile_job(spark, str(table / "raw"))
+    copies = {r["source_file"]: r["n_duplicates"] for r in found["duplicates"].collect()}
+    assert copies == {"a.txt": 0, "b.txt": 1}
+    gaps = {(r["source_file"], r["column"]): r["n_null"] for r in found["missing"].collect()}
+    assert gaps["b.txt", "terminal_id"] == 2 and gaps["a.txt", "terminal_id"] == 0
+    counts = {(r["source_file"], r["column"]): r["count"] for r in found["numeric"].collect()}
+    assert counts["a.txt", "tx_amount"] == 300 and counts["b.txt", "terminal_id"] == 0
+
+
 def test_class_weight_and_union(spark):
     df = spark.createDataFrame([(1, 0), (2, 1), (3, None)], "id INT, tx_fraud INT")
     assert [r["classWeights"] for r in with_class_weight(df).orderBy("id").collect()] == [1, 5, 1]

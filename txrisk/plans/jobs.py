@@ -12,6 +12,7 @@ from txrisk.operators.compare import compare_models, score_drift
 from txrisk.operators.evaluate import class_metrics, roc_auc
 from txrisk.operators.features import feature_table
 from txrisk.operators.learn import build_pipeline, score, train, tune
+from txrisk.operators.profile import profile_duplicates, profile_missing, profile_numeric
 from txrisk.schema import (
     AUC_CV,
     AUC_TEST,
@@ -28,6 +29,16 @@ from txrisk.sources.tables import read_forecasts, read_snapshots, write_clean
 TRAINING, COMPARISON, DRIFT = "model refit", "model comparison", "score drift"
 
 
+def profile_job(spark: SparkSession, raw_path: str, glob: str = "*.txt") -> dict[str, DataFrame]:
+    """Duplicates, numeric ranges and missing values of each raw file, all files at once."""
+    rows = read_raw(spark, raw_path, glob, source_file=True)
+    return {
+        "duplicates": profile_duplicates(rows, "source_file"),
+        "numeric": profile_numeric(rows, by="source_file"),
+        "missing": profile_missing(rows, "source_file"),
+    }
+
+
 def clean_job(spark: SparkSession, raw_path: str, table_path: str, glob: str = "*.txt") -> DataFrame:
     """Raw text files to the dated feature table; returns the table."""
     write_clean(feature_table(read_raw(spark, raw_path, glob)), table_path)

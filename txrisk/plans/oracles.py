@@ -188,7 +188,7 @@ select 'tx_' || tranaction_id as key, {RAW},"""
     return {
         "read_raw_csv": f"with {DIRTY} select {RAW} from dirty",
         "raw_file_messages": f"with {DIRTY} select {RAW} from dirty",
-        "snapshot_round_trip": f"with {CLEAN} select {RAW}, tx_datetime[:10] as tx_date from clean",
+        "snapshot_roundtrip": f"with {CLEAN} select {RAW}, tx_datetime[:10] as tx_date from clean",
         "choose_snapshots": """select tx_date from (
   select distinct strftime(ts, '%Y-%m-%d') as tx_date from events)
 order by md5('7:' || tx_date) limit 3""",
@@ -232,7 +232,7 @@ select {RAW.replace("customer_id", "greatest(customer_id, 0) as customer_id")} f
         "clean_transactions": f"with {CLEAN} select {RAW} from clean",
         "clean_drop_negative": f"""with {DIRTY}
 select distinct {RAW} from dirty where terminal_id is not null and customer_id >= 0""",
-        "calendar_features": f"""with {TX}
+        "time_features": f"""with {TX}
 select tranaction_id, sec as epoch, strftime(ts, '%Y_%m_%d') as stamp, {_calendar("ts")} from tx""",
         "customer_features": f"with {TX} select {SOME}, {_customer()} from tx",
         "terminal_features": f"with {TX} select {SOME}, {_terminal()} from tx",
@@ -261,7 +261,7 @@ select tranaction_id, round((tx_amount - a0) / (a1 - a0) + 1e-9, 6) as tx_amount
   round((tx_time_seconds - s0) / (s1 - s0) + 1e-9, 6) as tx_time_seconds,
   round((terminal_id - t0) / (t1 - t0) + 1e-9, 6) as terminal_id, 0.5::double as constant
 from tx, e""",
-        "model_round_trip": f"with {CLEAN} select tranaction_id, tx_fraud, true as same from clean",
+        "model_roundtrip": f"with {CLEAN} select tranaction_id, tx_fraud, true as same from clean",
         "confusion_matrix": f"with {CELLS} select label, prediction, n from cells",
         "class_metrics": f"with {CELLS} select * from metrics",
         "acceptance": f"""with {CELLS}
@@ -306,7 +306,7 @@ order by metric desc nulls last, run_id limit 10""",
         "top_models_ascending": f"""with {RUNS}
 select run_id, experiment, metric from runs where status = 'FINISHED'
 order by metric asc nulls last, run_id limit 2""",
-        "required_rows": f"""with e as (
+        "required_n": f"""with e as (
   select p_partkey, p_size / 100.0::double as p1, (p_size + p_partkey % 3) / 100.0::double as p2 from part)
 select p_partkey, case when p1 - p2 <> 0 then cast(floor(
     {SAMPLE_SIZE_FACTOR}::double * (p1 * (1 - p1)) / ((p1 - p2) * (p1 - p2))) as bigint) + 1 end as n

@@ -35,10 +35,12 @@ REGISTRY: dict[str, Query] = {}
 
 
 def query(function: Query) -> Query:
+    """Register a query under its function's name, less a trailing ``_query``."""
+
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return function(configure(spark), sf_dir)
 
-    REGISTRY[function.__name__] = run
+    REGISTRY[function.__name__.removesuffix("_query")] = run
     return function
 
 
@@ -91,7 +93,7 @@ def raw_file_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def snapshot_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+def snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "clean")
     tables.write_clean(c.clean(raw_transactions(spark, sf_dir)), path)
     dates = [r["tx_date"] for r in tables.snapshot_dates(spark, path).collect()]
@@ -249,7 +251,7 @@ def clean_drop_negative(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def calendar_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+def time_features_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = time_features(transactions(spark, sf_dir))
     return rows.select(
         "tranaction_id",
@@ -338,7 +340,7 @@ def cv_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def model_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Does a model give the same scores after it was saved and loaded?"""
     rows = _labelled(spark, sf_dir)
     model = learn.train(rows, learn.build_pipeline(maxIter=2))
@@ -463,7 +465,7 @@ def top_models_ascending(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query
-def required_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def required_n_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     p1 = F.col("p_size") / F.lit(100.0)
     p2 = (F.col("p_size") + F.col("p_partkey") % 3) / F.lit(100.0)
     return table(spark, sf_dir, "part").select("p_partkey", required_n(p1, p2).alias("n"))

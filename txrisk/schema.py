@@ -35,7 +35,7 @@ NON_NEGATIVE_COLUMNS = ["tranaction_id", "customer_id", "terminal_id", "tx_time_
 
 WINDOW_DAYS = (1, 7, 30)
 
-# The 14 model inputs.
+# The 14 model inputs, in the order saved models expect.
 FEATURES = [
     "customer_id",
     "terminal_id",
@@ -61,7 +61,7 @@ RUNS = (
     "metrics MAP<STRING,DOUBLE>, params MAP<STRING,STRING>, artifact_path STRING"
 )
 
-# Metric names under which training and comparison results are logged.
+# Metric names under which training and comparison results are logged.
 AUC_CV = "ROC AUC on cv"
 AUC_TEST = "ROC AUC on test"
 PRECISION_TRAIN = "Precision on train"
