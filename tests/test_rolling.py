@@ -217,6 +217,40 @@ def test_clean_rows_are_computed_once(spark):
     assert final.count("FileScan") == 1 and final.count("ReusedExchange") == 2
 
 
+def test_a_hot_second_is_split_in_both_joins(spark):
+    """Half of all rows share customer, terminal and second."""
+    sizes = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
+    }
+    before = {k: spark.conf.get(k) for k in sizes}
+    for k, v in sizes.items():
+        spark.conf.set(k, v)
+    try:
+        hot, i = F.col("id") % 2 == 0, F.col("id")
+        df = spark.range(0, 20000, 1, 8).select(
+            i.alias("tranaction_id"),
+            F.timestamp_seconds(F.when(hot, 1_700_000_000).otherwise(i + 1_700_000_000)).alias("tx_datetime"),
+            F.when(hot, 0).otherwise(i % 97).cast("int").alias("customer_id"),
+            F.when(hot, 0).otherwise(i % 89).cast("int").alias("terminal_id"),
+            F.lit(1.5).alias("tx_amount"),
+            (i % 3 == 0).cast("int").alias("tx_fraud"),
+            F.md5(i.cast("string")).alias("filler"),
+        )
+        out = build_features(df)
+        rows = out.where("tranaction_id = 0").collect()
+        out.collect()
+        final = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert final.count("SortMergeJoin(skew=true)") == 2
+    assert rows[0]["number_of_tx_per_customer_for_1_days"] == 10000
+    assert rows[0]["avg_amount_per_customer_for_30_days"] == 1.5
+
+
 @pytest.mark.parametrize(
     "stamp,want",
     [
