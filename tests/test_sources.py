@@ -1,9 +1,11 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from txrisk.schema import AUC_CV, RAW_COLUMNS
+from txrisk.sources import raw
 from txrisk.sources.messages import (
     decode_column_maps,
     decode_messages,
@@ -57,7 +59,9 @@ def test_read_raw(spark, tmp_path):
     assert raw_header(spark, str(tmp_path / "2024-01-01.txt")) == RAW_COLUMNS
 
 
-def test_line_numbers_across_blocks_and_files(spark, tmp_path):
+@pytest.mark.parametrize("limit", [0, 200_000])
+def test_line_numbers_across_blocks_and_files(spark, tmp_path, monkeypatch, limit):
+    monkeypatch.setattr(raw, "BROADCAST_BLOCKS", limit)
     for name, n in (("a", 400), ("b", 37)):
         write(tmp_path / f"{name}.txt", *[f"{name}{i}" for i in range(1, n + 1)])
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")

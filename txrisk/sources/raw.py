@@ -7,6 +7,10 @@ from pyspark.sql import functions as F
 
 from txrisk.schema import RAW
 
+# Up to this many input blocks (some 30 MB of offsets) the offsets are broadcast;
+# beyond it Spark joins by shuffling.
+BROADCAST_BLOCKS = 200_000
+
 
 def read_raw(
     spark: SparkSession, path: str | list[str], glob: str | None = None, source_file: bool = False
@@ -35,7 +39,8 @@ def number_lines(spark: SparkSession, path: str) -> DataFrame:
     A line's number is its position in its file block plus the lines of the
     blocks before it; only one count per block is sorted.
     """
-    lines = spark.read.text(path).select(
+    source = spark.read.text(path)
+    lines = source.select(
         "value",
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
@@ -46,7 +51,9 @@ def number_lines(spark: SparkSession, path: str) -> DataFrame:
     )
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select("file", "block", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("skip"))
-    # One row per block of spark.sql.files.maxPartitionBytes: about 1 MB per TB of text.
-    return lines.join(F.broadcast(offsets), ["file", "block"]).select(
+    # A file has one block more than it was cut, and each cut fills a partition.
+    if len(source.inputFiles()) + source.rdd.getNumPartitions() <= BROADCAST_BLOCKS:
+        offsets = F.broadcast(offsets)
+    return lines.join(offsets, ["file", "block"]).select(
         "file", (F.col("skip") + F.col("id") - F.col("first") + 1).alias("line"), "value"
     )
