@@ -6,10 +6,9 @@ import gc
 import hashlib
 from array import array
 
-import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from txrisk.llm.common import Batches, emit, texts_of
+from txrisk.llm.common import append
 from txrisk.llm.tokenizer import WORD_END, Vocabulary, read_vocabulary, vocabulary
 
 # Bounds of a worker's tables; emptied beyond, which costs time only.
@@ -20,11 +19,6 @@ TRIE_WORDS = 20_000
 # A word's last character is moved by this much, so that it is another symbol than inside a word.
 END = 0x1000
 
-CODEC_SCHEMA = pa.schema(
-    [("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())]
-)
-
-
 class TrieEncoder:
     """Encodes words by their trie.
 
@@ -172,9 +166,8 @@ class Codec:
         """The file names no decoder: the tokens as they stand in the vocabulary, joined by spaces."""
         return " ".join(map(self.vocab.tokens.__getitem__, ids))
 
-    def digests(self, texts: list[str]) -> tuple[list[int], list[str], list[str]]:
+    def digests(self, ids: list[list[int]]) -> tuple[list[int], list[str], list[str]]:
         """Number of ids, SHA-256 of their decimal form and of what they decode to."""
-        ids = self.encode(texts)
         numbers = [sha256(" ".join(map(self.digits.__getitem__, x))) for x in ids]
         return [len(x) for x in ids], numbers, [sha256(self.decode(x)) for x in ids]
 
@@ -194,38 +187,42 @@ def worker_codec(data: str) -> Codec:
     return _codecs[data]
 
 
-def encode_decode(docs: DataFrame, path: str, id_column: str = "doc_id") -> DataFrame:
-    """Ids of every whole text under the vocabulary file at ``path``, and the text they decode to.
+def encode_decode(docs: DataFrame, path: str, prefix: str = "") -> DataFrame:
+    """``docs`` with the ids of every whole text under the vocabulary file at ``path``, and what they decode to.
 
-    Returns ``doc_id, ids, decoded`` for every row. A null or empty text has no ids and
-    decodes to the empty text. Null and repeated ids pass through, other columns do not.
-    Map-only: no shuffle.
+    Adds ``ids`` and ``decoded`` (after ``prefix``). A null or empty text has no ids and
+    decodes to the empty text. All rows and columns stay; choose a ``prefix`` that keeps the
+    new names apart from theirs. Map-only; the vocabulary, of a fixed size, is broadcast.
     """
     shared = docs.sparkSession.sparkContext.broadcast(read_vocabulary(path))
 
-    def run(batches: Batches) -> Batches:
+    def maker():
         codec = worker_codec(shared.value)
-        for batch in batches:
-            ids = codec.encode(texts_of(batch.column(1)))
-            yield emit(CODEC_SCHEMA, batch.column(0), ids, [codec.decode(x) for x in ids])
 
-    rows = docs.selectExpr(f"cast(`{id_column}` as bigint) doc_id", "text")
-    return rows.mapInArrow(run, "doc_id long, ids array<int>, decoded string")
+        def make(texts: list[str]) -> tuple[list[list[int]], list[str]]:
+            ids = codec.encode(texts)
+            return ids, [codec.decode(x) for x in ids]
+
+        return make
 
+    return append(docs, f"{prefix}ids array<int>, {prefix}decoded string", maker)
 
-DIGEST_SCHEMA = pa.schema(
-    [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
-)
 
+def codec_digests(docs: DataFrame, path: str, prefix: str = "", keep_ids: bool = False) -> DataFrame:
+    """``encode_decode`` with ids and decoded text reduced to SHA-256 digests where they arise.
 
-def codec_digests(docs: DataFrame, path: str, id_column: str = "doc_id") -> DataFrame:
-    """``encode_decode`` with the ids and the decoded text reduced to SHA-256 digests where they arise."""
+    Adds ``n_tokens, ids_sha256, decoded_sha256`` (after ``prefix``), and ``ids`` if they are kept.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(read_vocabulary(path))
 
-    def run(batches: Batches) -> Batches:
+    def maker():
         codec = worker_codec(shared.value)
-        for batch in batches:
-            yield emit(DIGEST_SCHEMA, batch.column(0), *codec.digests(texts_of(batch.column(1))))
 
-    rows = docs.selectExpr(f"cast(`{id_column}` as bigint) doc_id", "text")
-    return rows.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+        def make(texts: list[str]) -> list[list]:
+            ids = codec.encode(texts)
+            return [*codec.digests(ids), *[ids] * keep_ids]
+
+        return make
+
+    fields = f"{prefix}n_tokens bigint, {prefix}ids_sha256 string, {prefix}decoded_sha256 string"
+    return append(docs, fields + f", {prefix}ids array<int>" * keep_ids, maker)

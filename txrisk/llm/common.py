@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import tempfile
+import zipfile
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from txrisk.session import configure, work_dir
 
@@ -16,8 +20,25 @@ BATCH_BYTES = 4 << 20
 BATCH_ROWS = 2000
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        top = Path(__file__).resolve().parents[1]
+        target = Path(tempfile.mkdtemp(prefix="package-")) / f"{top.name}.zip"
+        with zipfile.ZipFile(target, "w") as z:
+            for file in sorted(top.rglob("*.py")):
+                z.write(file, file.relative_to(top.parent))
+        context.addPyFile(str(target))  # Spark serves it from the driver
+        _shipped.add(context.applicationId)
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Session settings that the operators rely on."""
+    """Session settings and code that the operators rely on."""
+    ship_package(spark)
     configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
@@ -52,10 +73,6 @@ def spans(lengths: np.ndarray) -> np.ndarray:
     return out
 
 
-def ragged_positions(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """The concatenation of ``range(start, start + length)`` for all rows."""
-    at = spans(lengths)
-    return np.arange(at[-1], dtype=np.int64) + np.repeat(starts - at[:-1], lengths)
 
 
 def emit(schema: pa.Schema, *columns) -> pa.RecordBatch:
@@ -68,6 +85,25 @@ def emit(schema: pa.Schema, *columns) -> pa.RecordBatch:
 Batches = Iterator[pa.RecordBatch]
 
 
+def append(docs: DataFrame, fields: str, maker: Callable[[], Callable[[list[str]], list]]) -> DataFrame:
+    """``docs`` with columns made from its whole texts, in one map without a shuffle.
+
+    ``maker`` is called once per task and returns a function from texts to the columns named
+    in ``fields``, whose names must not occur in ``docs``.
+    """
+    added = T.StructType.fromDDL(fields)
+    types = to_arrow_schema(added)
+    at = docs.columns.index("text")
+
+    def run(batches: Batches) -> Batches:
+        make = maker()
+        for batch in batches:
+            new = [pa.array(c, f.type) for c, f in zip(make(texts_of(batch.column(at))), types, strict=True)]
+            yield pa.RecordBatch.from_arrays(batch.columns + new, names=batch.schema.names + types.names)
+
+    return docs.mapInArrow(run, T.StructType(docs.schema.fields + added.fields))
+
+
 def components(edges: DataFrame, name: str) -> DataFrame:
     """Connected components of an edge table ``(a, b)`` of orderable ids.
 

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from txrisk.llm.bpe_codec import codec_digests
-from txrisk.llm.common import table
+from txrisk.llm import bpe_codec, decontaminate, kmeans_tree, language_id, paragraphs, quality, shards, simhash, warc
+from txrisk.llm.common import id_remainder, keep, table
 from txrisk.llm.token_counts import token_counts
 
 WORD_VOCABULARY = "word_bpe_49k.json"
@@ -23,13 +23,74 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit_languages(docs, id_remainder("doc_id", 4) != 2)
+    found = language_id.identify(docs.selectExpr("cast(doc_id as bigint) doc_id", "text"), model)
+    held_out = F.coalesce(id_remainder("doc_id", 4) == 2, F.lit(False)).alias("held_out")
+    return found.select("doc_id", held_out, "lang_pred", "score")
+
+
+def op3_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(table(spark, sf_dir, "pages"))
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    features = keep(quality.document_statistics(table(spark, sf_dir, "documents")), "statistics")
+    scores = quality.quality_scores(features, table(spark, sf_dir, "labels"), id_remainder("doc_id", 5) != 0)
+    held_out = F.coalesce(id_remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out")
+    return scores.select("doc_id", held_out, "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op5_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return codec_digests(table(spark, sf_dir, "documents"), vocabulary_path())
+    docs = table(spark, sf_dir, "documents").selectExpr("cast(doc_id as bigint) doc_id", "text")
+    return bpe_codec.codec_digests(docs, vocabulary_path()).drop("text")
+
+
+def op7_balanced_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = shards.balanced_shards(table(spark, sf_dir, "documents"), shards=16)
+    return found.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op8_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kmeans_tree.nearest(table(spark, sf_dir, "embeddings"), "vec_id % 50 = 0", k=5)
+
+
+def op9_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op10_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraphs.repeated_paragraphs(table(spark, sf_dir, "documents"))
+
+
+QUERIES = [
+    op1_token_counts, op2_language_id, op3_warc_chunks, op4_quality_classifier, op5_simhash_pigeonring,
+    op6_bpe_codec, op7_balanced_shards, op8_kmeans_tree, op9_spaced_seeds, op10_paragraph_minhash,
+]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_counts, op6_bpe_codec)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL for what SQL can say: the others are tested against brute force."""
+    return {
+        "op3_warc_chunks": """
+            with p as (select page_id, coalesce(html, '') h, strlen(coalesce(html, '')) n from pages),
+            f as (select h, min(page_id) first from p where n >= 100 group by h)
+            select p.page_id, n as payload_bytes, sha256(p.h) as payload_digest,
+                   case when first is not null and first is distinct from page_id then 'revisit' else 'response' end as record_type,
+                   case when first is distinct from page_id then first end as refers_to
+            from p left join f on p.h = f.h and p.n >= 100
+        """,
+    }
