@@ -1,0 +1,129 @@
+import random
+
+import numpy as np
+import pytest
+
+from txrisk.llm.common import prepare
+from txrisk.llm.decontaminate import MASKS, best_overlap, contaminated, masks_for, seeds, split_words, word_hashes
+
+ITEMS = "item_id long, text string, seed string, at string"
+DOCS = "doc_id long, text string, at string, item_id string, words string"
+
+
+def words(seed, n):
+    r = random.Random(seed)
+    return ["".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(n)]
+
+
+def brute_overlap(same, least, similarity):
+    """Length of the longest stretch that begins and ends with agreement."""
+    best = 0
+    for i in range(len(same)):
+        for j in range(i + least, len(same) + 1):
+            if same[i] and same[j - 1] and sum(same[i:j]) >= similarity * (j - i) - 1e-9:
+                best = max(best, j - i)
+    return best
+
+
+def run(spark, docs, items, **options):
+    docs = spark.createDataFrame([(i, t, "a", "b", "c") for i, t in docs], DOCS)
+    items = spark.createDataFrame([(i, t, "a", "b") for i, t in items], ITEMS)
+    return {(r.doc_id, r.item_id): r for r in contaminated(docs, items, **options).collect()}
+
+
+def test_overlap_against_brute_force():
+    r = np.random.default_rng(1)
+    for _ in range(400):
+        same = (r.random(r.integers(1, 30)) < r.choice([0.5, 0.8, 0.95])).astype(float)
+        found = best_overlap(same, 5, 0.8)
+        expected = brute_overlap(same, 5, 0.8)
+        if found:
+            start, end = found
+            assert same[start:end].mean() >= 0.8 - 1e-9 and end - start >= 5
+        assert (found[1] - found[0] if found else 0) == expected
+
+
+def test_seeds_ignore_masked_places():
+    h = word_hashes([w.encode() for w in words(1, 12)])
+    for mask in MASKS:
+        for i, c in enumerate(mask):
+            changed = h.copy()
+            changed[i] += np.uint64(1)
+            assert (seeds(h, mask) == seeds(changed, mask)).all() == (c == "0")
+
+
+def test_passages_with_substitutions(spark):
+    prepare(spark)
+    item = words(2, 40)
+    rng = random.Random(3)
+    docs = [(1, " ".join(words(10, 50) + item + words(11, 50)))]
+    for i in range(2, 12):  # one word in ten is another
+        changed = [w if k % 10 else f"x{rng.randrange(10**9)}" for k, w in enumerate(item)]
+        docs.append((i, " ".join(words(20 + i, 30)) + ", " + "! ".join(changed).upper()))
+    docs += [(i, " ".join(words(100 + i, 200))) for i in range(50, 70)]
+    docs.append((80, " ".join(words(30, 20) + item[:20])))  # half of it
+    docs.append((81, " ".join(words(31, 20) + item[:9] + words(32, 20))))  # too little
+    found = run(spark, docs, [(5, " ".join(item)), (6, " ".join(words(99, 40)))])
+    assert {d for d, _ in found} == {*range(1, 12), 80}
+    assert {i for _, i in found} == {5}
+    assert (found[1, 5].start, found[1, 5].words, found[1, 5].agreement) == (50, 40, 1.0)
+
+
+def test_against_runs_of_common_words(spark, sf_docs):
+    prepare(spark)
+    items = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet")
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = {(r.doc_id, r.item_id) for r in contaminated(docs, items).collect()}
+    runs = {}
+    for r in items.collect():
+        w = split_words(r.text)
+        for k in range(len(w) - 12):
+            runs.setdefault(tuple(w[k : k + 13]), set()).add(r.item_id)
+    expected = set()
+    for r in docs.collect():
+        w = split_words(r.text or "")
+        for k in range(len(w) - 12):
+            expected |= {(r.doc_id, i) for i in runs.get(tuple(w[k : k + 13]), ())}
+    assert expected and expected <= found
+    assert len(found) <= len(expected) + 2
+
+
+def test_short_items(spark):
+    prepare(spark)
+    short = words(5, 7)
+    docs = [(1, " ".join(words(6, 30) + short + words(7, 30))), (2, " ".join(short)), (3, " ".join(short[:6])), (4, "the of and")]
+    found = run(spark, docs, [(1, " ".join(short)), (2, "the of and"), (3, ""), (4, None)])
+    assert set(found) == {(1, 1), (2, 1)}
+    assert masks_for(4, MASKS, 5) == [] and masks_for(7, MASKS, 5) == ["1" * 7] and masks_for(12, MASKS, 5) == MASKS
+
+
+def test_equal_items_and_repeated_documents(spark):
+    prepare(spark)
+    text = " ".join(words(8, 30))
+    found = run(spark, [(1, text), (1, text), (2, text)], [(9, text), (4, text), (None, text)])
+    assert set(found) == {(1, 4), (2, 4)}
+
+
+@pytest.mark.parametrize("which", ["docs", "items", "both"])
+def test_empty_tables(spark, which, odd_docs, no_docs):
+    prepare(spark)
+    docs = no_docs if which in ("docs", "both") else odd_docs
+    items = spark.createDataFrame([] if which in ("items", "both") else [(1, " ".join(words(1, 20)))], "item_id long, text string")
+    assert contaminated(docs, items).count() == 0
+
+
+def test_odd_documents(spark, odd_docs):
+    prepare(spark)
+    text = odd_docs.where("doc_id = 5").first().text
+    items = spark.createDataFrame([(1, " ".join(text.split()[30_000:30_050])), (2, None), (None, text)], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in contaminated(odd_docs, items).collect()} == {(5, 1)}
+
+
+def test_long_documents_in_slices(spark, monkeypatch):
+    from txrisk.llm import decontaminate
+
+    prepare(spark)
+    item = words(40, 60)
+    docs = [(i, " ".join(words(50 + i, 10 * i) + item)) for i in range(8)]
+    monkeypatch.setattr(decontaminate, "SLICE", 17)
+    assert len(run(spark, docs, [(1, " ".join(item))])) == 8

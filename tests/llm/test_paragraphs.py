@@ -1,0 +1,145 @@
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from txrisk.llm.common import prepare
+from txrisk.llm.paragraphs import forest, paragraphs_of, repeated_paragraphs, without_repeats
+
+SCHEMA = "doc_id long, text string, n_chars long, component string, paragraph string, removed string"
+
+
+def words(seed, n):
+    r = random.Random(seed)
+    return ["".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(n)]
+
+
+def brute(docs, similarity=0.8):
+    """``{(doc_id, paragraph): (kept_doc_id, kept_paragraph)}`` from all pairs."""
+    places, sets = {}, {}
+    for i, text in docs:
+        for k, line in enumerate((text or "").split("\n")):
+            w = tuple(line.lower().split())
+            if i is not None and len(w) >= 5:
+                places.setdefault(w, set()).add((i, k))
+                sets[w] = {w[j : j + 5] for j in range(len(w) - 4)}
+    keys = sorted(sets)
+    root = {k: k for k in keys}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    holders = {}
+    for k in keys:
+        for s in sets[k]:
+            holders.setdefault(s, []).append(k)
+    pairs = {(a, b) for group in holders.values() for a in group for b in group if a < b}
+    for a, b in pairs:
+        same = len(sets[a] & sets[b])
+        if same >= similarity * (len(sets[a]) + len(sets[b]) - same):
+            root[find(a)] = find(b)
+    groups = {}
+    for k in keys:
+        groups.setdefault(find(k), set()).update(places[k])
+    return {p: min(g) for g in groups.values() if len({i for i, _ in g}) > 1 for p in g}
+
+
+def frame(spark, docs):
+    return prepare(spark).createDataFrame([(i, t, len(t or ""), "a", "b", "c") for i, t in docs], SCHEMA)
+
+
+def got(df):
+    rows = df.collect()
+    for r in rows:
+        assert r.removed == ((r.doc_id, r.paragraph) != (r.kept_doc_id, r.kept_paragraph))
+    out = {(r.doc_id, r.paragraph): (r.kept_doc_id, r.kept_paragraph) for r in rows}
+    assert len(out) == len(rows)
+    return out
+
+
+def variants(seed, n, length, changes):
+    r = random.Random(seed)
+    base = words(seed, length)
+    out = []
+    for _ in range(n):
+        w = base[:]
+        for _ in range(r.randrange(changes + 1)):
+            w[r.randrange(length)] = f"q{r.randrange(10**6)}"
+        out.append(" ".join(w))
+    return out
+
+
+def test_planted_passages(spark):
+    passage = words(1, 60)
+    near = passage[:58] + ["other"]
+    docs = [(i, "\n".join([" ".join(words(100 + i, 30)), " ".join(words(200 + i, 30))])) for i in range(20)]
+    docs[3] = (3, docs[3][1] + "\n" + " ".join(passage))
+    docs[7] = (7, " ".join(passage).upper() + "\n" + docs[7][1])
+    docs[9] = (9, docs[9][1] + "\n" + " ".join(near))
+    found = got(repeated_paragraphs(frame(spark, docs)))
+    assert found == {(3, 2): (3, 2), (7, 0): (3, 2), (9, 2): (3, 2)}
+
+
+@pytest.mark.parametrize("crowd", [1, 5, 1000])
+def test_crowds_of_variants_against_brute_force(spark, crowd, monkeypatch):
+    from txrisk.llm import paragraphs
+
+    monkeypatch.setattr(paragraphs, "BLOCK", 8)
+    lines = variants(1, 60, 80, 3) + variants(2, 40, 60, 2) + variants(3, 20, 12, 1)
+    docs = [(i, f"{line}\n{' '.join(words(500 + i, 8))}") for i, line in enumerate(lines)]
+    found = got(repeated_paragraphs(frame(spark, docs), bands=24, crowd=crowd))
+    assert found == brute(docs)
+
+
+def test_the_table_against_brute_force(spark, sf_docs):
+    prepare(spark)
+    expected = brute([(r.doc_id, r.text) for r in sf_docs.collect()])
+    found = got(repeated_paragraphs(sf_docs))
+    differing = {k for k in expected.keys() | found.keys() if expected.get(k) != found.get(k)}
+    assert len(differing) <= 0.01 * len(expected)  # bands find 99.5 % of the pairs at the threshold
+    assert found.keys() <= expected.keys()
+
+
+def test_texts_without_repeats(spark):
+    line, other = " ".join(words(1, 30)), " ".join(words(2, 30))
+    docs = [(1, f"{line}\n\nends"), (2, f"starts\n{line}\n{other}"), (3, line), (4, other), (5, None), (None, line), (6, "")]
+    df = frame(spark, docs)
+    rows = {r.doc_id: r for r in without_repeats(df, repeated_paragraphs(df)).collect()}
+    assert {i: r.text for i, r in rows.items()} == {
+        1: f"{line}\n\nends", 2: f"starts\n{other}", 5: None, None: line, 6: ""
+    }
+    assert rows[2].n_chars == len(rows[2].text) and rows[1].n_chars == len(rows[1].text)
+    assert rows[1].component == "a"
+
+
+def test_repeats_within_one_document_stay(spark):
+    line = " ".join(words(1, 30))
+    assert got(repeated_paragraphs(frame(spark, [(1, f"{line}\n{line}"), (1, f"{line}\n{line}"), (2, "else")]))) == {}
+
+
+def test_short_lines_are_no_paragraphs(spark):
+    assert got(repeated_paragraphs(frame(spark, [(i, "one two three four\nx") for i in range(5)]))) == {}
+
+
+def test_odd_documents(spark, odd_docs, no_docs):
+    prepare(spark)
+    docs = [(r.doc_id, r.text) for r in odd_docs.collect()]
+    found = repeated_paragraphs(odd_docs).dropDuplicates(["doc_id", "paragraph"])
+    assert got(found) == brute(docs)
+    assert repeated_paragraphs(no_docs).count() == 0
+    kept = without_repeats(odd_docs, repeated_paragraphs(odd_docs))
+    assert kept.columns == odd_docs.columns
+    assert kept.where(F.col("doc_id") == 7).count() == 0
+
+
+def test_forest_connects_what_is_similar():
+    same = np.ones((3, 4))
+    assert len(forest(same, [1, 2, 3], [4, 5, 6, 7])) == 6
+    assert forest(same, [1, 1, 1], [1, 1, 1, 1]) == []
+
+
+def test_paragraphs_are_lines():
+    assert paragraphs_of("a\n\nb\r\nc") == ["a", "", "b\r", "c"]

@@ -1,0 +1,122 @@
+import hashlib
+import random
+import string
+
+import pytest
+from hypothesis import given, settings, strategies as st
+
+from txrisk.llm.bpe_codec import Codec, codec_digests, encode_decode
+from txrisk.llm.common import prepare
+from txrisk.llm.queries import vocabulary_path
+from txrisk.llm.token_counts import PieceCounter, token_counts
+from txrisk.llm.tokenizer import Vocabulary, byte_alphabet, read_vocabulary
+
+
+@pytest.fixture(scope="module")
+def vocab():
+    return Vocabulary(read_vocabulary(vocabulary_path()))
+
+
+@pytest.fixture(scope="module")
+def tools(vocab):
+    return PieceCounter(vocab), Codec(vocab)
+
+
+def library(vocab, text):
+    return vocab.library.encode(text, add_special_tokens=False).ids
+
+
+HARD = [
+    "", " ", "it's DON'T x'st 'll", "a<|endoftext|>b <|startoftext|>", "<|ENDOFTEXT|> <|endoftext|", "ΑΣ ΣΑΣ Σ.",
+    "İstanbul ǅ ß ﬁ", "x\x1cy z\x1f\x1f", "日本語 テスト 12 ½²³ a_b __ –—…", "é Å ́x", "w\u0085v x　y",
+    "aaaaaaaaaaaaaaaa" * 50, "the" * 3000, "😀😀 a‍b", "\x00a\x07", "  ", "ª º ¼ ʰ",
+]
+
+
+@pytest.mark.parametrize("text", HARD)
+def test_hard_texts_as_the_library(vocab, tools, text):
+    counter, codec = tools
+    ids = library(vocab, text)
+    assert counter.count([text]) == [len(ids)]
+    assert codec.encode([text]) == [ids]
+    assert codec.decode(ids) == vocab.library.decode(ids, skip_special_tokens=False)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(max_size=60))
+def test_any_text_as_the_library(vocab, tools, text):
+    ids = library(vocab, text)
+    assert tools[0].count([text]) == [len(ids)]
+    assert tools[1].encode([text]) == [ids]
+
+
+def test_random_words_as_the_library(vocab, tools):
+    r = random.Random(3)
+    words = ["".join(r.choice("aehinrtos") for _ in range(r.randrange(1, 30))) for _ in range(3000)]
+    words += ["".join(r.choice(string.printable) for _ in range(20)) for _ in range(500)]
+    expected = [library(vocab, w) for w in words]
+    assert tools[0].count(words) == [len(x) for x in expected]
+    assert tools[1].encode(words) == expected
+
+
+def test_repeated_symbols_merge_from_the_left(vocab, tools):
+    for n in range(1, 40):
+        for c in "a!z":
+            assert tools[0].count([c * n]) == [len(library(vocab, c * n))]
+
+
+def test_byte_alphabet_covers_the_vocabulary(vocab):
+    assert len(set(byte_alphabet())) == 256
+    assert all(c in vocab.ids and c + "</w>" in vocab.ids for c in byte_alphabet())
+
+
+def test_every_token_stands_for_itself(vocab, tools):
+    whole = [t.removesuffix("</w>") for t in vocab.ids if t.endswith("</w>") and t != "</w>"]
+    assert tools[1].trie.encode(whole) == [[vocab.ids[w + "</w>"]] for w in whole]
+
+
+def test_caches_may_be_emptied(vocab, monkeypatch):
+    from txrisk.llm import bpe_codec, token_counts as counts
+
+    monkeypatch.setattr(counts, "CACHE_PIECES", 3)
+    monkeypatch.setattr(bpe_codec, "CACHE_PIECES", 3)
+    monkeypatch.setattr(bpe_codec, "CACHE_PAIRS", 5)
+    monkeypatch.setattr(bpe_codec, "TRIE_WORDS", 2)
+    texts = [f"alpha{i} beta gamma{i % 3} delta" for i in range(30)]
+    counter, codec = PieceCounter(vocab), Codec(vocab)
+    for i in range(0, 30, 4):
+        expected = [library(vocab, t) for t in texts[i : i + 4]]
+        assert counter.count(texts[i : i + 4]) == [len(x) for x in expected]
+        assert codec.encode(texts[i : i + 4]) == expected
+
+
+def test_counts_of_odd_documents(spark, vocab, odd_docs):
+    prepare(spark)
+    rows = token_counts(odd_docs, vocabulary_path(), limit=100).collect()
+    source = odd_docs.select("doc_id", "text").collect()
+    key = lambda r: (r[0] is not None, r[0] or 0, r[1])
+    expected = []
+    for doc_id, text in source:
+        n = len(library(vocab, text or ""))
+        expected.append((doc_id, len((text or "").encode()), n, n > 100))
+    assert sorted(map(tuple, rows), key=key) == sorted(expected, key=key)
+
+
+def test_codec_of_odd_documents(spark, vocab, odd_docs):
+    prepare(spark)
+    rows = encode_decode(odd_docs, vocabulary_path(), "_new_").collect()
+    assert len(rows) == odd_docs.count()
+    for r in rows:
+        assert list(r._new_ids) == library(vocab, r.text or "")
+        assert r._new_decoded == vocab.library.decode(r._new_ids, skip_special_tokens=False)
+    digests = codec_digests(odd_docs.select("doc_id", "text"), vocabulary_path()).collect()
+    for r in digests:
+        ids = library(vocab, r.text or "")
+        assert r.n_tokens == len(ids)
+        assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+
+
+def test_empty_tables(spark, no_docs):
+    prepare(spark)
+    assert token_counts(no_docs, vocabulary_path()).count() == 0
+    assert codec_digests(no_docs.select("doc_id", "text"), vocabulary_path()).count() == 0

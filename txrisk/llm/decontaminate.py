@@ -125,34 +125,19 @@ def document_hits(docs: DataFrame, sieve: np.ndarray, masks: list[str]) -> DataF
 def best_overlap(same: np.ndarray, least: int, similarity: float) -> tuple[int, int] | None:
     """Start and end of the longest stretch of at least ``least`` places, ``similarity`` of which are the same.
 
-    A stretch begins and ends with a place that is the same. Sums of (same - similarity)
-    are not negative over such a stretch, so the farthest end for each start follows from
-    running extrema.
+    A stretch begins and ends with a place that is the same; the first of equal length counts.
     """
-    n = len(same)
-    if n < least:
-        return None
     total = np.concatenate([[0.0], np.cumsum(same - similarity)])
-    lowest = np.minimum.accumulate(total)
-    highest = np.maximum.accumulate(total[::-1])[::-1]
-    best, i, j = None, 0, 0
-    while i <= n and j <= n:  # the usual walk over prefix minima and suffix maxima
-        if highest[j] >= lowest[i] - 1e-9:
-            if best is None or j - i > best[1] - best[0]:
-                best = (i, j)
-            j += 1
-        else:
-            i += 1
-    if best is None:
-        return None
-    start, end = best
-    while start < end and total[end] - total[start] < -1e-9:
-        start += 1
-    while start < end and not same[start]:
-        start += 1
-    while end > start and not same[end - 1]:
-        end -= 1
-    return (start, end) if end - start >= least else None
+    ends = np.flatnonzero(same) + 1
+    best, length = None, max(1, least) - 1
+    for start in np.flatnonzero(same):
+        if not len(ends) or ends[-1] - start <= length:
+            break
+        # Not negative: the surplus of agreement from the start to the end.
+        good = ends[(ends - start > length) & (total[ends] - total[start] >= -1e-9)]
+        if len(good):
+            best, length = (int(start), int(good[-1])), int(good[-1] - start)
+    return best
 
 
 def verified(candidates: DataFrame, docs: DataFrame, items: DataFrame, min_overlap: int, similarity: float) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from txrisk.llm.common import keep
 
 SHARDS = 16
-ROUNDS = 8
+ROUNDS = 5
 # Ranks are counted within hash buckets and before them. With 16 shards that is a table of
 # 16 * BUCKETS sums, whatever the input, and a bucket holds that small a part of a shard.
 BUCKETS = 1024
@@ -64,17 +64,21 @@ def quotas(wants: dict[tuple[int, int], int], loads: list[int], capacity: int) -
     for t in range(len(loads)):
         room = max(0, capacity - loads[t])
         asked = sum(n for (_, to), n in rest.items() if to == t)
-        for s in sorted(s for s, to in rest if to == t):
-            part = rest[s, t] * min(room, asked) // max(1, asked)
-            out[s, t] += part
+        given = min(room, asked)
+        parts = {s: n * given // asked for (s, to), n in sorted(rest.items()) if to == t and asked}
+        over = given - sum(parts.values())  # by rounding, less than one each
+        for s, n in parts.items():
+            more = min(1, over, rest[s, t] - n)
+            out[s, t] += n + more
+            over -= more
     return out
 
 
 def propagate(placed: DataFrame, capacity: int, shards: int, rounds: int) -> DataFrame:
     """Moves linked rows towards the shard of most of their group; ``placed`` is ``(g, shard, n)``.
 
-    Each round, the rows of a group want to be where most of the group is, or, once
-    that shard is full, where most of it is among the shards with room. Wishes are
+    Each round, the rows of a group want to be where most of the group is, shards with room
+    before full ones; a group too large for one shard has as many homes as it needs. Wishes are
     granted in an order by hash until the quota of their pair of shards is used up; the wish at
     the border is granted in part. Ends when nothing moves.
     """
@@ -84,14 +88,17 @@ def propagate(placed: DataFrame, capacity: int, shards: int, rounds: int) -> Dat
         for row in placed.groupBy("shard").agg(F.sum("n").alias("n")).collect():
             loads[row.shard] = row.n
         full = [s for s in range(shards) if loads[s] >= capacity]
-        here = F.struct("n", (-F.col("shard")).alias("s"))  # ties to the smaller shard
-        best = placed.groupBy("g").agg(
-            F.max(here).alias("top"), F.max(F.when(~F.col("shard").isin(full), here)).alias("open")
+        # At most one part per shard; ties by hash, so that wishes spread.
+        part = F.struct(
+            F.col("shard").isin(full).alias("full"), (-F.col("n")).alias("less"),
+            F.xxhash64("g", "shard").alias("tie"), "shard", "n",
+        )
+        parts = placed.groupBy("g").agg(F.sort_array(F.collect_list(part)).alias("parts"), F.sum("n").alias("total"))
+        homes = F.least(F.size("parts"), F.ceil(F.col("total") / max(1, capacity)).cast("int"))
+        wishes = parts.select("g", "parts", homes.alias("homes"), F.posexplode("parts").alias("place", "own"))
+        wishes = wishes.where("place >= homes").selectExpr(
+            "g", "own.shard shard", "parts[(place - homes) % homes].shard target", "own.n n"
         )
-        top, open_ = -F.col("top.s"), -F.col("open.s")
-        target = F.when(top.isin(full), F.coalesce(open_, top)).otherwise(top)
-        best = best.select("g", top.alias("top"), target.alias("target"))
-        wishes = placed.join(best, "g").where("shard <> top and shard <> target").select("g", "shard", "target", "n")
         wishes = keep(wishes, "wishes")
         wants = {
             (r.shard, r.target): r.n for r in wishes.groupBy("shard", "target").agg(F.sum("n").alias("n")).collect()

@@ -112,7 +112,7 @@ def write_archives(chunks: DataFrame, folder: str, date: str = "1970-01-01T00:00
                     files, root = open_folder(folder)
                     files.create_dir(root, recursive=True)
                     path = f"{root}/part-{uuid.uuid4().hex}.warc.gz"
-                    out = files.open_output_stream(path)
+                    out = files.open_output_stream(path, compression=None)
                 if row["chunk_no"] == 0:
                     if pack is not None:
                         out.write(pack.compress(b"\r\n\r\n") + pack.flush())
@@ -201,7 +201,7 @@ def read_archives(manifest: DataFrame, folder: str, chunk_bytes: int = CHUNK_BYT
         rows = []
         for batch in batches:
             for path in batch.column(0).to_pylist():
-                with files.open_input_stream(path) as raw, gzip.GzipFile(fileobj=raw) as unpacked:
+                with files.open_input_stream(path, compression=None) as raw, gzip.GzipFile(fileobj=raw) as unpacked:
                     for row in read_chunks(io.BufferedReader(unpacked, 1 << 16), chunk_bytes):
                         rows.append(row if content else row | {"chunk": None})
                         if len(rows) >= batch_rows:
