@@ -19,7 +19,7 @@ from txrisk.operators.features import (
     terminal_features,
 )
 from txrisk.plans.adapters import raw_transactions
-from txrisk.operators.rolling import BLOCK_DAYS, rolling_range, rolling_stats
+from txrisk.operators.rolling import rolling_range
 
 DAY = 86400
 SCHEMA = "id INT, k INT, sec LONG, x DOUBLE, y INT"
@@ -76,7 +76,7 @@ def random_rows(n, seed, span_days, keys=3, start=1_700_000_000):
     return rows
 
 
-@pytest.mark.parametrize("span,start", [(40, 1_700_000_000), (3 * BLOCK_DAYS, 1_700_000_000), (100, -50 * DAY)])
+@pytest.mark.parametrize("span,start", [(40, 1_700_000_000), (270, 1_700_000_000), (100, -50 * DAY)])
 def test_matches_the_definition(spark, span, start):
     data = random_rows(400, span, span, start=start)
     got = rolling_range(frame(spark, data), "k", "t", (1, 7, 30), AGGS).collect()
@@ -101,9 +101,9 @@ def test_frame_ends_are_inclusive(spark):
     assert got[2]["sum1"] == 14.0 and got[2]["sy1"] == 1
 
 
-def test_block_boundary(spark):
-    edge = BLOCK_DAYS * DAY
-    data = [(i, 1, edge + s, float(i), 1) for i, s in enumerate([-30 * DAY - 1, -30 * DAY, -1, 0, 1])]
+def test_day_boundary(spark):
+    edge = 90 * DAY
+    data = [(i, 1, edge + s, float(i), 1) for i, s in enumerate([-30 * DAY - 1, -30 * DAY, -DAY, -1, 0, 1])]
     check(rolling_range(frame(spark, data), "k", "t", (1, 30), AGGS).collect(), brute(data, (1, 30)))
 
 
@@ -134,9 +134,23 @@ def test_null_key_is_a_group_and_null_time_gives_null(spark):
     assert got[1]["n1"] == 2 and got[0]["n1"] == 1 and got[2]["n1"] is None
 
 
-def test_look_back_is_limited(spark):
-    with pytest.raises(ValueError):
-        rolling_stats(frame(spark, []), "k", "t", (BLOCK_DAYS + 1,), AGGS)
+def test_windows_of_any_length(spark):
+    data = random_rows(200, 9, 900)
+    check(rolling_range(frame(spark, data), "k", "t", (2, 400), AGGS).collect(), brute(data, (2, 400)))
+
+
+@pytest.mark.parametrize(
+    "values", [[1e-12, 1e-12, 3e-10], [1e19], [4e18, 4e18, 4e18], [1e300, 1e-300, -1e300], [5e-324, 5e-324]]
+)
+def test_sums_of_any_magnitude_equal_plain_windows(spark, values):
+    data = [(i, 1, i * DAY + i, x, 1) for i, x in enumerate(values)]
+    df = frame(spark, data)
+    got = {r["id"]: r for r in rolling_range(df, "k", "t", (1, 7), AGGS).collect()}
+    for d in (1, 7):
+        w = Window.partitionBy("k").orderBy("sec").rangeBetween(-d * DAY, 0)
+        for r in df.select("id", F.sum("x").over(w).alias("s"), F.avg("x").over(w).alias("a")).collect():
+            assert got[r["id"]][f"sum{d}"] == pytest.approx(r["s"], rel=1e-12, abs=0)
+            assert got[r["id"]][f"avg{d}"] == pytest.approx(r["a"], rel=1e-12, abs=0)
 
 
 @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
@@ -214,7 +228,7 @@ def test_clean_rows_are_computed_once(spark):
     out.collect()
     plan = out._jdf.queryExecution().executedPlan().toString()
     final = plan.split("== Initial Plan ==")[0]
-    assert final.count("FileScan") == 1 and final.count("ReusedExchange") == 2
+    assert final.count("FileScan") == 1 and final.count("ReusedExchange") >= 2
 
 
 def test_a_hot_second_is_split_in_both_joins(spark):
@@ -224,6 +238,8 @@ def test_a_hot_second_is_split_in_both_joins(spark):
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
         "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
+        # Real statistics are too large for this.
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
     }
     before = {k: spark.conf.get(k) for k in sizes}
     for k, v in sizes.items():
@@ -246,7 +262,7 @@ def test_a_hot_second_is_split_in_both_joins(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
-    assert final.count("SortMergeJoin(skew=true)") == 2
+    assert final.count("skew=true") == 2
     assert rows[0]["number_of_tx_per_customer_for_1_days"] == 10000
     assert rows[0]["avg_amount_per_customer_for_30_days"] == 1.5
 

@@ -2,21 +2,22 @@
 
 ``Window.partitionBy(key).orderBy(sec).rangeBetween(-d * 86400, 0)`` defines the
 result, but run directly it puts a whole key into one task and re-reads the
-frame for every row. Here the same numbers are computed in four steps:
+frame for every row. Windows are whole numbers of days long, so the same numbers
+are put together from parts of days:
 
 1. Pre-aggregate to one row per (key, second). Rows of the same second are
    peers in a RANGE frame, so they share one result.
-2. Cut each key's time line into long blocks and copy the end of a block, as far
-   as the windows look back, into the next one. A (key, block) group then holds
-   at most ``BLOCK_DAYS + look-back`` days of seconds however hot the key is.
-3. Inside a block a rolling value is the difference of two running totals:
-   up to now, minus up to just before the window. Running totals take one pass.
+2. A window is the tail of the day it starts in, the whole days between and the
+   head of the day it ends in. Heads and tails are running sums within (key,
+   day), read at the second of the row: for each window a copy of that second
+   is put into the day where the window starts. A group then holds at most the seconds of
+   a day and their copies, however hot the key is and however far windows look back.
+3. Whole days are summed per key over one row per day.
 4. Join the per-second results back to the rows on (key, second). AQE can split
    a skewed partition of that join, down to a single hot second.
 
-Totals of DOUBLE columns are held as whole units plus 2**-38ths in two BIGINTs,
-so that the difference is exact; infinite and NaN sums are counted on the side
-and put back at the end.
+Sums are only ever added to, never subtracted from one another, so large and small,
+infinite and NaN values come out as in a plain window.
 """
 
 from __future__ import annotations
@@ -28,14 +29,7 @@ from pyspark.sql import functions as F
 
 from txrisk.functions.calendar import DAY_SECONDS
 
-# A block and its look-back of at most another block have fewer than 2**24
-# seconds, so a total of fractions of 38 bits each fits in 63 bits.
-BLOCK_DAYS = 90
-FRACTION = float(1 << 38)
-# Two counts of seconds, each below 2**24, share one BIGINT.
-DOWN = 1 << 32
-
-KEY, SEC, BLOCK, OWN, AT = "__key", "__sec", "__block", "__own", "__at"
+KEY, SEC, DAY, OFF, OWN, SHIFT, AT = "__key", "__sec", "__day", "__off", "__own", "__shift", "__at"
 
 
 def _second(ts: str) -> str:
@@ -72,19 +66,6 @@ def daily_totals(df: DataFrame, key: str, ts: str, aggs: dict[str, tuple[str, st
     return df.selectExpr(f"`{key}`", day, *_named(measures)).groupBy(key, "day").agg(*_sums(measures))
 
 
-def _exact_parts(column: str) -> dict[str, str]:
-    """A per-second DOUBLE sum as units, fraction and non-finite flags."""
-    s = f"`s_{column}`"
-    finite = f"not isnan({s}) and abs({s}) < double('Infinity')"
-    return {
-        f"units_{column}": f"case when {finite} then floor({s}) end",
-        f"parts_{column}": f"case when {finite} then cast(round(({s} - floor({s})) * {FRACTION}D) as bigint) end",
-        # NaN counts as both infinities: their sum is NaN again.
-        f"odd_{column}": f"case when {s} is null or {finite} then 0L when isnan({s}) then {1 + DOWN}L "
-        f"when {s} > 0 then 1L else {DOWN}L end",
-    }
-
-
 def rolling_stats(
     source: DataFrame,
     key: str,
@@ -102,10 +83,6 @@ def rolling_stats(
     window starts or ends in; see ``cut_days``. See ``rolling_range`` for the
     other arguments.
     """
-    look_back = max(days) + delay_days
-    if look_back > BLOCK_DAYS:
-        raise ValueError(f"windows may reach back {BLOCK_DAYS} days at most")
-    delay, block_seconds = delay_days * DAY_SECONDS, BLOCK_DAYS * DAY_SECONDS
     measures = _measures(aggs)
 
     def slim_rows(df: DataFrame, own: int) -> DataFrame:
@@ -120,72 +97,86 @@ def rolling_stats(
         keys = source.select(key).distinct()
     if history is not None:
         rows = rows.unionByName(slim_rows(history.join(keys, key, "left_semi"), 0))
-    if totals is not None:
-        whole_days = totals.join(keys, key, "left_semi").selectExpr(
-            f"`{key}` as {KEY}",
-            f"cast(day as bigint) * {DAY_SECONDS} as {SEC}",
-            *[f"`{n}`" for n in measures],
-            f"0 as {OWN}",
-        )
-        rows = rows.unionByName(whole_days)
     own = [F.max(OWN).alias(OWN)] if with_past else []
-    slim = rows.groupBy(KEY, SEC).agg(*_sums(measures), *own)
-
-    doubles = {
-        c
-        for f, c in aggs.values()
-        if f != "count" and source.schema[c].dataType.typeName() in ("double", "float")
-    }
-    exact = {n: f"`{n}`" for n in measures if n[2:] not in doubles or n.startswith("n_")}
-    for c in sorted(doubles):
-        exact |= _exact_parts(c)
-    home = f"floor({SEC} / {block_seconds})"
-    # floor of the quotient and pmod agree for times before 1970 too.
-    near_end = f"pmod({SEC}, {block_seconds}) >= {block_seconds - look_back * DAY_SECONDS}"
-    spread = slim.selectExpr(
+    slim = (
+        rows.groupBy(KEY, SEC)
+        .agg(*_sums(measures), *own)
+        .selectExpr("*", f"floor({SEC} / {DAY_SECONDS}) as {DAY}", f"pmod({SEC}, {DAY_SECONDS}) as {OFF}")
+    )
+    asked = f"{OWN} = 1" if with_past else "true"
+
+    # Days back from a row's own day: to the one its windows end in, to those they start in.
+    ends = [delay_days, *(delay_days + d for d in days)]
+    # A second itself (no shift, or the shift 0 of windows without a delay), and its copies.
+    itself = "struct(0 as back, true as real)"
+    copies = [f"struct({back} as back, false as real)" for back in ends if back]
+    places = f"case when {asked} then array({', '.join([itself, *copies])}) else array({itself}) end"
+    spread = slim.selectExpr("*", f"inline({places})").selectExpr(
         KEY,
-        SEC,
-        *([OWN] if with_past else []),
-        *_named(exact),
-        f"explode(case when {near_end} then array({home}, {home} + 1) else array({home}) end) as {BLOCK}",
+        f"{DAY} - back as {DAY}",
+        OFF,
+        f"back as {SHIFT}",
+        f"({'real' if delay_days else 'false'} or not ({asked})) as __mute",
+        *[f"case when real then `{n}` end as `{n}`" for n in measures],
     )
 
-    def running(name: str, seconds_back: int) -> str:
-        end = f"{seconds_back} preceding" if seconds_back else "current row"
+    def running(name: str, order: str) -> str:
         return (
-            f"coalesce(sum(`{name}`) over (partition by {KEY}, {BLOCK} order by {SEC} "
-            f"range between unbounded preceding and {end}), 0L)"
+            f"sum(`{name}`) over (partition by {KEY}, {DAY} order by {OFF} {order} "
+            "range between unbounded preceding and current row)"
         )
 
-    frames = {f"now_{n}": running(n, delay) for n in exact}
-    for d in days:
-        frames |= {f"old{d}_{n}": running(n, delay + d * DAY_SECONDS + 1) for n in exact}
-    kept = f"{BLOCK} = {home} and {OWN} = 1" if with_past else f"{BLOCK} = {home}"
-    spread = spread.selectExpr("*", *_named(frames)).where(kept)
-
-    def inside(name: str, d: int) -> str:
-        return f"(`now_{name}` - `old{d}_{name}`)"
-
-    def total(column: str, d: int) -> str:
-        if column not in doubles:
-            return inside(f"s_{column}", d)
-        odd = inside(f"odd_{column}", d)
-        value = f"({inside(f'units_{column}', d)} + {inside(f'parts_{column}', d)} / {FRACTION}D)"
-        return (
-            f"(case when {odd} = 0 then {value} when {odd} % {DOWN}L = 0 then double('-Infinity') "
-            f"when {odd} < {DOWN}L then double('Infinity') else double('NaN') end)"
+    heads = {f"head_{n}": running(n, "asc") for n in measures}
+    tails = {f"tail_{n}": running(n, "desc") for n in measures}
+    parts = spread.selectExpr("*", *_named(heads)).selectExpr("*", *_named(tails)).where("not __mute")
+    # Back to the row's own day, with one column per part.
+    pieces = {}
+    for n in measures:
+        pieces[f"now_{n}"] = f"max(case when {SHIFT} = {delay_days} then `head_{n}` end)"
+        for d in days:
+            pieces[f"old{d}_{n}"] = f"max(case when {SHIFT} = {delay_days + d} then `tail_{n}` end)"
+    points = (
+        parts.selectExpr("*", f"{DAY} + {SHIFT} as {AT}")
+        .groupBy(KEY, AT, OFF)
+        .agg(*[F.expr(text).alias(name) for name, text in pieces.items()])
+    )
+
+    by_day = slim.groupBy(KEY, DAY).agg(*_sums(measures), *own)
+    if totals is not None:
+        earlier = totals.join(keys, key, "left_semi").selectExpr(
+            f"`{key}` as {KEY}", f"cast(day as bigint) as {DAY}", *[f"`{n}`" for n in measures], f"0 as {OWN}"
         )
+        by_day = by_day.unionByName(earlier).groupBy(KEY, DAY).agg(*_sums(measures), *own)
+    whole = {}
+    for d in days:
+        for n in measures:
+            frame = f"range between {delay_days + d - 1} preceding and {delay_days + 1} preceding"
+            if d > 1:
+                whole[f"days{d}_{n}"] = f"sum(`{n}`) over (partition by {KEY} order by {DAY} {frame})"
+    between = by_day.selectExpr("*", *_named(whole)).where(asked)
+    between = between.selectExpr(f"{KEY} as __of", f"{DAY} as __on", *[f"`{n}`" for n in whole])
+    joined = points.join(between, F.expr(f"{KEY} <=> __of and {AT} = __on"))
+
+    def total(name: str, d: int) -> str:
+        zero = "0D" if name in doubles else "0L"
+        terms = [f"now_{name}", f"old{d}_{name}", *([f"days{d}_{name}"] if d > 1 else [])]
+        return "(" + " + ".join(f"coalesce(`{t}`, {zero})" for t in terms) + ")"
 
+    doubles = {
+        n
+        for n in measures
+        if n.startswith("s_") and source.schema[n[2:]].dataType.typeName() in ("double", "float")
+    }
     out: dict[str, str] = {}
     for d in days:
         for template, (func, column) in aggs.items():
-            n = inside("n_" if column == "*" else f"n_{column}", d)
+            n = total("n_" if column == "*" else f"n_{column}", d)
             out[template.format(d=d)] = {
                 "count": lambda: n,
-                "sum": lambda: f"case when {n} > 0 then {total(column, d)} end",
-                "avg": lambda: f"case when {n} > 0 then cast({total(column, d)} as double) / {n} end",
+                "sum": lambda: f"case when {n} > 0 then {total(f's_{column}', d)} end",
+                "avg": lambda: f"case when {n} > 0 then cast({total(f's_{column}', d)} as double) / {n} end",
             }[func]()
-    return spread.selectExpr(KEY, SEC, *_named(out))
+    return joined.selectExpr(KEY, f"{AT} * {DAY_SECONDS} + {OFF} as {SEC}", *_named(out))
 
 
 def cut_days(row_days: Sequence[int], days: Sequence[int], delay_days: int = 0) -> set[int]:
@@ -199,13 +190,12 @@ def cut_days(row_days: Sequence[int], days: Sequence[int], delay_days: int = 0)
 
 def attach_stats(df: DataFrame, key: str, ts: str, stats: DataFrame) -> DataFrame:
     """Add the columns of ``rolling_stats`` to the rows of ``df``."""
-    # The statistics grow with the data, so they are never broadcast. The match
-    # is null-safe on the key: null keys form a group, as in a window. It also
-    # keeps Spark from pushing a null filter below the shared input, which
+    # The match is null-safe on the key: null keys form a group, as in a window. It
+    # also keeps Spark from pushing a null filter below the shared input, which
     # would stop the exchange under it from being reused.
     match = F.expr(f"`{key}` <=> {KEY} and {AT} = {SEC}")
     rows = df.selectExpr("*", f"{_second(ts)} as {AT}")
-    return rows.join(stats.hint("merge"), match, "left").drop(AT, KEY, SEC)
+    return rows.join(stats, match, "left").drop(AT, KEY, SEC)
 
 
 def rolling_range(
