@@ -23,10 +23,21 @@ def test_student_t(t, df, p):
     assert student_t_two_sided(t, df) == pytest.approx(p, abs=1e-6)
 
 
-def test_student_t_is_continuous_where_the_method_changes():
-    for t in (0.1, 1.0, 2.5, 5.0):
-        below, above = student_t_two_sided(t, 1e5), student_t_two_sided(t, 1e5 + 1)
-        assert above == pytest.approx(below, rel=1e-6)
+@pytest.mark.parametrize("df", [1e3, 1e5, 1e6, 1e9, 1e12])
+@pytest.mark.parametrize("t", [1e-3, 0.5, 1.0, 2.0, 5.0, 10.0])
+def test_student_t_with_many_degrees(t, df):
+    """Against the normal tail with its correction in 1 / df."""
+    normal = math.erfc(t / math.sqrt(2))
+    density = math.exp(-t * t / 2) / math.sqrt(2 * math.pi)
+    expected = normal + 2 * density * (t**3 + t) / (4 * df)
+    slack = 2 * density * (3 * t**7 + 5 * t**5 + 7 * t**3 + 3 * t) / (32 * df * df)
+    assert student_t_two_sided(t, df) == pytest.approx(expected, rel=1e-10, abs=2 * slack)
+
+
+@pytest.mark.parametrize("t", [1e-6, 0.1, 1.0, 12.0, 1e4])
+def test_student_t_in_closed_form(t):
+    assert student_t_two_sided(t, 1) == pytest.approx(1 - 2 / math.pi * math.atan(t), rel=1e-9)
+    assert student_t_two_sided(t, 2) == pytest.approx(1 - t / math.sqrt(2 + t * t), rel=1e-6)
 
 
 def test_student_t_of_nothing():

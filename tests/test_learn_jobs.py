@@ -52,7 +52,7 @@ def test_profile_job(spark, table):
     copies = {r["source_file"]: r["n_duplicates"] for r in found["duplicates"].collect()}
     assert copies == {"a.txt": 0, "b.txt": 1}
     gaps = {(r["source_file"], r["column"]): r["n_null"] for r in found["missing"].collect()}
-    assert gaps["b.txt", "terminal_id"] == 2 and gaps["a.txt", "terminal_id"] == 0
+    assert gaps["b.txt", "terminal_id"] == 1 and gaps["a.txt", "terminal_id"] == 0
     counts = {(r["source_file"], r["column"]): r["count"] for r in found["numeric"].collect()}
     assert counts["a.txt", "tx_amount"] == 300 and counts["b.txt", "terminal_id"] == 0
 

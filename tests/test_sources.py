@@ -5,7 +5,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from txrisk.schema import AUC_CV, RAW_COLUMNS
-from txrisk.sources import raw
 from txrisk.sources.messages import (
     decode_column_maps,
     decode_messages,
@@ -59,9 +58,7 @@ def test_read_raw(spark, tmp_path):
     assert raw_header(spark, str(tmp_path / "2024-01-01.txt")) == RAW_COLUMNS
 
 
-@pytest.mark.parametrize("limit", [0, 200_000])
-def test_line_numbers_across_blocks_and_files(spark, tmp_path, monkeypatch, limit):
-    monkeypatch.setattr(raw, "BROADCAST_BLOCKS", limit)
+def test_line_numbers_across_blocks_and_files(spark, tmp_path):
     for name, n in (("a", 400), ("b", 37)):
         write(tmp_path / f"{name}.txt", *[f"{name}{i}" for i in range(1, n + 1)])
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
@@ -76,10 +73,13 @@ def test_line_numbers_across_blocks_and_files(spark, tmp_path, monkeypatch, limi
 
 def test_file_messages(spark, tmp_path):
     write(tmp_path / "x.txt", HEADER, ",".join(SAMPLE.values()), "2,2024-01-01 00:00:00,7")
-    got = {r["key"]: json.loads(r["value"]) for r in file_messages(spark, str(tmp_path / "x.txt")).collect()}
+    rows = file_messages(spark, str(tmp_path / "x.txt")).collect()
+    assert all(r["key"].endswith("/x.txt") for r in rows)
+    got = {r["key"].split("@")[0]: json.loads(r["value"]) for r in rows}
     assert got["tx_2"] == SAMPLE
     assert got["tx_3"] == {"tranaction_id": "2", "tx_datetime": "2024-01-01 00:00:00", "customer_id": "7"}
-    assert [r["key"] for r in file_messages(spark, str(tmp_path / "x.txt"), limit=3).collect()] == ["tx_2"]
+    limited = file_messages(spark, str(tmp_path / "x.txt"), limit=3).collect()
+    assert [r["key"].split("@")[0] for r in limited] == ["tx_2"]
 
 
 def messages(spark, *values):

@@ -112,15 +112,27 @@ def test_stateless_known_message(spark, tmp_path):
     assert (got["tx_3"]["day_of_week"], got["tx_3"]["hour"], got["tx_3"]["is_day"]) == (7, 9, 1)
 
 
-def test_redelivered_messages_are_dropped(spark, tmp_path):
-    inbox, out, check = (str(tmp_path / n) for n in ("in", "out", "c"))
-    message = spark.createDataFrame([("tx_2", json.dumps(SAMPLE))], "key STRING, value STRING")
-    for _ in range(2):
-        deliver(message, inbox)
-        score_stream(
-            read_tx_stream(spark, inbox, redelivery="1 hour"), check, features="stateless", features_path=out
-        ).awaitTermination()
-    assert spark.read.parquet(out).count() == 1
+def test_redelivered_rows_count_once(spark, tmp_path):
+    """Across batches too; another row with the same key, or a late one, is no redelivery."""
+    history, out = str(tmp_path / "h"), str(tmp_path / "out")
+    df = transactions(spark, 60)
+    messages = to_messages(df, F.lit("one key"))
+    for batch_id in (0, 1):
+        score_batch(messages, batch_id, None, "history", history, None, out, None)
+    compare(spark.read.parquet(out), feature_table(df, REQUIRED_COLUMNS))
+
+
+def test_a_stray_date_reads_nothing(spark, tmp_path):
+    history, out = str(tmp_path / "h"), str(tmp_path / "out")
+    df = transactions(spark, 60).where("terminal_id <> 'Err'")
+    score_batch(to_messages(df), 0, None, "history", history, None, out, None)
+    stray = df.limit(1).withColumns({"tx_datetime": F.lit("0001-01-01 00:00:00"), "tranaction_id": F.lit("999")})
+    now = df.where("tx_datetime >= '2024-01-03'").withColumn("tranaction_id", F.concat(F.lit("9"), "tranaction_id"))
+    batch = to_messages(stray.unionByName(now))
+    score_batch(batch, 1, None, "history", history, None, out, None)
+    compare(spark.read.parquet(out).where("batch_id = 1").drop("batch_id"),
+            feature_table(df.unionByName(now).unionByName(stray)).join(
+                now.unionByName(stray).selectExpr("cast(tranaction_id as long) tranaction_id"), "tranaction_id", "left_semi"))
 
 
 def test_scores_become_daily_forecasts(spark, tmp_path):

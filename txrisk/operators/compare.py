@@ -133,7 +133,7 @@ def compare_models(
     """Compare two trained models on the same rows and name the winner.
 
     The two best finished runs, or the two in ``models``, are "new" and
-    "current". The result is one row; ``status`` is one of not_enough_models,
+    "current". The result is one row; ``status`` is one of not_enough_models, missing_metric,
     equal_metrics, not_enough_samples and compared. With ``require_better`` the
     new model must also have the better metric; without it a significant
     difference alone makes it win. ``load`` maps an artifact path to a model.
@@ -151,9 +151,11 @@ def compare_models(
     needed = base.select(required_n(p1, p2).alias("n")).first()["n"]
     if current is None:
         status, tested = "not_enough_models", None
+    elif new["metric"] is None or current["metric"] is None:
+        status, tested = "missing_metric", None
     elif needed is None:
         status, tested = "equal_metrics", None
-    elif test.count() <= needed:
+    elif test.limit(needed + 1).count() <= needed:
         status, tested = "not_enough_samples", None
     else:
         status = "compared"

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# The columns whose ranges tell whether a file is sound.
 PROFILED_COLUMNS = [
     "tranaction_id",
     "customer_id",
     "terminal_id",
-    "tx_amount",
-    "tx_time_seconds",
     "tx_time_days",
+    "tx_fraud",
+    "tx_fraud_scenario",
 ]
 
 

@@ -80,8 +80,7 @@ def rolling_stats(
 
     The result has the columns ``__key``, ``__sec`` and one per (window, output).
     ``totals`` (of ``daily_totals``) stand in for earlier rows on days that no
-    window starts or ends in; see ``cut_days``. See ``rolling_range`` for the
-    other arguments.
+    window starts or ends in. See ``rolling_range`` for the other arguments.
     """
     measures = _measures(aggs)
 
@@ -179,15 +178,6 @@ def rolling_stats(
     return joined.selectExpr(KEY, f"{AT} * {DAY_SECONDS} + {OFF} as {SEC}", *_named(out))
 
 
-def cut_days(row_days: Sequence[int], days: Sequence[int], delay_days: int = 0) -> set[int]:
-    """The days in which a window of a row on one of ``row_days`` starts or ends.
-
-    Windows are whole numbers of days long, so that every other day lies fully
-    inside or fully outside of each of them.
-    """
-    return {row - delay_days - back for row in row_days for back in (0, *days)} | set(row_days)
-
-
 def attach_stats(df: DataFrame, key: str, ts: str, stats: DataFrame) -> DataFrame:
     """Add the columns of ``rolling_stats`` to the rows of ``df``."""
     # The match is null-safe on the key: null keys form a group, as in a window. It

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from txrisk.schema import WINDOW_DAYS
 
 # Two-sided 95 % and one-sided 80 % normal quantiles, as 2 * (z1 + z2) ** 2.
@@ -152,14 +154,32 @@ select n_a, round(mean_a + 1e-9, 6) as mean_a, round(sd_a + 1e-9, 6) as sd_a,
 from w"""
 
 
+# P(|T| > |t|) of the columns t and df: one minus Simpson's sum of the density from 0 to |t|.
+P_VALUE = """greatest(0, 1 - 2 * exp(lgamma((df + 1) / 2) - lgamma(df / 2)) / sqrt(pi() * df) * abs(t) / 60000 * (
+    select sum((case when k in (0, 20000) then 1 when k % 2 = 1 then 4 else 2 end)
+      * pow(1 + pow(t * k / 20000, 2) / df, -(df + 1) / 2))
+    from generate_series(0, 20000) g(k)))"""
+
+
+def _with_p(exact: str, keys: str, more: str = "") -> str:
+    """``exact`` with p and what follows from it, rounded like the query."""
+    arms = re.findall(r"\b(?:mean|sd)_\w+", keys)
+    shown = ", ".join(f"round({n} + 1e-9, 6) as {n}" if n in arms else n for n in keys.split(", "))
+    return f"""{exact}, tested as (select *, {P_VALUE} as p from exact)
+select {shown}, round(t + 1e-9, 6) as t, round(df + 1e-9, 6) as df, round(p + 1e-9, 6) as p,
+  cast(sign(t) as integer) as direction, p < 0.05 as different{more}
+from tested"""
+
+
 def _numeric_profile() -> str:
-    names = ["tranaction_id", "customer_id", "terminal_id", "tx_amount", "tx_time_seconds", "tx_time_days"]
+    names = ["tranaction_id", "customer_id", "terminal_id", "tx_time_days", "tx_fraud", "tx_fraud_scenario"]
     one = (
         "select source_file, '{c}' as \"column\", count({c}) as count, round(avg({c}) + 1e-9, 6) as mean, "
         "round(stddev_samp({c}) + 1e-9, 6) as stddev, cast(min({c}) as double) as min, "
-        "cast(max({c}) as double) as max from dirty group by 1"
+        "cast(max({c}) as double) as max from single group by 1"
     )
-    return f"with {DIRTY} " + " union all ".join(one.format(c=c) for c in names)
+    single = f"single as (select distinct {RAW}, source_file from dirty)"
+    return f"with {DIRTY}, {single} " + " union all ".join(one.format(c=c) for c in names)
 
 
 def _missing_profile() -> str:
@@ -187,7 +207,7 @@ from clean"""
 select 'tx_' || tranaction_id as key, {RAW},"""
     return {
         "read_raw_csv": f"with {DIRTY} select {RAW} from dirty",
-        "raw_file_messages": f"with {DIRTY} select {RAW} from dirty",
+        "raw_file_messages": f"with {DIRTY} select {RAW}, true as numbered from dirty",
         "snapshot_roundtrip": f"with {CLEAN} select {RAW}, tx_datetime[:10] as tx_date from clean",
         "choose_snapshots": """select tx_date from (
   select distinct strftime(ts, '%Y-%m-%d') as tx_date from events)
@@ -238,6 +258,15 @@ select tranaction_id, sec as epoch, strftime(ts, '%Y_%m_%d') as stamp, {_calenda
         "terminal_features": f"with {TX} select {SOME}, {_terminal()} from tx",
         "terminal_features_delayed": f"with {TX} select {SOME}, {_terminal(delay=7)} from tx",
         "feature_table": features,
+        "rolling_small_amounts": f"""with li as (
+  select l_orderkey, l_linenumber, l_partkey as customer_id, l_suppkey as terminal_id,
+    l_extendedprice / 1e15 as tx_amount, cast(floor(epoch(l_shipdate)) as bigint) as sec
+  from lineitem)
+select l_orderkey, l_linenumber,
+  {", ".join(f"round(avg(tx_amount) {_frame('customer_id', d)} * 1e15 + 1e-9, 6) as avg_amount_per_customer_for_{d}_days" for d in WINDOW_DAYS)}
+from li""",
+        "sample_rows": f"""with {TX} select tranaction_id, tx_amount from tx
+where cast('0x' || left(md5('11:' || tranaction_id), 8) as bigint) < {int(0.05 * (1 << 32))}""",
         "rolling_lineitem": f"""with li as (
   select l_orderkey, l_linenumber, l_partkey as customer_id, l_suppkey as terminal_id,
     strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') as tx_datetime, l_extendedprice as tx_amount,
@@ -285,6 +314,31 @@ from arms group by 1, 2""",
         "ttest_two_arms": _two_arms(
             "(mean_a - mean_b) / (sqrt(va + vb) + 1e-5)", "cast(n_a + n_b - 2 as double)"
         ),
+        "ttest_p_value": _with_p(
+            f"""with {ARMS},
+s as (select arm, count(score) as n, avg(score) as mean, stddev_samp(score) as sd from arms group by 1),
+exact as (
+  select a.n as n_a, a.mean as mean_a, a.sd as sd_a, b.n as n_b, b.mean as mean_b, b.sd as sd_b,
+    (a.mean - b.mean) / (sqrt(a.sd * a.sd / a.n + b.sd * b.sd / b.n) + 1e-5) as t,
+    cast(a.n + b.n - 2 as double) as df
+  from s a, s b where a.arm = 'fraud' and b.arm = 'legitimate')""",
+            "n_a, mean_a, sd_a, n_b, mean_b, sd_b",
+        ),
+        "daily_drift_flags": _with_p(
+            f"""with {ARMS},
+r as (select count(score) as n_ref, avg(score) as mean_ref, stddev_samp(score) as sd_ref from arms),
+d as (
+  select forecast_date, count(score) as n_live, avg(score) as mean_live, stddev_samp(score) as sd_live
+  from arms group by 1),
+exact as (
+  select *, (mean_ref - mean_live)
+      / (sqrt(sd_ref * sd_ref / n_ref + sd_live * sd_live / n_live) + 1e-5) as t,
+    cast(n_ref + n_live - 2 as double) as df
+  from d, r)""",
+            "forecast_date, n_ref, mean_ref, sd_ref, n_live, mean_live, sd_live",
+            ", p < 0.05 as refit",
+        ),
+        "gbt_scores": f"with {CLEAN} select tranaction_id, tx_fraud, true as sound from clean",
         "ttest_welch": _two_arms(
             "(mean_a - mean_b) / sqrt(va + vb)",
             "(va + vb) * (va + vb) / (va * va / (n_a - 1) + vb * vb / (n_b - 1))",

@@ -25,7 +25,7 @@ from txrisk.plans.adapters import (
     table,
     transactions,
 )
-from txrisk.schema import AUC_CV, FEATURES, RAW_COLUMNS, REQUIRED_COLUMNS
+from txrisk.schema import AUC_CV, FEATURES, RAW_COLUMNS, REQUIRED_COLUMNS, WINDOW_DAYS
 from txrisk.session import configure, work_dir
 from txrisk.sources import messages, raw, runs, tables
 from txrisk.streaming import scoring
@@ -87,9 +87,23 @@ def read_raw_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def raw_file_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of all files, and whether each file's keys number its lines without a gap."""
     sent = messages.file_messages(spark, _write_raw_text(spark, sf_dir))
-    decoded = messages.decode_messages(sent)
-    return c.coerce_types(decoded).select(*[n for n in RAW_COLUMNS if n != "tx_datetime"], text_time())
+    decoded = c.coerce_types(messages.decode_messages(sent)).withColumns(
+        {
+            "line": F.regexp_extract("key", "^tx_([0-9]+)@", 1).cast("bigint"),
+            "file": F.regexp_extract("key", "@(.+)$", 1),
+        }
+    )
+    files = decoded.groupBy("file").agg(F.min("line").alias("a"), F.max("line").alias("b"), F.count("*").alias("n"),
+                                        F.sum("line").alias("s"))
+    # A file may begin with the header line.
+    whole = (F.col("a") <= 2) & (F.col("n") == F.col("b") - F.col("a") + 1) & (2 * F.col("s") == F.col("n") * (F.col("a") + F.col("b")))
+    checked = decoded.join(files.select("file", whole.alias("numbered")), "file")
+    unique = checked.groupBy("key").count().where("count > 1").select(F.count("*").alias("n")).scalar() == 0
+    return checked.select(
+        *[n for n in RAW_COLUMNS if n != "tx_datetime"], text_time(), (F.col("numbered") & unique).alias("numbered")
+    )
 
 
 @query
@@ -211,7 +225,7 @@ def profile_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def profile_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = profile.profile_numeric(c.coerce_types(dirty_raw(spark, sf_dir)), by="source_file")
+    out = profile.profile_numeric(c.coerce_types(dirty_raw(spark, sf_dir)).distinct(), by="source_file")
     return out.withColumns({n: r6(n) for n in ("mean", "stddev")})
 
 
@@ -288,6 +302,17 @@ def rolling_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(rows.drop("day_of_week", "week_of_year", "is_weekend", "hour", "is_day"))
 
 
+@query
+def rolling_small_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Averages of amounts around 1e-11, shown on the scale of the amounts before."""
+    rows = lineitem_transactions(spark, sf_dir).withColumn("tx_amount", F.col("tx_amount") / 1e15)
+    rows = features.customer_features(rows)
+    names = [f"avg_amount_per_customer_for_{d}_days" for d in WINDOW_DAYS]
+    return rows.select(
+        *[n for n in rows.columns if n.startswith("l_")], *[r6(F.col(n) * 1e15).alias(n) for n in names]
+    )
+
+
 # --- learning --------------------------------------------------------------
 
 
@@ -309,7 +334,8 @@ def union_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def sample_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return learn.sample_rows(transactions(spark, sf_dir), 0.05, seed=11)
+    rows = learn.sample_rows(transactions(spark, sf_dir), 0.05, seed=11, by=["tranaction_id"])
+    return rows.select("tranaction_id", "tx_amount")
 
 
 @query
@@ -327,10 +353,12 @@ def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def gbt_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each row's label, and whether its score is a probability that the prediction follows."""
     rows = _labelled(spark, sf_dir)
-    model = learn.train(rows, learn.build_pipeline(maxIter=3))
-    scored = learn.score(rows, model)
-    return scored.select("tranaction_id", "tx_fraud", "prediction", score_of(scored).alias("score"))
+    scored = learn.score(rows, learn.train(rows))
+    p = score_of(scored)
+    sound = p.between(0, 1) & (F.col("prediction") == (p > 0.5).cast("double"))
+    return scored.select("tranaction_id", "tx_fraud", sound.alias("sound"))
 
 
 @query
@@ -343,7 +371,7 @@ def cv_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Does a model give the same scores after it was saved and loaded?"""
     rows = _labelled(spark, sf_dir)
-    model = learn.train(rows, learn.build_pipeline(maxIter=2))
+    model = learn.train(rows)
     path = work_dir(spark, "model")
     runs.save_model(model, path)
     both = learn.score(rows, model).select(*rows.columns, F.col("probability").alias("fitted"))
@@ -419,7 +447,7 @@ def score_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _rounded_t(df: DataFrame) -> DataFrame:
-    names = [n for n in df.columns if n.startswith(("mean", "sd")) or n in ("t", "df")]
+    names = [n for n in df.columns if n.startswith(("mean", "sd")) or n in ("t", "df", "p")]
     return df.withColumns({n: r6(n) for n in names})
 
 
@@ -437,7 +465,7 @@ def ttest_welch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def ttest_p_value(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return compare.ttest(_score_rows(spark, sf_dir), "arm", "fraud", "legitimate")
+    return _rounded_t(compare.ttest(_score_rows(spark, sf_dir), "arm", "fraud", "legitimate"))
 
 
 @query
@@ -449,7 +477,7 @@ def daily_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def daily_drift_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _score_rows(spark, sf_dir)
-    return compare.score_drift(rows, rows)
+    return _rounded_t(compare.score_drift(rows, rows))
 
 
 @query
@@ -488,7 +516,7 @@ def compare_models(spark: SparkSession, sf_dir: str) -> DataFrame:
             dates[cut:],
             grid={"maxDepth": [depth], "maxIter": [2]},
         )
-    return jobs.compare_job(spark, table_path, runs_path, dates)
+    return jobs.compare_job(spark, table_path, runs_path, dates[cut:])
 
 
 # --- streaming -------------------------------------------------------------

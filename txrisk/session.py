@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -48,20 +47,11 @@ def local_session(cpus: str | int = "*", app: str = "txrisk", **conf: str) -> Sp
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach: ``spark.checkpoint.dir``.
-
-    Only a local master may fall back to a machine-local temporary folder.
-    """
+    """The folder every executor can reach: ``spark.checkpoint.dir``, else the warehouse."""
     configured = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get(
         "spark.checkpoint.dir", None
     )
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    fallback = tempfile.mkdtemp(prefix="txrisk-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    return configured or spark.conf.get("spark.sql.warehouse.dir")
 
 
 def work_dir(spark: SparkSession, name: str) -> str:

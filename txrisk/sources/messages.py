@@ -24,9 +24,9 @@ def to_messages(df: DataFrame, key: Column | None = None) -> DataFrame:
 
 
 def file_messages(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
-    """A raw text file as messages keyed ``tx_<line number>``.
+    """Raw text files as messages keyed ``tx_<line number>@<file>``.
 
-    Field names come from the header line. With ``limit`` only the lines before
+    Keys are unique over all files. Field names come from the header line. With ``limit`` only the lines before
     that number are sent, which is how a short load test is cut.
     """
     names = raw_header(spark, path)
@@ -36,7 +36,7 @@ def file_messages(spark: SparkSession, path: str, limit: int | None = None) -> D
     parts = F.split("value", ",")
     fields = [F.get(parts, F.lit(i)).alias(n) for i, n in enumerate(names)]
     return lines.select(
-        F.concat(F.lit("tx_"), F.col("line").cast("string")).alias("key"),
+        F.concat(F.lit("tx_"), F.col("line").cast("string"), F.lit("@"), "file").alias("key"),
         F.to_json(F.struct(*fields)).alias("value"),
     )
 

@@ -7,11 +7,6 @@ from pyspark.sql import functions as F
 
 from txrisk.schema import RAW
 
-# Up to this many input blocks (some 30 MB of offsets) the offsets are broadcast;
-# beyond it Spark joins by shuffling.
-BROADCAST_BLOCKS = 200_000
-
-
 def read_raw(
     spark: SparkSession, path: str | list[str], glob: str | None = None, source_file: bool = False
 ) -> DataFrame:
@@ -28,9 +23,11 @@ def read_raw(
 
 
 def raw_header(spark: SparkSession, path: str) -> list[str]:
-    """Column names out of the ``# a | b | c`` line."""
-    line = spark.read.text(path).where(F.col("value").startswith("#")).first()["value"]
-    return [name.strip() for name in line.lstrip("#").split(" | ")]
+    """Column names out of the ``# a | b | c`` line, which all files must share."""
+    lines = spark.read.text(path).where(F.col("value").startswith("#")).distinct().limit(2).collect()
+    if len(lines) != 1:
+        raise ValueError(f"{'several' if lines else 'no'} header lines in {path}")
+    return [name.strip() for name in lines[0]["value"].lstrip("#").split(" | ")]
 
 
 def number_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -51,9 +48,6 @@ def number_lines(spark: SparkSession, path: str) -> DataFrame:
     )
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = blocks.select("file", "block", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("skip"))
-    # A file has one block more than it was cut, and each cut fills a partition.
-    if len(source.inputFiles()) + source.rdd.getNumPartitions() <= BROADCAST_BLOCKS:
-        offsets = F.broadcast(offsets)
     return lines.join(offsets, ["file", "block"]).select(
         "file", (F.col("skip") + F.col("id") - F.col("first") + 1).alias("line"), "value"
     )

@@ -80,10 +80,10 @@ def read_forecast_text(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+def read_if_exists(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame | None:
     """A Parquet table, or None where nothing has been written yet."""
     try:
-        return spark.read.parquet(path)
+        return (spark.read.schema(schema) if schema else spark.read).parquet(path)
     except AnalysisException as missing:
         if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -17,8 +19,8 @@ from txrisk.operators.features import (
     build_features,
     single_row_features,
 )
-from txrisk.operators.rolling import cut_days, daily_totals
-from txrisk.schema import RAW_COLUMNS, WINDOW_DAYS
+from txrisk.operators.rolling import daily_totals
+from txrisk.schema import CLEAN_TYPES, RAW_COLUMNS, WINDOW_DAYS
 from txrisk.sources.messages import (
     check_messages,
     decode_scores,
@@ -36,28 +38,34 @@ def read_tx_stream(
     path: str | None = None,
     topic: str | None = None,
     options: dict[str, str] | None = None,
-    redelivery: str | None = None,
 ) -> DataFrame:
     """(key, value, timestamp) messages from a Kafka topic or a folder of Parquet files.
 
     Connection settings and read limits (``maxOffsetsPerTrigger``,
-    ``maxFilesPerTrigger``) go in ``options``. ``redelivery``, such as
-    "1 hour", drops a message whose key came before within that time.
+    ``maxFilesPerTrigger``) go in ``options``.
     """
     if topic is not None:
         source = spark.readStream.format("kafka").option("subscribe", topic)
         stream = source.options(**(options or {})).load()
     else:
         stream = spark.readStream.schema(MESSAGE).options(**(options or {})).parquet(path)
-    stream = stream.select(
+    return stream.select(
         F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"), "timestamp"
     )
-    if redelivery:
-        stream = stream.withWatermark("timestamp", redelivery).dropDuplicatesWithinWatermark(["key"])
-    return stream
 
 
 ROWS, CUSTOMERS, TERMINALS = "rows", "customers", "terminals"
+STORED = {
+    ROWS: ", ".join(["key STRING", *(f"{c} {t}" for c, t in CLEAN_TYPES.items())]),
+    CUSTOMERS: "customer_id INT, n_tx_amount BIGINT, s_tx_amount DOUBLE",
+    TERMINALS: "terminal_id INT, n_ BIGINT, n_tx_fraud BIGINT, s_tx_fraud BIGINT",
+}
+
+
+def _stored(spark: SparkSession, path: str, name: str) -> DataFrame | None:
+    """A part of the history, by its fixed schema: no file is opened to find the columns."""
+    schema = f"{STORED[name]}, day BIGINT, batch_id BIGINT"
+    return read_if_exists(spark, f"{path}/{name}", schema)
 
 
 def recent_history(batch: DataFrame, path: str, batch_id: int) -> dict[str, DataFrame]:
@@ -65,29 +73,45 @@ def recent_history(batch: DataFrame, path: str, batch_id: int) -> dict[str, Data
 
     Single rows are read only for the days in which some window starts or ends:
     for a batch within one day that is four days. The days between come from the
-    daily totals per key. The range reaches back from the oldest row of the
-    batch, not from now, and leaves out what an earlier attempt at the same
-    batch wrote. The result holds arguments for ``build_features``.
+    daily totals per key. The range reaches back from the rows of the batch,
+    not from now, and leaves out what an earlier attempt at the same batch wrote. Days
+    are looked up among those that are stored, so that a message with a stray date reads
+    nothing. The result holds arguments for ``build_features``.
     """
     spark = batch.sparkSession
-    rows = read_if_exists(spark, f"{path}/{ROWS}")
+    rows = _stored(spark, path, ROWS)
     if rows is None:
         return {}
     day = F.floor(epoch_seconds("tx_datetime") / F.lit(DAY_SECONDS))
-    present = [r["day"] for r in batch.select(day.alias("day")).distinct().collect()]
-    if not present:
-        return {}
-    cut = cut_days(present, WINDOW_DAYS)
-    whole = set(range(min(present) - max(WINDOW_DAYS), max(present))) - cut
+    present = batch.select(day.alias("of")).distinct()
+    back = [0, *WINDOW_DAYS]
+    cut = present.select(F.explode(F.array(*[F.col("of") - d for d in back])).alias("day"), F.lit(True).alias("cut"))
+    near = present.select(
+        F.explode(F.sequence(F.col("of") - max(back), F.col("of"))).alias("day"), F.lit(False).alias("cut")
+    )
+    wanted = cut.union(near).groupBy("day").agg(F.max("cut").alias("cut"))
+    # Only partition values of the stored days come to the driver.
+    found = wanted.join(rows.select("day").distinct(), "day", "left_semi").collect()
+    single, whole = ([r["day"] for r in found if r["cut"] == c] for c in (True, False))
 
-    def on(df: DataFrame, days: set[int]) -> DataFrame:
+    def on(df: DataFrame, days: list[int]) -> DataFrame:
         return df.where(F.col("day").isin(*days) & (F.col("batch_id") != batch_id))
 
-    found = {"history": on(rows, cut).select(*RAW_COLUMNS)}
+    out = {}
+    if single:
+        out["history"] = on(rows, single).select(*RAW_COLUMNS)
     if whole:
-        found["customer_totals"] = on(spark.read.parquet(f"{path}/{CUSTOMERS}"), whole)
-        found["terminal_totals"] = on(spark.read.parquet(f"{path}/{TERMINALS}"), whole)
-    return found
+        out["customer_totals"] = on(_stored(spark, path, CUSTOMERS), whole)
+        out["terminal_totals"] = on(_stored(spark, path, TERMINALS), whole)
+    return out
+
+
+def without_known(rows: DataFrame, history: DataFrame | None) -> DataFrame:
+    """Rows that no earlier batch holds with all the same values; a redelivered message is no new row."""
+    if history is None:
+        return rows
+    same = [rows[c].eqNullSafe(history[c]) for c in RAW_COLUMNS]
+    return rows.join(history, reduce(Column.__and__, same), "left_anti")
 
 
 def store_history(rows: DataFrame, path: str, batch_id: int) -> None:
@@ -117,10 +141,14 @@ def score_batch(
     several = with_history or bool(quarantine_path)
     if several:
         checked = checked.persist(StorageLevel.MEMORY_AND_DISK)
+    rows = None
     try:
         rows = clamp_negative(valid_rows(checked).dropDuplicates())
         if with_history:
-            out = build_features(rows, **recent_history(rows, history_path, batch_id))
+            past = recent_history(rows, history_path, batch_id)
+            # Read for the features, the totals and the stored rows.
+            rows = without_known(rows, past.get("history")).persist(StorageLevel.MEMORY_AND_DISK)
+            out = build_features(rows, **past)
         else:
             out = single_row_features(rows).transform(time_features)
         if model is not None:
@@ -139,8 +167,9 @@ def score_batch(
         if quarantine_path:
             _write_batch(rejected_rows(checked), quarantine_path, batch_id)
     finally:
-        if out is not None:
-            out.unpersist()
+        for kept in (out, rows):
+            if kept is not None:
+                kept.unpersist()
         if several:
             checked.unpersist()
 
@@ -181,7 +210,8 @@ def score_stream(
 
     ``features="stateless"`` lets a row know only itself. ``"history"`` adds the
     rows stored under ``history_path`` by earlier batches, so that a row's
-    features are those of the batch job over all rows up to its own batch.
+    features are those of the batch job over all rows up to its own batch. As there, a
+    row whose values all came before counts, and is scored, once.
     ``trigger`` defaults to working off what is there and stopping.
     """
     if features not in ("history", "stateless"):
