@@ -5,7 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from txrisk.llm.common import prepare
-from txrisk.llm.paragraphs import forest, paragraphs_of, repeated_paragraphs, without_repeats
+from txrisk.llm.paragraphs import (
+    BLOCK_WORDS, PLACES, chosen_blocks, cut_text, forest, paragraphs_of, repeated_paragraphs, run_hashes, without_repeats, word_hashes,
+)
 
 SCHEMA = "doc_id long, text string, n_chars long, component string, paragraph string, removed string"
 
@@ -52,7 +54,7 @@ def frame(spark, docs):
 
 
 def got(df):
-    rows = df.collect()
+    rows = [r for r in df.collect() if r.paragraph is not None]
     for r in rows:
         assert r.removed == ((r.doc_id, r.paragraph) != (r.kept_doc_id, r.kept_paragraph))
     out = {(r.doc_id, r.paragraph): (r.kept_doc_id, r.kept_paragraph) for r in rows}
@@ -103,6 +105,52 @@ def test_the_table_against_brute_force(spark, sf_docs):
     assert found.keys() <= expected.keys()
 
 
+def test_passages_within_lines(spark):
+    passage = words(1, 52)
+    docs = [(i, "\n".join([" ".join(words(100 + i, 90)), " ".join(words(200 + i, 90))])) for i in range(20)]
+    for i, at in ((3, 10), (8, 95), (11, 180), (15, 0)):
+        w = docs[i][1].replace("\n", " \n ").split(" ")
+        docs[i] = (i, " ".join(w[:at] + passage + w[at:]).replace(" \n ", "\n"))
+    docs[12] = (12, docs[12][1] + " " + " ".join(passage[:14]))
+    df = frame(spark, docs)
+    found = repeated_paragraphs(df)
+    rows = {r.doc_id: r for r in found.collect()}
+    assert rows.keys() == {8, 11, 15} and {r.kept_doc_id for r in rows.values()} == {3}
+    left = {r.doc_id: r.text for r in without_repeats(df, found).collect()}
+    for i, text in docs:
+        if i in rows:
+            w, r = text.split(), rows[i]
+            assert set(w[r.start : r.start + r.words]) <= set(passage) and r.words >= BLOCK_WORDS
+            assert left[i].split() == w[: r.start] + w[r.start + r.words :]
+            assert " ".join(passage) not in left[i]
+        else:
+            assert left[i] == text
+
+
+def test_blocks_are_chosen_by_the_words_around_them():
+    shared = words(1, BLOCK_WORDS + PLACES - 1)
+    for seed in range(30):
+        a, b = words(100 + seed, seed * 3) + shared + words(300 + seed, 40), words(500 + seed, 7 * seed) + shared
+        one, two = (chosen_blocks(word_hashes([w.encode() for w in x])) for x in (a, b))
+        both = set(one[0].tolist()) & set(two[0].tolist())
+        assert both
+        hashes = run_hashes(word_hashes([w.encode() for w in a]), BLOCK_WORDS)
+        assert (hashes[one[1]] == one[0]).all()
+        windows = [hashes[i : i + PLACES].min() for i in range(len(hashes) - PLACES + 1)]
+        assert set(one[0].tolist()) == {int(x) for x in windows}
+    assert len(chosen_blocks(word_hashes([b"a"] * 500))[0]) == 1
+    assert len(chosen_blocks(word_hashes([b"a"] * 49))[0]) == 0
+
+
+def test_cut_text():
+    text = "one two  three\n\nfour five\n six seven "
+    assert cut_text(text, [], []) == text
+    assert cut_text(text, [0], []) == "\nfour five\n six seven "
+    assert cut_text(text, [], [{"start": 1, "words": 1}]) == "one three\n\nfour five\n six seven "
+    assert cut_text(text, [], [{"start": 2, "words": 3}]) == "one two  \n\n six seven "
+    assert cut_text(text, [1, 3], [{"start": 3, "words": 2}]) == "one two  three"
+
+
 def test_texts_without_repeats(spark):
     line, other = " ".join(words(1, 30)), " ".join(words(2, 30))
     docs = [(1, f"{line}\n\nends"), (2, f"starts\n{line}\n{other}"), (3, line), (4, other), (5, None), (None, line), (6, "")]

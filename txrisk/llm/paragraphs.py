@@ -1,10 +1,18 @@
-"""Substring dedup of paragraphs: MinHash bands, exact Jaccard, components."""
+"""Substring dedup of paragraphs: MinHash bands, exact Jaccard, components.
+
+A paragraph is a line. A passage that lies within longer lines makes them no similar
+lines, so passages are also found on their own, as paragraphs without fixed ends: by
+blocks of words at places that the words themselves choose.
+"""
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from txrisk.llm.common import Batches, components, emit, keep, spans, texts_of
 
@@ -17,11 +25,20 @@ ROWS = 4
 CROWD = 32
 # Beyond, so many at a time by one matrix product.
 BLOCK = 256
+# A passage is found by a block of so many words, at the smallest block hash of each so many
+# consecutive places: whatever surrounds it, a passage of BLOCK_WORDS + PLACES - 1 = 50 words
+# has one of its own blocks chosen in every document.
+BLOCK_WORDS = 15
+PLACES = 36
 # Shingles hashed at once.
 SLICE = 1 << 18
 SEED = 20240607
 
 
+# What lies between the spaces that part the bytes of a text.
+WORD = re.compile(r"[^ \t\n\r\x0b\x0c]+")
+
+
 def paragraphs_of(text: str) -> list[str]:
     """The lines of a text; the line ends part them."""
     return text.split("\n")
@@ -31,18 +48,39 @@ def word_list(paragraph: str) -> list[bytes]:
     return paragraph.lower().encode("utf-8", "replace").split()
 
 
-def shingle_hashes(words: list[bytes]) -> np.ndarray:
-    """A hash for each run of five words, from hashes of the words."""
+def word_hashes(words: list[bytes]) -> np.ndarray:
     from xxhash import xxh3_64_intdigest
 
-    h = np.array(list(map(xxh3_64_intdigest, words)), dtype=np.uint64)
-    n = len(h) - SHINGLE + 1
+    return np.array(list(map(xxh3_64_intdigest, words)), dtype=np.uint64)
+
+
+def run_hashes(words: np.ndarray, size: int) -> np.ndarray:
+    """A hash for each run of ``size`` words, from hashes of the words."""
+    n = max(0, len(words) - size + 1)
     out = np.zeros(n, dtype=np.uint64)
-    for i in range(SHINGLE):
-        out = (out ^ (out >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15) + h[i : i + n]
+    for i in range(size):
+        out = (out ^ (out >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15) + words[i : i + n]
     return (out ^ (out >> np.uint64(29))) * np.uint64(0xC2B2AE3D27D4EB4F)
 
 
+def shingle_hashes(words: list[bytes]) -> np.ndarray:
+    return run_hashes(word_hashes(words), SHINGLE)
+
+
+def chosen_blocks(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and first words of the blocks that are the smallest of some ``PLACES`` consecutive ones; each hash once."""
+    blocks = run_hashes(words, BLOCK_WORDS)
+    if len(blocks) < PLACES:
+        return blocks[:0], np.zeros(0, dtype=np.int64)
+    lowest = np.lib.stride_tricks.sliding_window_view(blocks, PLACES).min(axis=1)
+    # A block is the smallest of a window if the largest of the minima of its windows is its own hash.
+    edge = np.zeros(PLACES - 1, dtype=np.uint64)
+    around = np.lib.stride_tricks.sliding_window_view(np.concatenate([edge, lowest, edge]), PLACES).max(axis=1)
+    at = np.flatnonzero(around == blocks)
+    found, first = np.unique(blocks[at], return_index=True)
+    return found, at[first]
+
+
 class Signer:
     """MinHash bands of many shingle lists at once."""
 
@@ -65,13 +103,15 @@ class Signer:
 
 
 def paragraph_table(docs: DataFrame, bands: int, rows: int) -> DataFrame:
-    """``doc_id, par, pid, p, bands`` for every paragraph of at least five words.
+    """``doc_id, par, pid, p, bands, h`` for every paragraph of at least five words and every chosen block.
 
     ``pid`` is a 128-bit hash of the paragraph's lower-case words, ``p`` half of it. ``bands`` is null
-    where the task has met the paragraph before.
+    where the task has met the paragraph before. Blocks have a null ``pid``; ``par`` is the
+    number of a line, or of a block's first word, and ``h`` a block's hash.
     """
     schema = pa.schema([
-        ("doc_id", pa.int64()), ("par", pa.int32()), ("pid", pa.string()), ("p", pa.int64()), ("bands", pa.list_(pa.int64()))
+        ("doc_id", pa.int64()), ("par", pa.int32()), ("pid", pa.string()), ("p", pa.int64()), ("bands", pa.list_(pa.int64())),
+        ("h", pa.int64()),
     ])
 
     def run(batches: Batches) -> Batches:
@@ -81,14 +121,20 @@ def paragraph_table(docs: DataFrame, bands: int, rows: int) -> DataFrame:
         for batch in batches:
             ids, pars, pids, signed, lists, held = [], [], [], [], [], 0
             signatures: list[np.ndarray] = []
+            blocks: list[tuple] = []
 
             def sign():
                 starts = spans(np.array([len(x) for x in lists]))[:-1]
                 signatures.append(signer.sign(np.concatenate(lists), starts).view(np.int64))
 
             for doc, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
-                for number, paragraph in enumerate(paragraphs_of(text)):
-                    words = word_list(paragraph)
+                lines = [word_list(x) for x in paragraphs_of(text)]
+                hashes, at = word_hashes([w for x in lines for w in x]), 0
+                found, places = chosen_blocks(hashes)
+                if len(found):
+                    blocks.append((np.full(len(found), doc), places, found.view(np.int64)))
+                for number, words in enumerate(lines):
+                    part, at = hashes[at : at + len(words)], at + len(words)
                     if len(words) < SHINGLE:
                         continue
                     pid = xxh3_128_hexdigest(b" ".join(words))
@@ -98,7 +144,7 @@ def paragraph_table(docs: DataFrame, bands: int, rows: int) -> DataFrame:
                     signed.append(pid not in met)
                     if pid not in met:
                         met.add(pid)
-                        lists.append(shingle_hashes(words))
+                        lists.append(run_hashes(part, SHINGLE))
                         held += len(lists[-1])
                         if held > SLICE:
                             sign()
@@ -113,10 +159,48 @@ def paragraph_table(docs: DataFrame, bands: int, rows: int) -> DataFrame:
                 offsets = spans(np.where(flags, bands, 0)).astype(np.int32)
                 values = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat), mask=pa.array(~flags))
                 half = np.array([int(x[:16], 16) for x in pids], dtype=np.uint64).view(np.int64)
-                yield emit(schema, ids, pars, pids, half, values)
+                yield emit(schema, ids, pars, pids, half, values, pa.nulls(len(ids), pa.int64()))
+            if blocks:
+                doc, place, h = (np.concatenate(x) for x in zip(*blocks, strict=True))
+                none = [pa.nulls(len(h), schema.field(name).type) for name in ("pid", "p", "bands")]
+                yield emit(schema, doc, place.astype(np.int32), *none, h)
 
     texts = docs.selectExpr("cast(doc_id as bigint) doc_id", "text").where("doc_id is not null and text is not null")
-    return texts.mapInArrow(run, "doc_id long, par int, pid string, p long, bands array<long>")
+    return texts.mapInArrow(run, "doc_id long, par int, pid string, p long, bands array<long>, h long")
+
+
+def repeated_passages(blocks: DataFrame) -> DataFrame:
+    """``doc_id, start, words, kept_doc_id`` of the passages that an earlier document has.
+
+    ``blocks`` is ``(doc_id, par, h)``. Chosen blocks that follow one another without leaving
+    a place unchosen belong to one passage.
+    """
+    shared = blocks.groupBy("h").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    shared = keep(shared.where("first <> last").select("h", "first"), "shared-blocks")
+    later = blocks.join(shared, "h").where("doc_id <> first")
+    by_doc = later.groupBy("doc_id").agg(  # at most a document's blocks
+        F.sort_array(F.collect_set(F.struct("par", "first"))).alias("found")
+    )
+    schema = pa.schema([
+        ("doc_id", pa.int64()), ("start", pa.int32()), ("words", pa.int32()), ("kept_doc_id", pa.int64())
+    ])
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            out = []
+            for doc, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                start = end = kept = None
+                for x in found:
+                    if start is not None and x["par"] <= end - BLOCK_WORDS + PLACES:
+                        end, kept = x["par"] + BLOCK_WORDS, min(kept, x["first"])
+                        continue
+                    if start is not None:
+                        out.append((doc, start, end - start, kept))
+                    start, end, kept = x["par"], x["par"] + BLOCK_WORDS, x["first"]
+                out.append((doc, start, end - start, kept))
+            yield emit(schema, *zip(*out, strict=True)) if out else pa.RecordBatch.from_pylist([], schema)
+
+    return by_doc.mapInArrow(run, "doc_id long, start int, words int, kept_doc_id long")
 
 
 def shingle_sets(docs: DataFrame, occurrences: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -256,17 +340,21 @@ def paragraph_links(docs: DataFrame, occurrences: DataFrame, similarity: float,
 def repeated_paragraphs(
     docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, crowd: int = CROWD
 ) -> DataFrame:
-    """``doc_id, paragraph, component, kept_doc_id, kept_paragraph, removed``.
+    """``doc_id, paragraph, start, words, component, kept_doc_id, kept_paragraph, removed``.
 
     One row for each paragraph (a line of at least five words, numbered from 0 among all
     lines of the text) whose component reaches over more than one document. Paragraphs are linked if
     their lower-case words are the same, or if the Jaccard similarity of their five-word shingles is
     at least ``similarity``; similar ones are found by MinHash bands. The
     component's first occurrence by doc_id and paragraph is kept, all others are ``removed``.
+    One row also for each passage within lines that a document with a smaller doc_id has word by
+    word: ``start`` and ``words`` count the words of the text, ``paragraph`` and ``component`` are null. A
+    passage that two documents share over 50 words or more is always among them.
     Null ids and texts hold no paragraphs. Rows that repeat a doc_id are one document. Other columns
     of ``docs`` stay out.
     """
-    occurrences = keep(paragraph_table(docs, bands, rows), "paragraphs")
+    found = keep(paragraph_table(docs, bands, rows), "paragraphs")
+    occurrences, blocks = found.where("pid is not null"), found.where("h is not null").select("doc_id", "par", "h")
     links = keep(paragraph_links(docs, occurrences, similarity, crowd), "paragraph-links")
     roots = components(links, "paragraph-edges")
     placed = occurrences.select("doc_id", "par", "pid").join(roots, F.col("pid") == F.col("node"), "left")
@@ -277,10 +365,37 @@ def repeated_paragraphs(
     groups = groups.where("kept.doc_id <> last").select(
         "component", F.col("kept.doc_id").alias("kept_doc_id"), F.col("kept.par").alias("kept_paragraph")
     )
-    return placed.join(groups, "component").selectExpr(
-        "doc_id", "par paragraph", "component", "kept_doc_id", "kept_paragraph",
-        "not (doc_id = kept_doc_id and par = kept_paragraph) removed",
+    groups = keep(groups, "paragraph-groups")  # a join of its own, which can split a large component
+    lines = placed.join(groups, "component").selectExpr(
+        "doc_id", "par paragraph", "cast(null as int) start", "cast(null as int) words", "component", "kept_doc_id",
+        "kept_paragraph", "not (doc_id = kept_doc_id and par = kept_paragraph) removed",
     )
+    passages = repeated_passages(blocks).selectExpr(
+        "doc_id", "cast(null as int) paragraph", "start", "words", "cast(null as string) component", "kept_doc_id",
+        "cast(null as int) kept_paragraph", "true removed",
+    )
+    return lines.union(passages)
+
+
+def cut_text(text: str, lines: list[int], passages: list[dict]) -> str:
+    """``text`` without these lines and stretches of words; a line of which nothing is left goes."""
+    gone = set(lines)
+    cut = {n for x in passages for n in range(x["start"], x["start"] + x["words"])}
+    out, n = [], 0
+    for number, line in enumerate(paragraphs_of(text)):
+        words = list(WORD.finditer(line))
+        mine = [n + i in cut for i in range(len(words))]
+        n += len(words)
+        if number in gone or (words and all(mine)):
+            continue
+        kept, at = [], 0
+        for i, word in enumerate(words):
+            if mine[i]:
+                if not i or not mine[i - 1]:
+                    kept.append(line[at : word.start()])
+                at = words[i + 1].start() if i + 1 < len(words) else len(line)
+        out.append("".join([*kept, line[at:]]))
+    return "\n".join(out)
 
 
 def without_repeats(docs: DataFrame, repeats: DataFrame) -> DataFrame:
@@ -289,14 +404,31 @@ def without_repeats(docs: DataFrame, repeats: DataFrame) -> DataFrame:
     A document of which no word is left goes. All other columns and documents stay as they are.
     """
     cuts = repeats.where("removed").groupBy(F.col("doc_id").alias("_cut_id"))
-    cuts = cuts.agg(F.collect_set("paragraph").alias("_cut"))  # at most a document's lines
-    joined = docs.join(cuts, F.col("doc_id") == F.col("_cut_id"), "left")
-    lines = "filter(split(text, '\n', -1), (x, i) -> not array_contains(_cut, i))"
-    joined = joined.withColumn("_left", F.expr(f"case when _cut is null then text else array_join({lines}, '\n') end"))
-    joined = joined.where(r"_cut is null or _left rlike '\\S'")
-    changed = {"text": F.col("_left")}
-    if "n_chars" in docs.columns:
-        changed["n_chars"] = F.expr("case when _cut is null then n_chars else length(_left) end").cast(
-            docs.schema["n_chars"].dataType
-        )
-    return joined.withColumns(changed).select(docs.columns)
+    cuts = cuts.agg(  # at most a document's lines and words
+        F.collect_set("paragraph").alias("_lines"),
+        F.collect_set(F.when(F.col("start").isNotNull(), F.struct("start", "words"))).alias("_passages"),
+    )
+    joined = docs.join(cuts, F.col("doc_id") == F.col("_cut_id"), "left").drop("_cut_id")
+    names, types = docs.columns, to_arrow_schema(docs.schema)
+    at = names.index("text")
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            lines, passages = batch.column(len(names)).to_pylist(), batch.column(len(names) + 1).to_pylist()
+            texts = batch.column(at).to_pylist()
+            mask = [True] * len(texts)
+            sizes = batch.column(names.index("n_chars")).to_pylist() if "n_chars" in names else None
+            for i, text in enumerate(texts):
+                if lines[i] is not None and text is not None:
+                    texts[i] = cut_text(text, lines[i], passages[i])
+                    mask[i] = bool(texts[i].strip())
+                    if sizes is not None:
+                        sizes[i] = len(texts[i])
+            columns = list(batch.columns[: len(names)])
+            columns[at] = pa.array(texts, types.field(at).type)
+            if sizes is not None:
+                columns[names.index("n_chars")] = pa.array(sizes, types.field("n_chars").type)
+            kept = pa.RecordBatch.from_arrays(columns, names=names)
+            yield kept if all(mask) else kept.filter(pa.array(mask))
+
+    return joined.mapInArrow(run, docs.schema)
