@@ -38,7 +38,7 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the paragraphs that an earlier document has; a document left empty goes."""
+    """Texts without the paragraphs and passages that an earlier document has; a document left empty goes."""
     prepare(spark)
     return paragraphs.without_repeats(docs, paragraphs.repeated_paragraphs(docs))
 
