@@ -40,7 +40,14 @@ HEADLINE = [
     "split_invalid",
 ]
 # Too long to repeat: one run after the others have warmed up the JVM.
-ONCE = ["gbt_scores", "stream_stateless_features", "stream_model_scores"]
+ONCE = [
+    "gbt_scores",
+    "stream_stateless_features",
+    "stream_history_features",
+    "stream_model_scores",
+    "cv_grid",
+    "compare_models",
+]
 
 
 def timed(run) -> float:
