@@ -119,6 +119,8 @@ def test_compare_models(spark):
     load = {"a": Shift(0.2), "b": Shift(0.0), "c": Shift(0.0)}.__getitem__
     one = compare_models(test, runs(spark, ("a", "FINISHED", 0.9)), load).first()
     assert one["status"] == "not_enough_models" and one["best_run_id"] is None
+    missing = compare_models(test, runs(spark, ("a", "FINISHED", 0.9), ("b", "FINISHED", None)), load).first()
+    assert missing["status"] == "missing_metric"
     equal = compare_models(test, runs(spark, ("a", "FINISHED", 0.9), ("b", "FINISHED", 0.9)), load).first()
     assert equal["status"] == "equal_metrics"
     close = compare_models(test, runs(spark, ("a", "FINISHED", 0.9), ("b", "FINISHED", 0.899)), load).first()
@@ -148,3 +150,14 @@ def test_profiles(spark):
     assert got["stddev"] == pytest.approx(0.5)
     single = profile_numeric(df.where("tranaction_id = 2"), ["tranaction_id"]).first()
     assert single["stddev"] is None
+
+
+def test_paired_differences(spark):
+    from txrisk.operators.compare import paired_t
+
+    df = spark.createDataFrame([(1.0, 0.5), (2.0, 2.5), (3.0, 1.0), (4.0, 3.0), (None, 1.0), (5.0, None)], "a DOUBLE, b DOUBLE")
+    r = paired_t(df, "a", "b").first()
+    assert (r["n"], r["mean"], r["df"]) == (4, 0.75, 3.0)
+    assert r["t"] == pytest.approx(0.75 / (((0.25**2 + 1.25**2 + 1.25**2 + 0.25**2) / 3) ** 0.5 / 2))
+    assert r["p"] == pytest.approx(0.2452, abs=1e-4) and not r["different"]
+    assert paired_t(df, "a", "a").first()["t"] is None

@@ -66,7 +66,10 @@ def test_class_weight_and_union(spark):
 
 def test_sample_and_scale(spark):
     df = spark.range(2000).select(F.col("id").alias("x"), F.lit(4).alias("c"))
-    assert 50 < sample_rows(df, 0.05, 1).count() < 150
+    drawn = sample_rows(df, 0.05, 1)
+    assert 50 < drawn.count() < 150
+    assert drawn.exceptAll(sample_rows(df.repartition(7), 0.05, 1)).count() == 0
+    assert sample_rows(df, 0, 1).count() == 0 and sample_rows(df, 1, 1).count() == 2000
     ends = minmax_scale(df, ["x", "c"]).agg(F.min("x"), F.max("x"), F.min("c"), F.max("c")).first()
     assert tuple(ends) == (0.0, 1.0, 0.5, 0.5)
 
@@ -111,7 +114,15 @@ def test_refit_compare_and_daily_drift(spark, table):
     assert all({AUC_CV, AUC_TEST, RECALL_TEST} <= set(r["metrics"]) for r in logged)
     result = compare_job(spark, path, runs, dates).first()
     assert result["status"] in ("compared", "not_enough_samples", "equal_metrics")
-    assert read_runs(spark, runs, "model comparison").first()["params"]["Status"] == result["status"]
+    assert read_runs(spark, runs, "model comparison").first()["params"]["status"] == result["status"]
+    # Parameters reach the classifier, every grid point is logged, and a plain run can be ranked.
+    tuned = refit_job(spark, path, runs, str(table / "models"), dates[:4], dates[4:], grid={"maxDepth": [1, 2]}, maxIter=1)
+    plain = refit_job(spark, path, runs, str(table / "models"), dates[:4], dates[4:], maxIter=1, maxDepth=1)
+    by_id = {r["run_id"]: r for r in read_runs(spark, runs, "model refit").collect()}
+    assert {by_id[tuned]["params"][f"grid point {i}"] for i in (0, 1)} == {"maxDepth=1", "maxDepth=2"}
+    assert by_id[tuned]["params"]["maxIter"] == "1" and by_id[tuned]["params"]["maxDepth"] in ("1", "2")
+    assert load_model(by_id[tuned]["artifact_path"]).stages[-1].getNumTrees == 1
+    assert by_id[plain]["params"] == {"maxIter": "1", "maxDepth": "1"} and AUC_CV in by_id[plain]["metrics"]
 
     rows = spark.read.parquet(path)
     scored = score(rows, load_model(logged[0]["artifact_path"]))

@@ -30,13 +30,13 @@ from txrisk.sources.tables import (
 
 HEADER = "# " + " | ".join(RAW_COLUMNS)
 SAMPLE = {
-    "tranaction_id": "46988237",
-    "tx_datetime": "2019-09-21 09:45:59",
+    "tranaction_id": "71200345",
+    "tx_datetime": "2022-03-12 14:05:07",
     "customer_id": "1",
-    "terminal_id": "178",
-    "tx_amount": "83.11",
-    "tx_time_seconds": "2627159",
-    "tx_time_days": "30",
+    "terminal_id": "902",
+    "tx_amount": "41.75",
+    "tx_time_seconds": "7310055",
+    "tx_time_days": "84",
     "tx_fraud": "0",
     "tx_fraud_scenario": "0",
 }
@@ -102,26 +102,26 @@ def test_split_invalid(spark):
 def test_messages_round_trip(spark):
     df = spark.createDataFrame([tuple(SAMPLE.values())], ", ".join(f"{c} STRING" for c in RAW_COLUMNS))
     sent = to_messages(df)
-    assert sent.first()["key"] == "tx_46988237"
+    assert sent.first()["key"] == "tx_71200345"
     back = decode_messages(sent).first()
     assert back["reason"] is None and all(back[c] == SAMPLE[c] for c in RAW_COLUMNS)
 
 
 def scored(spark):
-    df = spark.createDataFrame([("k", 46988237, 0.0, [0.7829632771264643, 0.2170367228735357])], "key STRING, tranaction_id LONG, prediction DOUBLE, probability ARRAY<DOUBLE>")
-    return df.withColumn("tx_datetime", F.lit("2019-09-21 09:45:59").cast("timestamp"))
+    df = spark.createDataFrame([("k", 71200345, 0.0, [0.6210937515, 0.3789062485])], "key STRING, tranaction_id LONG, prediction DOUBLE, probability ARRAY<DOUBLE>")
+    return df.withColumn("tx_datetime", F.lit("2022-03-12 14:05:07").cast("timestamp"))
 
 
 def test_score_payloads(spark):
     for encode, decode in ((encode_scores, decode_scores), (encode_column_maps, decode_column_maps)):
         row = decode(encode(scored(spark))).first()
-        assert row["tranaction_id"] == 46988237 and row["tx_datetime"] == "2019-09-21 09:45:59"
-        assert row["probability"] == [0.7829632771264643, 0.2170367228735357]
+        assert row["tranaction_id"] == 71200345 and row["tx_datetime"] == "2022-03-12 14:05:07"
+        assert row["probability"] == [0.6210937515, 0.3789062485]
     assert json.loads(encode_column_maps(scored(spark)).first()["value"]) == {
-        "tranaction_id": {"0": 46988237},
-        "tx_datetime": {"0": "2019-09-21 09:45:59"},
+        "tranaction_id": {"0": 71200345},
+        "tx_datetime": {"0": "2022-03-12 14:05:07"},
         "prediction": {"0": 0.0},
-        "probability": {"0": "[0.7829632771264643,0.2170367228735357]"},
+        "probability": {"0": "[0.6210937515,0.3789062485]"},
     }
     two = {"tranaction_id": {"0": 1, "1": 2}, "tx_datetime": {"0": "a", "1": "b"}, "prediction": {"0": 0.0, "1": 1.0}, "probability": {"0": "[1.0,0.0]"}}
     got = {r["tranaction_id"]: r["probability"] for r in decode_column_maps(messages(spark, two)).collect()}

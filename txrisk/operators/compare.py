@@ -80,6 +80,19 @@ def ttest(
     return _with_p(two_arm_t(score_stats(rows, arm, score), arm, a, b, variant), alpha)
 
 
+def paired_t(df: DataFrame, a: str, b: str, alpha: float = ALPHA) -> DataFrame:
+    """t-test of two scores of the same rows: is the mean of their differences zero?
+
+    Rows with a null on either side do not count. Without spread of the differences t is null.
+    """
+    difference = F.col(a).cast("double") - F.col(b).cast("double")
+    stats = df.select(difference.alias("d")).agg(
+        F.count("d").alias("n"), F.avg("d").alias("mean"), F.stddev_samp("d").alias("sd")
+    )
+    t = F.when(F.col("sd") > 0, F.col("mean") / (F.col("sd") / F.sqrt("n")))
+    return _with_p(stats.withColumns({"t": t, "df": (F.col("n") - 1).cast("double")}), alpha)
+
+
 def drift_t(
     reference: DataFrame, live: DataFrame, by: str, score: str = "score", variant: str = "damped"
 ) -> DataFrame:

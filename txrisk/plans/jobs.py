@@ -116,10 +116,10 @@ def compare_job(spark: SparkSession, table_path: str, runs_path: str, dates: lis
         COMPARISON,
         metrics={P_VALUE: row["p"]},
         params={
-            "First model run id": row["current_run_id"],
-            "Second model run id": row["new_run_id"],
-            "Best model run id": row["best_run_id"],
-            "Status": row["status"],
+            "current_run_id": row["current_run_id"],
+            "new_run_id": row["new_run_id"],
+            "best_run_id": row["best_run_id"],
+            "status": row["status"],
         },
     )
     return spark.createDataFrame([row], result.schema)
@@ -152,6 +152,6 @@ def daily_drift(
             uuid.uuid4().hex,
             DRIFT,
             metrics={P_VALUE: row["p"]},
-            params={"Date": date, "Flag for model refit": str(row["refit"])},
+            params={"date": date, "refit": str(row["refit"])},
         )
     return spark.createDataFrame([row] if row is not None else [], result.schema)

@@ -163,7 +163,7 @@ P_VALUE = """greatest(0, 1 - 2 * exp(lgamma((df + 1) / 2) - lgamma(df / 2)) / sq
 
 def _with_p(exact: str, keys: str, more: str = "") -> str:
     """``exact`` with p and what follows from it, rounded like the query."""
-    arms = re.findall(r"\b(?:mean|sd)_\w+", keys)
+    arms = re.findall(r"\b(?:mean|sd)\w*", keys)
     shown = ", ".join(f"round({n} + 1e-9, 6) as {n}" if n in arms else n for n in keys.split(", "))
     return f"""{exact}, tested as (select *, {P_VALUE} as p from exact)
 select {shown}, round(t + 1e-9, 6) as t, round(df + 1e-9, 6) as df, round(p + 1e-9, 6) as p,
@@ -324,6 +324,14 @@ exact as (
   from s a, s b where a.arm = 'fraud' and b.arm = 'legitimate')""",
             "n_a, mean_a, sd_a, n_b, mean_b, sd_b",
         ),
+        "ttest_paired": _with_p(
+            f"""with {TX},
+v as (select tx_amount - (tx_amount + terminal_id / 100.0::double - 0.5::double) as d from tx),
+s as (select count(d) as n, avg(d) as mean_d, stddev_samp(d) as sd_d from v),
+exact as (
+  select n, mean_d as mean, sd_d as sd, mean_d / (sd_d / sqrt(n)) as t, cast(n - 1 as double) as df from s)""",
+            "n, mean, sd",
+        ),
         "daily_drift_flags": _with_p(
             f"""with {ARMS},
 r as (select count(score) as n_ref, avg(score) as mean_ref, stddev_samp(score) as sd_ref from arms),

@@ -468,6 +468,13 @@ def ttest_p_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded_t(compare.ttest(_score_rows(spark, sf_dir), "arm", "fraud", "legitimate"))
 
 
+@query
+def ttest_paired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two scores of the same transactions."""
+    rows = transactions(spark, sf_dir).select("tx_amount", (F.col("tx_amount") + F.col("terminal_id") / 100 - 0.5).alias("other"))
+    return _rounded_t(compare.paired_t(rows, "tx_amount", "other"))
+
+
 @query
 def daily_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _score_rows(spark, sf_dir)
