@@ -54,8 +54,8 @@ def test_fingerprint_by_definition(text):
     assert fingerprint(text, 3) == by_definition(text)
 
 
-@pytest.mark.parametrize("crowd", [0, 3, 1000])
-@pytest.mark.parametrize(("bits", "segments"), [(0, 4), (1, 8), (2, 16), (2, 8), (3, 16), (3, 8)])
+@pytest.mark.parametrize("crowd", [0, 1000])
+@pytest.mark.parametrize(("bits", "segments"), [(0, 4), (1, 8), (2, 16), (3, 8)])
 def test_links_against_brute_force(spark, crowd, bits, segments):
     prepare(spark)
     fps = clustered(150, bits)
