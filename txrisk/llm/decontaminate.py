@@ -141,35 +141,41 @@ def best_overlap(same: np.ndarray, least: int, similarity: float) -> tuple[int,
 
 
 def verified(candidates: DataFrame, docs: DataFrame, items: DataFrame, min_overlap: int, similarity: float) -> DataFrame:
-    """Candidates ``doc_id, item_id, shift`` whose words agree along the shift, with the place and the share of agreement."""
+    """``doc_id, item_id, start, words, agreement`` of the candidates ``doc_id, item_id, shift`` whose words agree.
+
+    The longest overlap of each document row with each item. A document travels once, with all its candidates.
+    """
     schema = pa.schema([
         ("doc_id", pa.int64()), ("item_id", pa.int64()), ("start", pa.int32()), ("words", pa.int32()), ("agreement", pa.float64())
     ])
 
+    def words_of(text: str) -> np.ndarray:
+        return np.array([w.encode("utf-8", "replace") for w in split_words(text)], dtype=object)
+
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            out: list[list] = [[], [], [], [], []]
-            texts: dict[str, np.ndarray] = {}
-            for row in batch.to_pylist():
-                for key in ("text", "item_text"):
-                    if row[key] not in texts:
-                        words = [w.encode("utf-8", "replace") for w in split_words(row[key])]
-                        texts[row[key]] = np.array(words, dtype=object)
-                doc, item = texts[row["text"]], texts[row["item_text"]]
-                # Item words that fall outside the document are words that differ.
-                low, high = max(0, -row["shift"]), min(len(item), len(doc) - row["shift"])
-                same = (item[low:high] == doc[low + row["shift"] : high + row["shift"]]).astype(float)
-                found = best_overlap(same, min(min_overlap, len(item)), similarity)
-                if found:
-                    start, end = found
-                    values = [row["doc_id"], row["item_id"], low + start + row["shift"], end - start, same[start:end].mean()]
-                    for column, value in zip(out, values, strict=True):
-                        column.append(value)
-            yield emit(schema, *out)
-
-    named = items.select("item_id", F.col("text").alias("item_text"))
+            out = []
+            for doc_id, text, found in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                doc = words_of(text)
+                for candidate in found:
+                    item, best = words_of(candidate["item_text"]), None
+                    for shift in sorted(candidate["shifts"]):
+                        # Item words that fall outside the document are words that differ.
+                        low, high = max(0, -shift), min(len(item), len(doc) - shift)
+                        same = (item[low:high] == doc[low + shift : high + shift]).astype(float)
+                        place = best_overlap(same, min(min_overlap, len(item)), similarity)
+                        if place and (best is None or place[1] - place[0] > best[1]):
+                            start, end = place
+                            best = (low + start + shift, end - start, same[start:end].mean())
+                    if best:
+                        out.append((doc_id, candidate["item_id"], *best))
+            yield emit(schema, *zip(*out, strict=True)) if out else pa.RecordBatch.from_pylist([], schema)
+
+    shifts = candidates.groupBy("doc_id", "item_id").agg(F.collect_list("shift").alias("shifts"))
+    named = shifts.join(items.select("item_id", F.col("text").alias("item_text")), "item_id")
+    by_doc = named.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "item_text", "shifts")).alias("found"))
     whole = docs.selectExpr("cast(doc_id as bigint) doc_id", "text").where("doc_id is not null and text is not null")
-    rows = whole.join(candidates, "doc_id").join(named, "item_id").select("doc_id", "item_id", "shift", "text", "item_text")
+    rows = whole.join(by_doc, "doc_id").select("doc_id", "text", "found")
     return rows.mapInArrow(run, "doc_id long, item_id long, start int, words int, agreement double")
 
 

@@ -71,6 +71,11 @@ class Tree:
         return out
 
 
+def matrix_of(vectors: pa.ListArray) -> np.ndarray:
+    """Vectors of one length, as rows."""
+    return vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), -1)
+
+
 def unit(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1))[:, None]
 
@@ -141,12 +146,13 @@ def top_of_block(queries: pa.Table, rows: pa.Table, k: int) -> tuple[list, list,
 
     Equal (id, vector) rows count once; a query's own id is left out.
     """
-    ids = rows["vec_id"].to_numpy()
-    x = np.array(rows["embedding"].to_pylist(), dtype=float)
-    both = np.unique(np.column_stack([ids.astype(float), x]), axis=0, return_index=True)[1]
-    ids, x = ids[both], x[both]
-    q_ids = queries["query_id"].to_numpy()
-    q = np.array(queries["vector"].to_pylist(), dtype=float)
+    ids, x = rows["vec_id"].to_numpy(), matrix_of(rows["embedding"].combine_chunks())
+    order = np.lexsort((*x.T, ids))
+    ids, x = ids[order], x[order]
+    fresh = np.ones(len(ids), dtype=bool)
+    fresh[1:] = (ids[1:] != ids[:-1]) | (x[1:] != x[:-1]).any(axis=1)
+    ids, x = ids[fresh], x[fresh]
+    q_ids, q = queries["query_id"].to_numpy(), matrix_of(queries["vector"].combine_chunks())
     norms, q_norms = np.sqrt((x * x).sum(axis=1)), np.sqrt((q * q).sum(axis=1))
     rough = (q @ x.T) / (q_norms[:, None] * norms)
     out: tuple[list, list, list] = ([], [], [])
@@ -207,8 +213,8 @@ def nearest(
         schema = pa.schema([("leaf", pa.int32()), ("vec_id", pa.int64()), ("embedding", pa.list_(pa.float64()))])
         for batch in batches:
             if len(batch):
-                x = np.array(batch.column(1).to_pylist(), dtype=float)
-                yield emit(schema, shared.value[0].assign(unit(x)), batch.column(0), batch.column(1))
+                leaves = shared.value[0].assign(unit(matrix_of(batch.column(1))))
+                yield emit(schema, leaves, batch.column(0), batch.column(1))
 
     index = keep(rows.mapInArrow(place, "leaf int, vec_id long, embedding array<double>"), "tree-leaves")
 
@@ -217,7 +223,7 @@ def nearest(
         worker_tree, n = shared.value
         for batch in batches:
             if len(batch):
-                x = unit(np.array(batch.column(1).to_pylist(), dtype=float))
+                x = unit(matrix_of(batch.column(1)))
                 seen = [worker_tree.visit(q, n) for q in x]
                 take = pa.array(np.repeat(np.arange(len(x)), [len(s) for s in seen]))
                 leaves = [leaf for s in seen for leaf in s]

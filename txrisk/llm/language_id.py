@@ -145,10 +145,16 @@ def fit_languages(
 
     sample = training_sample(docs, rows, per_language).selectExpr("cast(doc_id as bigint) doc_id", "lang", "text")
     found = sample.mapInArrow(grams, "doc_id long, lang string, grams array<int>").where("size(grams) > 0")
-    drawn = sorted(found.collect(), key=lambda r: (r.lang, r.doc_id, r.grams))
-    if not drawn:
+    drawn = found.toArrow()
+    lists = drawn["grams"].combine_chunks()
+    grams, at = lists.flatten().to_numpy(), lists.offsets.to_numpy()
+    at = at - at[0]
+    rows = zip(drawn["lang"].to_pylist(), drawn["doc_id"].to_pylist(), range(len(drawn)), strict=True)
+    order = sorted(rows, key=lambda r: (r[0], r[1], at[r[2] + 1] - at[r[2]]))
+    if not order:
         return KernelModel()
-    return fit([np.array(r.grams, dtype=np.int32) for r in drawn], [r.lang for r in drawn], landmarks_per_language, ridge)
+    sets = [grams[at[i] : at[i + 1]] for _, _, i in order]
+    return fit(sets, [lang for lang, _, _ in order], landmarks_per_language, ridge)
 
 
 def predictor(model: KernelModel) -> Callable[[list[str]], tuple[list[str], list[float]]]:

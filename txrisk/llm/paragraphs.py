@@ -23,8 +23,9 @@ BANDS = 10
 ROWS = 4
 # Paragraphs of a band value up to which all pairs of different components are compared one by one.
 CROWD = 32
-# Beyond, so many at a time by one matrix product.
+# Beyond, so many at a time by matrix products over so many shingles.
 BLOCK = 256
+COLUMNS = 1 << 14
 # A passage is found by a block of so many words, at the smallest block hash of each so many
 # consecutive places: whatever surrounds it, a passage of BLOCK_WORDS + PLACES - 1 = 50 words
 # has one of its own blocks chosen in every document.
@@ -287,12 +288,16 @@ def similar_in_crowds(members: DataFrame, sets: DataFrame, similarity: float) ->
             for side in (left, right):
                 lists = side["shingles"].combine_chunks()
                 sides.append((np.repeat(np.arange(len(side)), np.diff(lists.offsets.to_numpy())), lists.flatten().to_numpy()))
-            shared, place = np.unique(np.concatenate([x[1] for x in sides]), return_inverse=True)
-            cut = len(sides[0][1])
-            matrix = [np.zeros((len(t), len(shared)), dtype=np.float32) for t in (left, right)]
-            matrix[0][sides[0][0], place[:cut]] = 1
-            matrix[1][sides[1][0], place[cut:]] = 1
-            same = (matrix[0] @ matrix[1].T).astype(float)
+            same = np.zeros((len(left), len(right)))
+            common = np.intersect1d(sides[0][1], sides[1][1])
+            for start in range(0, len(common), COLUMNS):
+                columns = common[start : start + COLUMNS]
+                matrix = [np.zeros((len(t), len(columns)), dtype=np.float32) for t in (left, right)]
+                for rows, (row, shingle) in zip(matrix, sides, strict=True):
+                    at = np.minimum(np.searchsorted(columns, shingle), len(columns) - 1)
+                    there = columns[at] == shingle
+                    rows[row[there], at[there]] = 1
+                same += matrix[0] @ matrix[1].T
             total = left["n"].to_numpy()[:, None] + right["n"].to_numpy() - same
             roots = left["root"].to_pylist(), right["root"].to_pylist()
             found = forest(same >= similarity * total, *roots)
