@@ -111,7 +111,7 @@ def test_passages_within_lines(spark):
     for i, at in ((3, 10), (8, 95), (11, 180), (15, 0)):
         w = docs[i][1].replace("\n", " \n ").split(" ")
         docs[i] = (i, " ".join(w[:at] + passage + w[at:]).replace(" \n ", "\n"))
-    docs[12] = (12, docs[12][1] + " " + " ".join(passage[:14]))
+    docs[12] = (12, docs[12][1] + " " + " ".join(passage[: BLOCK_WORDS - 1]))
     df = frame(spark, docs)
     found = repeated_paragraphs(df)
     rows = {r.doc_id: r for r in found.collect()}
@@ -120,7 +120,7 @@ def test_passages_within_lines(spark):
     for i, text in docs:
         if i in rows:
             w, r = text.split(), rows[i]
-            assert set(w[r.start : r.start + r.words]) <= set(passage) and r.words >= BLOCK_WORDS
+            assert set(w[r.start : r.start + r.words]) <= set(passage) and r.words >= len(passage) - 2 * PLACES
             assert left[i].split() == w[: r.start] + w[r.start + r.words :]
             assert " ".join(passage) not in left[i]
         else:
@@ -139,7 +139,7 @@ def test_blocks_are_chosen_by_the_words_around_them():
         windows = [hashes[i : i + PLACES].min() for i in range(len(hashes) - PLACES + 1)]
         assert set(one[0].tolist()) == {int(x) for x in windows}
     assert len(chosen_blocks(word_hashes([b"a"] * 500))[0]) == 1
-    assert len(chosen_blocks(word_hashes([b"a"] * 49))[0]) == 0
+    assert len(chosen_blocks(word_hashes([b"a"] * (BLOCK_WORDS + PLACES - 2)))[0]) == 0
 
 
 def test_cut_text():

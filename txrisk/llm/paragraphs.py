@@ -27,10 +27,11 @@ CROWD = 32
 BLOCK = 256
 COLUMNS = 1 << 14
 # A passage is found by a block of so many words, at the smallest block hash of each so many
-# consecutive places: whatever surrounds it, a passage of BLOCK_WORDS + PLACES - 1 = 50 words
-# has one of its own blocks chosen in every document.
-BLOCK_WORDS = 15
-PLACES = 36
+# consecutive places: whatever surrounds it, a passage of BLOCK_WORDS + PLACES - 1 = 25 words
+# has one of its own blocks chosen in every document, and at either end of a longer one
+# fewer than PLACES words lie outside of all chosen blocks.
+BLOCK_WORDS = 10
+PLACES = 16
 # Shingles hashed at once.
 SLICE = 1 << 18
 SEED = 20240607
@@ -354,7 +355,8 @@ def repeated_paragraphs(
     component's first occurrence by doc_id and paragraph is kept, all others are ``removed``.
     One row also for each passage within lines that a document with a smaller doc_id has word by
     word: ``start`` and ``words`` count the words of the text, ``paragraph`` and ``component`` are null. A
-    passage that two documents share over 50 words or more is always among them.
+    passage that two documents share over 25 words or more is always among them, but for fewer than 16
+    words at either end.
     Null ids and texts hold no paragraphs. Rows that repeat a doc_id are one document. Other columns
     of ``docs`` stay out.
     """
