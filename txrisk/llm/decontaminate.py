@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from txrisk.llm.common import Batches, emit, keep, texts_of
+from txrisk.llm.common import Batches, emit, keep, spans, texts_of
 
 WORDS = re.compile(r"\w+")
 # Which of the words at consecutive places a seed reads: different substitutions are missed by each.
@@ -29,14 +29,10 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.array(list(map(xxh3_64_intdigest, words)), dtype=np.uint64)
 
 
-def split_words(text: str) -> list[str]:
+def split_words(text: str) -> list[bytes]:
     """Lower-case words; punctuation and spacing do not count."""
-    return WORDS.findall(text.lower())
-
-
-def mix(h: np.ndarray) -> np.ndarray:
-    h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-    return h ^ (h >> np.uint64(29))
+    words = WORDS.findall(text.lower())
+    return " ".join(words).encode("utf-8", "replace").split(b" ") if words else []
 
 
 def seeds(hashes: np.ndarray, mask: str) -> np.ndarray:
@@ -44,11 +40,15 @@ def seeds(hashes: np.ndarray, mask: str) -> np.ndarray:
     n = len(hashes) - len(mask) + 1
     if n < 1:
         return np.zeros(0, dtype=np.uint64)
-    out = np.full(n, len(mask), dtype=np.uint64)
+    out = np.full(n, int(mask, 2) * len(mask), dtype=np.uint64)
+    factor = 0x9E3779B97F4A7C15  # each place has an odd factor of its own
     for i, c in enumerate(mask):
         if c == "1":
-            out = mix(out * np.uint64(0xC2B2AE3D27D4EB4F) + hashes[i : i + n])
-    return mix(out + np.uint64(int(mask, 2)))
+            out += hashes[i : i + n] * np.uint64(factor)
+        factor = factor * 0xC2B2AE3D27D4EB4F % (1 << 64)
+    out ^= out >> np.uint64(31)
+    out *= np.uint64(0x9E3779B97F4A7C15)
+    return out ^ (out >> np.uint64(29))
 
 
 def masks_for(n: int, masks: list[str], min_words: int) -> list[str]:
@@ -60,19 +60,20 @@ def masks_for(n: int, masks: list[str], min_words: int) -> list[str]:
 
 
 def item_seeds(items: DataFrame, masks: list[str], min_words: int) -> DataFrame:
-    """``seed, item_id, at`` for every position of every item."""
-    schema = pa.schema([("seed", pa.int64()), ("item_id", pa.int64()), ("at", pa.int32())])
+    """``seed, item_id, at, length`` for every position of every item; ``length`` is that of the mask."""
+    schema = pa.schema([("seed", pa.int64()), ("item_id", pa.int64()), ("at", pa.int32()), ("length", pa.int32())])
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
             for item, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
                 words = split_words(text)
-                hashes = word_hashes([w.encode("utf-8", "replace") for w in words])
+                hashes = word_hashes(words)
                 for mask in masks_for(len(words), masks, min_words):
                     found = seeds(hashes, mask)
-                    yield emit(schema, found.view(np.int64), [item] * len(found), np.arange(len(found)))
+                    n = len(found)
+                    yield emit(schema, found.view(np.int64), [item] * n, np.arange(n), [len(mask)] * n)
 
-    return items.select("item_id", "text").mapInArrow(run, "seed long, item_id long, at int")
+    return items.select("item_id", "text").mapInArrow(run, "seed long, item_id long, at int, length int")
 
 
 def sieve_of(seed_rows: DataFrame) -> np.ndarray:
@@ -97,26 +98,27 @@ def document_hits(docs: DataFrame, sieve: np.ndarray, masks: list[str]) -> DataF
     """``seed, doc_id, at`` for the positions of all documents that the sieve lets through."""
     shared = docs.sparkSession.sparkContext.broadcast(sieve)
     schema = pa.schema([("seed", pa.int64()), ("doc_id", pa.int64()), ("at", pa.int32())])
-    longest = max(map(len, masks))
+
+    def hits(ids: list[int], lists: list[np.ndarray]) -> Batches:
+        """Seeds of many documents at once; those over the end of one do not count."""
+        bits, words = shared.value, np.concatenate(lists)
+        start = spans(np.array([len(x) for x in lists]))
+        for mask in masks:
+            for first in range(0, len(words), SLICE):
+                s = seeds(words[first : first + SLICE + len(mask) - 1], mask)
+                top = (s >> np.uint64(64 - SIEVE_BITS)).astype(np.int64)
+                at = np.flatnonzero(bits[top >> 3] >> (7 - (top & 7)).astype(np.uint8) & 1)
+                doc = np.searchsorted(start, at + first, side="right") - 1
+                inside = at + first + len(mask) <= start[doc + 1]
+                at, doc = at[inside], doc[inside]
+                if len(at):
+                    yield emit(schema, s[at].view(np.int64), np.array(ids, dtype=np.int64)[doc], at + first - start[doc])
 
     def run(batches: Batches) -> Batches:
-        bits = shared.value
         for batch in batches:
-            ids, found, places = [], [], []
-            for doc, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
-                hashes = word_hashes([w.encode("utf-8", "replace") for w in split_words(text)])
-                for start in range(0, len(hashes), SLICE):
-                    part = hashes[start : start + SLICE + longest - 1]
-                    for mask in masks:
-                        s = seeds(part, mask)[:SLICE]
-                        top = (s >> np.uint64(64 - SIEVE_BITS)).astype(np.int64)
-                        at = np.flatnonzero(bits[top >> 3] >> (7 - (top & 7)).astype(np.uint8) & 1)
-                        if len(at):
-                            ids.extend([doc] * len(at))
-                            found.append(s[at])
-                            places.append(at + start)
-            if ids:
-                yield emit(schema, np.concatenate(found).view(np.int64), ids, np.concatenate(places))
+            texts = texts_of(batch.column(1))
+            if texts:
+                yield from hits(batch.column(0).to_pylist(), [word_hashes(split_words(t)) for t in texts])
 
     rows = docs.selectExpr("cast(doc_id as bigint) doc_id", "text").where("doc_id is not null and text is not null")
     return rows.mapInArrow(run, "seed long, doc_id long, at int")
@@ -150,7 +152,7 @@ def verified(candidates: DataFrame, docs: DataFrame, items: DataFrame, min_overl
     ])
 
     def words_of(text: str) -> np.ndarray:
-        return np.array([w.encode("utf-8", "replace") for w in split_words(text)], dtype=object)
+        return np.array(split_words(text), dtype=object)
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
@@ -207,8 +209,8 @@ def contaminated(
     items = keep(items, "benchmark-items")
     found = keep(item_seeds(items, masks, min_words), "benchmark-seeds")
     # Items shorter than the masks bring masks of their own lengths: at most one per length.
-    span = min(map(len, masks))
-    used = masks + ["1" * n for n in range(min_words, span)]
+    short = found.where(F.col("length") < min(map(len, masks))).select("length").distinct().collect()
+    used = masks + ["1" * r.length for r in short]
     hits = document_hits(docs, sieve_of(found), used)
     candidates = (
         hits.alias("d")
