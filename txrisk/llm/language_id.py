@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from txrisk.llm.common import Batches, append, emit, texts_of
+from txrisk.llm.common import Batches, append, emit, keep, texts_of
 
 WORDS = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
@@ -18,6 +18,8 @@ LONGEST_GRAM = 3
 GRAM_BITS = 18
 # Characters turned into grams at once, so that a long text needs no long arrays.
 SLICE = 1 << 18
+# Ids of sampled texts that may be broadcast.
+BROADCAST_ROWS = 200_000
 # Texts scored in one matrix product.
 BLOCK = 64
 # Fixed odd multipliers, one per place in a gram.
@@ -123,7 +125,10 @@ def training_sample(docs: DataFrame, rows: Column, per_language: int) -> DataFra
         .agg(F.min(F.struct(spread.alias("h"), F.col("doc_id").alias("doc_id"))).alias("m"))
         .select("lang", F.col("m.doc_id").alias("doc_id"))
     )
-    sample = eligible.select("doc_id", "lang", "text").join(drawn, ["doc_id", "lang"])
+    drawn = keep(drawn, "language-sample")
+    # A few hundred rows for each language; more than that only where there are thousands of languages.
+    few = drawn.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    sample = eligible.select("doc_id", "lang", "text").join(F.broadcast(drawn) if few else drawn, ["doc_id", "lang"])
     return sample.dropDuplicates(["doc_id", "lang", "text"])
 
 
