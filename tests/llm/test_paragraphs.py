@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from txrisk.llm.common import prepare
 from txrisk.llm.paragraphs import (
-    BLOCK_WORDS, PLACES, chosen_blocks, cut_text, forest, paragraphs_of, repeated_paragraphs, run_hashes, without_repeats, word_hashes,
+    BLOCK_WORDS, PLACES, chosen_blocks, common_passages, cut_text, forest, paragraphs_of, repeated_paragraphs, run_hashes, without_repeats, word_hashes,
 )
 
 SCHEMA = "doc_id long, text string, n_chars long, component string, paragraph string, removed string"
@@ -127,6 +127,39 @@ def test_passages_within_lines(spark):
             assert left[i] == text
 
 
+def test_passages_are_removed_to_their_ends(spark):
+    docs = []
+    for i, n in enumerate((51, 60, 100) * 4):
+        passage = words(1000 + n, n)
+        docs.append((i, " ".join(words(2000 + i, 60 + 3 * i) + passage + words(3000 + i, 70))))
+    found = repeated_paragraphs(frame(spark, docs)).collect()
+    expected = {i: (60 + 3 * i, (51, 60, 100)[i % 3], i % 3) for i in range(3, 12)}
+    assert {r.doc_id: (r.start, r.words, r.kept_doc_id) for r in found} == expected and len(found) == 9
+
+
+@pytest.mark.parametrize(("change", "length"), [
+    (lambda p: p[:20] + ["other"] + p[21:], 60), (lambda p: p[:4] + ["other"] + p[5:55] + ["other"] + p[56:], 60),
+    (lambda p: p[:30] + ["one", "more"] + p[30:], 62), (lambda p: p[:22] + p[24:], 58),
+    (lambda p: [f"w{i}" if i % 8 == 4 else x for i, x in enumerate(p)], 60),
+])
+def test_changed_words_belong_to_a_passage(change, length):
+    passage = words(1, 60)
+    text, kept = words(2, 40) + change(passage) + words(3, 50), words(4, 70) + passage + words(5, 20)
+    assert (40, 40 + length) in {x[:2] for x in common_passages(" ".join(text), " ".join(kept))}
+    assert all(40 <= x[0] and x[1] <= 40 + length for x in common_passages(" ".join(text), " ".join(kept)))
+
+
+def test_common_runs_against_brute_force():
+    for seed in range(300):
+        r = random.Random(seed)
+        base = words(seed, 200)
+        a, b = ([w for _ in range(6) for at in [r.randrange(170)] for w in base[at : at + r.randrange(60)]] for _ in range(2))
+        runs = {tuple(b[i : i + 25]) for i in range(len(b) - 24)}
+        expected = {k for i in range(len(a) - 24) if tuple(a[i : i + 25]) in runs for k in range(i, i + 25)}
+        found = {k for x in common_passages(" ".join(a), " ".join(b)) for k in range(x[0], x[1])}
+        assert expected <= found
+
+
 def test_blocks_are_chosen_by_the_words_around_them():
     shared = words(1, BLOCK_WORDS + PLACES - 1)
     for seed in range(30):

@@ -28,10 +28,15 @@ BLOCK = 256
 COLUMNS = 1 << 14
 # A passage is found by a block of so many words, at the smallest block hash of each so many
 # consecutive places: whatever surrounds it, a passage of BLOCK_WORDS + PLACES - 1 = 25 words
-# has one of its own blocks chosen in every document, and at either end of a longer one
-# fewer than PLACES words lie outside of all chosen blocks.
+# has one of its own blocks chosen in every document. Documents that share one are compared.
 BLOCK_WORDS = 10
 PLACES = 16
+PASSAGE = BLOCK_WORDS + PLACES - 1
+# Words that a passage must have in common with an earlier document.
+LEAST = BLOCK_WORDS
+# In a passage a changed word weighs as much as so many equal ones (a similarity of 0.8); at most so many follow one another.
+DIFFERENT = 4
+GAP = 5
 # Shingles hashed at once.
 SLICE = 1 << 18
 SEED = 20240607
@@ -171,38 +176,131 @@ def paragraph_table(docs: DataFrame, bands: int, rows: int) -> DataFrame:
     return texts.mapInArrow(run, "doc_id long, par int, pid string, p long, bands array<long>, h long")
 
 
-def repeated_passages(blocks: DataFrame) -> DataFrame:
+def extension(same: np.ndarray) -> int:
+    """How many places a match goes on: to the largest surplus of agreement over ``SIMILARITY``, past at most ``GAP`` different places."""
+    best = score = reached = 0
+    for start in range(0, len(same), 512):
+        # An equal place counts 1 and a different one -4: 0 at a similarity of 0.8.
+        scores = score + np.cumsum(np.where(same[start : start + 512], 1, -DIFFERENT))
+        low = np.maximum.accumulate(np.concatenate([[best], scores]))[1:] - scores > GAP * DIFFERENT
+        end = int(low.argmax()) if low.any() else len(scores)
+        if end and (top := int(scores[:end].max())) >= best:
+            best, reached = top, start + end - int(scores[:end][::-1].argmax())
+        if end < len(scores):
+            break
+        score = int(scores[-1])
+    return reached
+
+
+def numbered(texts: tuple[str, str]) -> list[np.ndarray]:
+    """The words of both texts as numbers that are equal where the words are."""
+    numbers: dict[bytes, int] = {}
+    return [
+        np.array([numbers.setdefault(w, len(numbers)) for x in paragraphs_of(t) for w in word_list(x)], dtype=np.uint64)
+        for t in texts
+    ]
+
+
+def common_passages(text: str, kept: str) -> list[tuple[int, int, int]]:
+    """``start, end, equal`` of the passages of ``text`` that ``kept`` has, in words; near copies with their changed words.
+
+    Compared word by word from runs of ``SHINGLE`` equal words to both true ends. Stretches on both sides of inserted
+    or missing words are one passage if these are at most ``GAP`` and a quarter of either stretch.
+    """
+    a, b = numbered((text, kept))
+    if min(len(a), len(b)) < PASSAGE:
+        return []
+    ours, theirs = run_hashes(a, SHINGLE), run_hashes(b, SHINGLE)
+    order = np.argsort(theirs, kind="stable")
+    ordered = theirs[order]
+    low, high = (np.searchsorted(ordered, ours, side=x) for x in ("left", "right"))
+    seeds = np.flatnonzero(low < high)
+    found: list[list[int]] = []  # start and end here, start and end there, equal words
+    i = there = 0
+    while (n := int(np.searchsorted(seeds, i))) < len(seeds):
+        i = int(seeds[n])
+        places = order[low[i] : high[i]]  # ascending; the next one behind the last match, or else the first
+        j = int(places[k]) if (k := int(np.searchsorted(places, there))) < len(places) else int(places[0])
+        if not (a[i : i + SHINGLE] == b[j : j + SHINGLE]).all():
+            i += 1
+            continue
+        right = extension(a[i : i + len(b) - j] == b[j : j + len(a) - i])
+        back = min(i, j)
+        left = extension((a[i - back : i] == b[j - back : j])[::-1])
+        same = int((a[i - left : i + right] == b[j - left : j + right]).sum())
+        found.append([i - left, i + right, j - left, j + right, same])
+        i, there = i + right, j + right
+    joined: list[list[int]] = []
+    for x in found:
+        if joined:
+            y = joined[-1]
+            twice = max(0, y[1] - x[0], y[3] - x[2])  # words at the seam that fit on either side
+            gap = max(x[0] - y[1], x[2] - y[3]) + twice
+            least = min(y[1] - y[0], x[1] - x[0]) - twice
+            if x[2] > y[2] and gap <= GAP and gap * DIFFERENT <= least:
+                joined[-1] = [min(y[0], x[0]), max(y[1], x[1]), y[2], x[3], y[4] + x[4] - twice]
+                continue
+        joined.append(x)
+    out = [(x[0], x[1], x[4]) for x in joined]
+    # Whatever the way through the matches was: every run of PASSAGE words that both have.
+    ours, theirs = run_hashes(a, PASSAGE), run_hashes(b, PASSAGE)
+    values, first = np.unique(theirs, return_index=True)
+    at = np.minimum(np.searchsorted(values, ours), len(values) - 1)
+    runs = [i for i in np.flatnonzero(values[at] == ours).tolist() if (a[i : i + PASSAGE] == b[first[at[i]] :][:PASSAGE]).all()]
+    for i in runs:
+        if out and len(joined) < len(out) and i <= out[-1][1] - PASSAGE + 1:
+            out[-1] = (out[-1][0], i + PASSAGE, i + PASSAGE - out[-1][0])
+        else:
+            out.append((i, i + PASSAGE, PASSAGE))
+    return out
+
+
+def longest(passages: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """``start, end, kept`` without those that lie within another; of equal ones the one kept first."""
+    out: list[tuple[int, int, int]] = []
+    for x in sorted(passages, key=lambda x: (x[0], -x[1], x[2])):
+        if not out or x[1] > out[-1][1]:
+            out.append(x)
+    return out
+
+
+def repeated_passages(docs: DataFrame, blocks: DataFrame) -> DataFrame:
     """``doc_id, start, words, kept_doc_id`` of the passages that an earlier document has.
 
-    ``blocks`` is ``(doc_id, par, h)``. Chosen blocks that follow one another without leaving
-    a place unchosen belong to one passage.
+    ``blocks`` is ``(doc_id, h)``, which only say what documents to compare: each with
+    the first that has one of its blocks. The texts decide, word by word.
     """
-    shared = blocks.groupBy("h").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    shared = keep(shared.where("first <> last").select("h", "first"), "shared-blocks")
-    later = blocks.join(shared, "h").where("doc_id <> first")
-    by_doc = later.groupBy("doc_id").agg(  # at most a document's blocks
-        F.sort_array(F.collect_set(F.struct("par", "first"))).alias("found")
-    )
+    shared = blocks.groupBy("h").agg(F.min("doc_id").alias("kept"), F.max("doc_id").alias("last"))
+    shared = keep(shared.where("kept <> last").select("h", "kept"), "shared-blocks")
+    pairs = blocks.join(shared, "h").where("doc_id <> kept").select("doc_id", "kept").distinct()
+    pairs = keep(pairs, "passage-pairs")
+    texts = docs.selectExpr("cast(doc_id as bigint) doc_id", "text").where("doc_id is not null and text is not null")
+    rows = texts.toDF("kept", "kept_text").join(pairs, "kept").join(texts, "doc_id")
     schema = pa.schema([
         ("doc_id", pa.int64()), ("start", pa.int32()), ("words", pa.int32()), ("kept_doc_id", pa.int64())
     ])
 
-    def run(batches: Batches) -> Batches:
+    def compare(batches: Batches) -> Batches:
+        for batch in batches:
+            out = []
+            for doc, kept, text, other in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                out += [(doc, start, end - start, kept) for start, end, same in common_passages(text, other) if same >= LEAST]
+            yield emit(schema, *zip(*out, strict=True)) if out else pa.RecordBatch.from_pylist([], schema)
+
+    def pick(batches: Batches) -> Batches:
         for batch in batches:
             out = []
             for doc, found in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                start = end = kept = None
-                for x in found:
-                    if start is not None and x["par"] <= end - BLOCK_WORDS + PLACES:
-                        end, kept = x["par"] + BLOCK_WORDS, min(kept, x["first"])
-                        continue
-                    if start is not None:
-                        out.append((doc, start, end - start, kept))
-                    start, end, kept = x["par"], x["par"] + BLOCK_WORDS, x["first"]
-                out.append((doc, start, end - start, kept))
+                passages = longest([(x["start"], x["start"] + x["words"], x["kept_doc_id"]) for x in found])
+                out += [(doc, start, end - start, kept) for start, end, kept in passages]
             yield emit(schema, *zip(*out, strict=True)) if out else pa.RecordBatch.from_pylist([], schema)
 
-    return by_doc.mapInArrow(run, "doc_id long, start int, words int, kept_doc_id long")
+    columns = "doc_id long, start int, words int, kept_doc_id long"
+    found = rows.select("doc_id", "kept", "text", "kept_text").mapInArrow(compare, columns)
+    by_doc = found.groupBy("doc_id").agg(  # at most the passages of a document's pairs
+        F.collect_set(F.struct("start", "words", "kept_doc_id")).alias("found")
+    )
+    return by_doc.mapInArrow(pick, columns)
 
 
 def shingle_sets(docs: DataFrame, occurrences: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -353,15 +451,15 @@ def repeated_paragraphs(
     their lower-case words are the same, or if the Jaccard similarity of their five-word shingles is
     at least ``similarity``; similar ones are found by MinHash bands. The
     component's first occurrence by doc_id and paragraph is kept, all others are ``removed``.
-    One row also for each passage within lines that a document with a smaller doc_id has word by
-    word: ``start`` and ``words`` count the words of the text, ``paragraph`` and ``component`` are null. A
-    passage that two documents share over 25 words or more is always among them, but for fewer than 16
-    words at either end.
+    One row also for each passage within lines that the document ``kept_doc_id`` with a smaller doc_id
+    has: ``start`` and ``words`` count the words of the text, ``paragraph`` and ``component`` are null.
+    Passages are compared word by word to their ends; ``common_passages`` says how far changed words belong to them.
+    Passages that a text has in common with several documents may overlap.
     Null ids and texts hold no paragraphs. Rows that repeat a doc_id are one document. Other columns
     of ``docs`` stay out.
     """
     found = keep(paragraph_table(docs, bands, rows), "paragraphs")
-    occurrences, blocks = found.where("pid is not null"), found.where("h is not null").select("doc_id", "par", "h")
+    occurrences, blocks = found.where("pid is not null"), found.where("h is not null").select("doc_id", "h")
     links = keep(paragraph_links(docs, occurrences, similarity, crowd), "paragraph-links")
     roots = components(links, "paragraph-edges")
     placed = occurrences.select("doc_id", "par", "pid").join(roots, F.col("pid") == F.col("node"), "left")
@@ -377,7 +475,7 @@ def repeated_paragraphs(
         "doc_id", "par paragraph", "cast(null as int) start", "cast(null as int) words", "component", "kept_doc_id",
         "kept_paragraph", "not (doc_id = kept_doc_id and par = kept_paragraph) removed",
     )
-    passages = repeated_passages(blocks).selectExpr(
+    passages = repeated_passages(docs, blocks).selectExpr(
         "doc_id", "cast(null as int) paragraph", "start", "words", "cast(null as string) component", "kept_doc_id",
         "cast(null as int) kept_paragraph", "true removed",
     )
