@@ -137,6 +137,13 @@ def test_passages_are_removed_to_their_ends(spark):
     assert {r.doc_id: (r.start, r.words, r.kept_doc_id) for r in found} == expected and len(found) == 9
 
 
+def test_every_copy_within_a_document_is_removed(spark):
+    passage = words(1, 48)
+    twice = words(2, 40) + passage + words(3, 62) + passage + words(4, 40)
+    found = repeated_paragraphs(frame(spark, [(1, " ".join(words(5, 30) + passage + words(6, 30))), (2, " ".join(twice))]))
+    assert sorted((r.doc_id, r.start, r.words) for r in found.collect()) == [(2, 40, 48), (2, 150, 48)]
+
+
 @pytest.mark.parametrize(("change", "length"), [
     (lambda p: p[:20] + ["other"] + p[21:], 60), (lambda p: p[:4] + ["other"] + p[5:55] + ["other"] + p[56:], 60),
     (lambda p: p[:30] + ["one", "more"] + p[30:], 62), (lambda p: p[:22] + p[24:], 58),
