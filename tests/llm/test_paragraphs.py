@@ -144,6 +144,16 @@ def test_every_copy_within_a_document_is_removed(spark):
     assert sorted((r.doc_id, r.start, r.words) for r in found.collect()) == [(2, 40, 48), (2, 150, 48)]
 
 
+def test_passages_need_25_words_of_one_document(spark):
+    """Short phrases stay; the first document that has a phrase does not hide one that has the whole passage."""
+    passage = words(1, 30)
+    docs = [(0, " ".join(words(9, 40) + passage[:24] + words(20, 40)))]
+    docs += [(i, " ".join(words(100 + i, 40) + passage[i : i + 12] + words(200 + i, 40))) for i in range(1, 18, 2)]
+    docs += [(i, " ".join(words(300 + i, 30 + i) + passage + words(400 + i, 40))) for i in range(20, 26)]
+    found = {(r.doc_id, r.start, r.words, r.kept_doc_id) for r in repeated_paragraphs(frame(spark, docs)).collect()}
+    assert found == {(i, 30 + i, 30, 20) for i in range(21, 26)}
+
+
 @pytest.mark.parametrize(("change", "length"), [
     (lambda p: p[:20] + ["other"] + p[21:], 60), (lambda p: p[:4] + ["other"] + p[5:55] + ["other"] + p[56:], 60),
     (lambda p: p[:30] + ["one", "more"] + p[30:], 62), (lambda p: p[:22] + p[24:], 58),

@@ -33,7 +33,7 @@ BLOCK_WORDS = 10
 PLACES = 16
 PASSAGE = BLOCK_WORDS + PLACES - 1
 # Words that a passage must have in common with an earlier document.
-LEAST = BLOCK_WORDS
+LEAST = PASSAGE
 # In a passage a changed word weighs as much as so many equal ones (a similarity of 0.8); at most so many follow one another.
 DIFFERENT = 4
 GAP = 5
@@ -264,16 +264,47 @@ def longest(passages: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     return out
 
 
+def passage_pairs(docs: DataFrame, blocks: DataFrame) -> DataFrame:
+    """``doc_id, kept``: documents to compare, among them, for every run of ``PASSAGE`` words, with the first that has it.
+
+    ``blocks`` is ``(doc_id, h)``. A document is compared with the first that has one of its
+    blocks. That one may have less of a passage than another; so where more than two documents have
+    a block, the runs of which it is the smallest are hashed too, and the first that has one is compared as well.
+    """
+    shared = blocks.groupBy("h").agg(F.min("doc_id").alias("kept"), F.max("doc_id").alias("last"), F.count("*").alias("n"))
+    shared = keep(shared.where("kept <> last").select("h", "kept", "n"), "shared-blocks")
+    known = keep(blocks.join(shared, "h").select("doc_id", "h", "kept", "n"), "blocks-of-documents")
+    pairs = known.where("doc_id <> kept").select("doc_id", "kept")
+    by_doc = known.where("n > 2").groupBy("doc_id").agg(F.collect_set("h").alias("hs"))  # at most a document's blocks
+    texts = docs.selectExpr("cast(doc_id as bigint) doc_id", "text").where("doc_id is not null and text is not null")
+    schema = pa.schema([("doc_id", pa.int64()), ("w", pa.int64())])
+
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            for doc, text, hs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                hashes = word_hashes([w for x in paragraphs_of(text) for w in word_list(x)])
+                runs = run_hashes(hashes, PASSAGE)
+                if not len(runs):
+                    continue
+                # A run has the same smallest block wherever it is, and that block is a chosen one.
+                lowest = np.lib.stride_tricks.sliding_window_view(run_hashes(hashes, BLOCK_WORDS), PLACES).min(axis=1)
+                near = np.isin(lowest, np.array(hs, dtype=np.int64).view(np.uint64))
+                found = np.unique(runs[near])
+                yield emit(schema, np.full(len(found), doc), found.view(np.int64))
+
+    runs = texts.join(by_doc, "doc_id").select("doc_id", "text", "hs").mapInArrow(run, "doc_id long, w long")
+    runs = keep(runs, "runs-of-documents")
+    first = runs.groupBy("w").agg(F.min("doc_id").alias("kept"), F.max("doc_id").alias("last")).where("kept <> last")
+    more = runs.join(first.select("w", "kept"), "w").where("doc_id <> kept").select("doc_id", "kept")
+    return keep(pairs.union(more).distinct(), "passage-pairs")
+
+
 def repeated_passages(docs: DataFrame, blocks: DataFrame) -> DataFrame:
     """``doc_id, start, words, kept_doc_id`` of the passages that an earlier document has.
 
-    ``blocks`` is ``(doc_id, h)``, which only say what documents to compare: each with
-    the first that has one of its blocks. The texts decide, word by word.
+    ``blocks`` is ``(doc_id, h)``, which only say what documents to compare. The texts decide, word by word.
     """
-    shared = blocks.groupBy("h").agg(F.min("doc_id").alias("kept"), F.max("doc_id").alias("last"))
-    shared = keep(shared.where("kept <> last").select("h", "kept"), "shared-blocks")
-    pairs = blocks.join(shared, "h").where("doc_id <> kept").select("doc_id", "kept").distinct()
-    pairs = keep(pairs, "passage-pairs")
+    pairs = passage_pairs(docs, blocks)
     texts = docs.selectExpr("cast(doc_id as bigint) doc_id", "text").where("doc_id is not null and text is not null")
     rows = texts.toDF("kept", "kept_text").join(pairs, "kept").join(texts, "doc_id")
     schema = pa.schema([
@@ -453,7 +484,7 @@ def repeated_paragraphs(
     component's first occurrence by doc_id and paragraph is kept, all others are ``removed``.
     One row also for each passage within lines that the document ``kept_doc_id`` with a smaller doc_id
     has: ``start`` and ``words`` count the words of the text, ``paragraph`` and ``component`` are null.
-    Passages are compared word by word to their ends; ``common_passages`` says how far changed words belong to them.
+    It has at least 25 words in common with that document, and every such run of words is in some row. Passages are compared word by word to their ends; ``common_passages`` says how far changed words belong to them.
     Passages that a text has in common with several documents may overlap.
     Null ids and texts hold no paragraphs. Rows that repeat a doc_id are one document. Other columns
     of ``docs`` stay out.
