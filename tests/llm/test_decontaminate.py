@@ -1,3 +1,4 @@
+import itertools
 import random
 
 import numpy as np
@@ -52,6 +53,25 @@ def test_seeds_ignore_masked_places():
             assert (seeds(h, mask) == seeds(changed, mask)).all() == (c == "0")
 
 
+@pytest.mark.parametrize(("length", "changes"), [(13, 2), (15, 3), (20, 4), (25, 5)])
+def test_masks_meet_all_substitutions(length, changes):
+    fits = [int(m, 2) << k for m in MASKS for k in range(length - len(m) + 1)]
+    for places in itertools.combinations(range(length), changes):
+        changed = sum(1 << i for i in places)
+        assert any(not f & changed for f in fits), places
+
+
+def test_all_substitutions_within_13_words(spark):
+    prepare(spark)
+    item = words(2, 13)
+    docs = []
+    for i, places in enumerate(itertools.combinations(range(1, 12), 2)):
+        changed = [f"x{i}" if k in places else w for k, w in enumerate(item)]
+        docs.append((i, " ".join(words(100 + i, 20) + changed + words(300 + i, 20))))
+    found = run(spark, docs, [(1, " ".join(item))])
+    assert len(docs) == 55 and set(found) == {(i, 1) for i, _ in docs}
+
+
 def test_passages_with_substitutions(spark):
     prepare(spark)
     item = words(2, 40)
