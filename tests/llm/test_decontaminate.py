@@ -117,6 +117,19 @@ def test_short_items(spark):
     assert masks_for(4, MASKS, 5) == [] and masks_for(7, MASKS, 5) == ["1" * 7] and masks_for(12, MASKS, 5) == MASKS
 
 
+def test_changed_words_in_short_items(spark):
+    prepare(spark)
+    items = {n: words(600 + n, n) for n in range(4, 13)}
+    docs, expected = [], set()
+    for n, item in items.items():
+        for places in itertools.combinations(range(1, n - 1), n // 5):
+            changed = ["other" if k in places else w for k, w in enumerate(item)]
+            docs.append((len(docs), " ".join(words(700 + len(docs), 9) + changed + words(900 + len(docs), 9))))
+            expected |= {(docs[-1][0], n)} if n >= 5 else set()
+    found = run(spark, docs, [(n, " ".join(item)) for n, item in items.items()])
+    assert set(found) == expected and {i for _, i in expected} == set(range(5, 13))
+
+
 def test_equal_items_and_repeated_documents(spark):
     prepare(spark)
     text = " ".join(words(8, 30))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import re
 
 import numpy as np
@@ -67,21 +68,36 @@ def masks_for(n: int, masks: list[str], min_words: int) -> list[str]:
     return ["1" * n] if n >= min_words else []
 
 
-def item_seeds(items: DataFrame, masks: list[str], min_words: int) -> DataFrame:
-    """``seed, item_id, at, length`` for every position of every item; ``length`` is that of the mask."""
-    schema = pa.schema([("seed", pa.int64()), ("item_id", pa.int64()), ("at", pa.int32()), ("length", pa.int32())])
+def item_masks(n: int, masks: list[str], min_words: int, similarity: float) -> list[str]:
+    """Masks to hash an item of ``n`` words with.
+
+    An item of fewer than ``MIN_OVERLAP`` words brings masks of its own over all of it, one for each choice of the
+    words that may differ; its first and last word may not.
+    """
+    if n < min_words:
+        return []
+    if n >= MIN_OVERLAP:
+        return masks_for(n, masks, min_words)
+    free = min(n - 2, int(n * (1 - similarity) + 1e-9))
+    gaps = itertools.combinations(range(1, n - 1), max(0, free))
+    return ["".join("0" if i in x else "1" for i in range(n)) for x in gaps]
+
+
+def item_seeds(items: DataFrame, masks: list[str], min_words: int, similarity: float) -> DataFrame:
+    """``seed, item_id, at, words`` for every position of every item; ``words`` is the item's length."""
+    schema = pa.schema([("seed", pa.int64()), ("item_id", pa.int64()), ("at", pa.int32()), ("words", pa.int32())])
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
             for item, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
                 words = split_words(text)
                 hashes = word_hashes(words)
-                for mask in masks_for(len(words), masks, min_words):
+                for mask in item_masks(len(words), masks, min_words, similarity):
                     found = seeds(hashes, mask)
                     n = len(found)
-                    yield emit(schema, found.view(np.int64), [item] * n, np.arange(n), [len(mask)] * n)
+                    yield emit(schema, found.view(np.int64), [item] * n, np.arange(n), [len(words)] * n)
 
-    return items.select("item_id", "text").mapInArrow(run, "seed long, item_id long, at int, length int")
+    return items.select("item_id", "text").mapInArrow(run, "seed long, item_id long, at int, words int")
 
 
 def sieve_bits(seed: np.ndarray, table: int) -> np.ndarray:
@@ -212,10 +228,11 @@ def contaminated(
     A document contains an item if, from some word on, a stretch of at least ``min_overlap``
     words (all words of a shorter item) agrees with the item in ``similarity`` of its
     places; ``start`` and ``words`` give the stretch in the document's words. Places that
-    agree are found through spaced seeds; none is missed with the default masks at a similarity of 0.8 or more.
-    Items of fewer than ``min_words`` words, and null texts and ids on either side, match nothing; an
-    item shorter than the seeds matches word by word. Equal benchmark texts are searched once, under their
-    smallest item_id; repeated documents give one row per doc_id and item.
+    agree are found through spaced seeds; none is missed with the default masks at
+    a similarity of 0.8 and ``min_overlap`` of 13, or more.
+    Items of fewer than ``min_words`` words, and null texts and ids on either side, are not searched; an
+    item of up to 12 words is searched with masks for every choice of the words that may differ. Equal benchmark texts are searched
+    once, under their smallest item_id; repeated documents give one row per doc_id and item.
     """
     masks = masks or MASKS
     items = (
@@ -225,10 +242,11 @@ def contaminated(
         .agg(F.min("item_id").alias("item_id"))
     )
     items = keep(items, "benchmark-items")
-    found = keep(item_seeds(items, masks, min_words), "benchmark-seeds")
-    # Items shorter than the masks bring masks of their own lengths: at most one per length.
-    short = found.where(F.col("length") < min(map(len, masks))).select("length").distinct().collect()
-    used = masks + ["1" * r.length for r in short]
+    found = keep(item_seeds(items, masks, min_words, similarity), "benchmark-seeds")
+    # Short items bring masks of their own: the same for all of a length.
+    short = found.where(F.col("words") < max(MIN_OVERLAP, min(map(len, masks)))).select("words").distinct().collect()
+    own = [m for r in short for m in item_masks(r.words, masks, min_words, similarity)]
+    used = list(dict.fromkeys(masks + own))
     hits = document_hits(docs, sieve_of(found), used)
     candidates = (
         hits.alias("d")
