@@ -1,0 +1,142 @@
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from txrisk.llm import queries, spelling
+from txrisk.llm.common import prepare
+from txrisk.llm.spelling import Reduced, spelling_variants
+
+SF = "/root/testdata/sf0.001"
+RUN = re.compile("[A-Za-zÀ-ÿ]+")
+
+
+def lower(s):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in s)
+
+
+def one_edit(word, letters):
+    n = len(word)
+    out = {word[:i] + word[i + 1 :] for i in range(n)}
+    out |= {word[:i] + c + word[i + 1 :] for i in range(n) for c in letters}
+    out |= {word[:i] + c + word[i:] for i in range(n + 1) for c in letters}
+    return out - {word}
+
+
+def brute_force(docs, min_length=7, min_count=2, ratio=10, deletion=None):
+    count = Counter()
+    for doc_id, text in docs:
+        for run in map(lower, RUN.findall(text or "")):
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if deletion and h % deletion == 0:
+                at = h % len(run)
+                run = run[:at] + run[at + 1 :]
+            if len(run) >= min_length:
+                count[run] += 1
+    words = {w: n for w, n in count.items() if n >= min_count}
+    letters = set("".join(words))
+    near = {w: one_edit(w, letters) & set(words) for w in words}
+    form = {}
+    for w, others in near.items():
+        best = min(others, key=lambda o: (-words[o], o), default=None)
+        form[w] = best if best is not None and words[best] >= ratio * words[w] else None
+
+    def root(w):
+        while form[w] is not None:
+            w = form[w]
+        return w
+
+    return sorted((w, form[w] or "", root(w), n, len(near[w]), words[form[w]] if form[w] else 0) for w, n in words.items())
+
+
+def found(rows):
+    return sorted((r.word, r.form or "", r.root, r.n, r.n_near, r.form_n or 0) for r in rows)
+
+
+def check(spark, docs, **options):
+    prepare(spark)
+    rows = spelling_variants(spark.createDataFrame(docs, "doc_id long, text string"), **options).collect()
+    assert found(rows) == brute_force(docs, **options)
+    return rows
+
+
+def variants(seed, n, letters="abcdefghijklmnopqrstuvwxyzàéß", length=9):
+    r = random.Random(seed)
+    base = ["".join(r.choice(letters) for _ in range(r.randrange(length - 2, length + 3))) for _ in range(n)]
+    text = []
+    for i, w in enumerate(base):
+        text += [w] * r.choice([2, 3, 30, 400])
+        for _ in range(6):
+            text += [r.choice(sorted(one_edit(w, letters)))] * r.choice([1, 2, 5, 30])
+    r.shuffle(text)
+    return [(i, " ".join(text[i::7])) for i in range(7)]
+
+
+def test_planted_variants(spark):
+    rows = check(spark, variants(1, 40))
+    assert any(r.form for r in rows) and any(r.root != r.form for r in rows if r.form)
+
+
+def test_deletions_are_reproducible(spark):
+    check(spark, variants(2, 30), deletion=31)
+    check(spark, [(None, "Alphabet alphabet ALPHABET Étudiant÷s Étudiant÷s"), (3, "alphabets " * 50)], deletion=2)
+
+
+def test_short_words_and_other_ratios(spark):
+    check(spark, variants(3, 25, "abcd", 4), min_length=2, min_count=1, ratio=2)
+
+
+def test_crowded_forms(spark, monkeypatch):
+    """Many words of one reduced form: the exact keys find what the buckets leave."""
+    monkeypatch.setattr(spelling, "BUCKET", 3)
+    check(spark, variants(4, 25, "aiqybjrz", 8))
+    # All letters of one class: one reduced form for each length.
+    check(spark, variants(5, 25, "aiqyáéé", 8))
+
+
+def test_odd_documents(spark, odd_docs, no_docs):
+    prepare(spark)
+    source = [(r.doc_id, r.text) for r in odd_docs.select("doc_id", "text").collect()]
+    assert found(spelling_variants(odd_docs).collect()) == brute_force(source)
+    assert spelling_variants(no_docs).count() == 0
+    assert spelling_variants(odd_docs.where("text is null")).count() == 0
+    renamed = odd_docs.withColumnRenamed("key", "word").withColumnRenamed("ids", "code")
+    assert found(spelling_variants(renamed).collect()) == brute_force(source)
+
+
+def test_very_long_words(spark):
+    word = "abcdefgh" * 3000
+    rows = check(spark, [(1, f"{word} " * 30), (2, f"{word}x {word}x {word[1:]} {word[1:]}")])
+    assert {r.root for r in rows} == {word}
+
+
+def test_reduced_neighbourhood_is_full():
+    r = random.Random(6)
+    reduced = Reduced()
+    words = ["".join(r.choice("abcdefghijklé") for _ in range(n)) for n in (2, 5, 7, 7, 12, 30)]
+    for w in words:
+        held = set(np.concatenate([c for _, c in reduced.neighbourhood([w])]).tolist())
+        letters = [chr(i) for i in range(96, 104)]  # one of each class
+        around = sorted(one_edit(w, letters) | {w})
+        assert set(reduced.codes(around).tolist()) == held
+
+
+def test_codes_tell_lengths_and_letters_apart():
+    words = ["hhhhhhh", "hhhhhhhh", "ahhhhhh", "hhhhhha", "aaaaaaa", "aaaaaaaa", "iiiiiii"]
+    codes = Reduced().codes(words).tolist()
+    assert len(set(codes[:6])) == 6 and codes[4] == codes[6]
+
+
+def test_parameters():
+    with pytest.raises(ValueError):
+        spelling_variants(None, ratio=1)
+
+
+def test_query_against_brute_force(spark, sf_docs):
+    rows = queries.op11_spelling_variants(spark, SF)
+    assert rows.columns == ["word", "form", "root", "n", "n_near", "form_n"]
+    source = [(r.doc_id, r.text) for r in sf_docs.select("doc_id", "text").collect()]
+    assert found(rows.collect()) == brute_force(source, deletion=31)
