@@ -33,8 +33,7 @@ def test_every_oracle_has_a_query():
     assert set(QUERIES) <= set(entry_points.queries())
     # No SQL counterpart: trained models.
     assert set(QUERIES) - set(ORACLE) == {
-        "compare_models",
-        "cv_grid",
+        "compare_fitted_models",
         "stream_model_scores",
     }
 

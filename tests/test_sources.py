@@ -1,10 +1,12 @@
 import json
 import os
+from multiprocessing.pool import ThreadPool
 
 import pytest
 from pyspark.sql import functions as F
 
 from txrisk.schema import AUC_CV, RAW_COLUMNS
+from txrisk.session import list_dir
 from txrisk.sources.messages import (
     decode_column_maps,
     decode_messages,
@@ -16,7 +18,8 @@ from txrisk.sources.messages import (
     to_messages,
 )
 from txrisk.sources.raw import number_lines, raw_header, read_raw
-from txrisk.sources.runs import log_run, read_runs
+from txrisk.sources import runs
+from txrisk.sources.runs import compact_runs, log_run, read_runs
 from txrisk.sources.tables import (
     append_forecasts,
     choose_snapshots,
@@ -51,7 +54,9 @@ def test_read_raw(spark, tmp_path):
     write(tmp_path / "2024-01-01.txt", HEADER, good, "2,2024-01-01 00:00:01,5,Err,1.5,0,0,0,0", "3,2024-01-01 00:00:02,5")
     write(tmp_path / "2024-01-02.txt", HEADER, good)
     write(tmp_path / "notes.md", "4,2024-01-01 00:00:00,5,6,1.5,0,0,0,0")
-    rows = {(r["source_file"], r["tranaction_id"]): r for r in read_raw(spark, str(tmp_path), "*.txt", True).collect()}
+    found = read_raw(spark, str(tmp_path), "*.txt", True).collect()
+    assert all(r["source_file"].endswith(str(tmp_path) + "/" + os.path.basename(r["source_file"])) for r in found)
+    rows = {(os.path.basename(r["source_file"]), r["tranaction_id"]): r for r in found}
     assert sorted(rows) == [("2024-01-01.txt", 1), ("2024-01-01.txt", 2), ("2024-01-01.txt", 3), ("2024-01-02.txt", 1)]
     assert rows["2024-01-01.txt", 2]["terminal_id"] is None
     assert rows["2024-01-01.txt", 3]["tx_fraud"] is None
@@ -82,6 +87,22 @@ def test_file_messages(spark, tmp_path):
     assert [r["key"].split("@")[0] for r in limited] == ["tx_2"]
 
 
+def test_files_with_other_headers(spark, tmp_path):
+    """Each file's header names its own fields; without one the raw layout holds."""
+    turned = RAW_COLUMNS[::-1]
+    (tmp_path / "in").mkdir()
+    write(tmp_path / "in" / "a.txt", "# " + " | ".join(turned), ",".join(SAMPLE[c] for c in turned))
+    write(tmp_path / "in" / "b.txt", "# tranaction_id | note | customer_id", "5,hello,7", "# again | other", "6")
+    write(tmp_path / "in" / "c.txt", ",".join(SAMPLE.values()))
+    got = {r["key"].split("@")[0] + r["key"][-5:]: json.loads(r["value"]) for r in file_messages(spark, str(tmp_path / "in")).collect()}
+    assert got == {
+        "tx_2a.txt": SAMPLE,
+        "tx_2b.txt": {"tranaction_id": "5", "customer_id": "7"},
+        "tx_4b.txt": {"tranaction_id": "6"},
+        "tx_1c.txt": SAMPLE,
+    }
+
+
 def messages(spark, *values):
     rows = [(f"k{i}", v if isinstance(v, str) or v is None else json.dumps(v)) for i, v in enumerate(values)]
     return spark.createDataFrame(rows, "key STRING, value STRING")
@@ -183,5 +204,46 @@ def test_runs(spark, tmp_path):
     assert read_runs(spark, path, "y", "FINISHED").count() == 0
 
 
+def test_runs_are_replaced_by_id(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    assert read_runs(spark, path).count() == 0
+    log_run(spark, path, "a", "x", status="RUNNING")
+    for _ in range(2):  # a retry
+        log_run(spark, path, "a", "x", metrics={AUC_CV: 0.5}, params={"n": 1})
+    log_run(spark, path, "b", "y")
+    for _ in range(3):
+        found = {r["run_id"]: r for r in read_runs(spark, path).collect()}
+        assert set(found) == {"a", "b"} and read_runs(spark, path).count() == 2
+        assert found["a"]["status"] == "FINISHED" and found["a"]["metrics"] == {AUC_CV: 0.5} and found["a"]["params"] == {"n": "1"}
+        compact_runs(spark, path)
+        assert len(list_dir(spark, path)) == 1
+
+
+def test_writers_do_not_meet(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    with ThreadPool(4) as pool:
+        pool.map(lambda i: log_run(spark, path, f"r{i % 10}", "x", metrics={"m": i}), range(20))
+    assert {r["run_id"] for r in read_runs(spark, path).collect()} == {f"r{i}" for i in range(10)}
+    assert read_runs(spark, path).count() == 10
+
+
+def test_a_lost_compaction_counts_runs_once(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "runs")
+    for i in range(4):
+        log_run(spark, path, f"r{i % 3}", "x", metrics={"m": i})
+    before = sorted(map(str, read_runs(spark, path).collect()))
+
+    def lost(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(runs, "remove_path", lost)
+        with pytest.raises(RuntimeError):
+            compact_runs(spark, path)
+    assert sorted(map(str, read_runs(spark, path).collect())) == before
+    compact_runs(spark, path)
+    assert sorted(map(str, read_runs(spark, path).collect())) == before and len(list_dir(spark, path)) == 1
+
+
 def test_read_if_exists(spark, tmp_path):
     assert read_if_exists(spark, str(tmp_path / "nothing")) is None

@@ -10,11 +10,12 @@ from txrisk.sources.tables import read_forecasts
 from txrisk.streaming.scoring import (
     persist_scores,
     read_tx_stream,
-    recent_history,
     score_batch,
     score_stream,
 )
 
+from txrisk.streaming.history import recent_history
+
 from test_sources import SAMPLE, scored
 
 

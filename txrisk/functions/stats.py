@@ -30,6 +30,22 @@ def required_n(p1: Column, p2: Column, confidence: float = 0.95, power: float =
     return F.when(effect != 0, F.floor(size).try_cast("bigint") + 1)
 
 
+def kolmogorov_p(distance: Column) -> Column:
+    """P(sup |B| > distance) for a Brownian bridge, from the series that converges fast on either side of 1."""
+
+    terms = F.sequence(F.lit(1), F.lit(12))
+
+    def series(term) -> Column:
+        return F.aggregate(terms, F.lit(0.0), lambda total, i: total + term(i))
+
+    square = distance * distance
+    odd = series(lambda i: F.exp(-F.lit(math.pi**2 / 8) * (2 * i - 1) * (2 * i - 1) / square))
+    signs = series(lambda i: F.when(i % 2 == 1, 1.0).otherwise(-1.0) * F.exp(-2 * i * i * square))
+    near = 1 - F.lit(math.sqrt(2 * math.pi)) / distance * odd
+    p = F.when(distance <= 0, 1.0).when(distance < 1, near).otherwise(2 * signs)
+    return F.least(F.greatest(p, F.lit(0.0)), F.lit(1.0))
+
+
 def _log_half_step(a: float) -> float:
     """log(gamma(a + 1/2) / gamma(a)): a few steps of the recurrence, then the asymptotic series."""
     steps = 0.0

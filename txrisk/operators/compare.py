@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from txrisk.functions.scores import score_of
-from txrisk.functions.stats import required_n, two_sided_p
+from txrisk.functions.stats import kolmogorov_p, required_n, two_sided_p
+from txrisk.operators.running import running_totals
 from txrisk.schema import AUC_CV
 
 ALPHA = 0.05
@@ -123,6 +124,40 @@ def score_drift(
     )
 
 
+def ks_drift(
+    reference: DataFrame, live: DataFrame, by: str = "forecast_date", score: str = "score", alpha: float = ALPHA
+) -> DataFrame:
+    """Per group of live scores: the greatest distance of their distribution from that of ``reference``.
+
+    ``n_ref, n_live, distance`` and ``p`` by the Kolmogorov distribution; ``refit`` where p is under ``alpha``.
+    Null scores do not count; a null group is one. Both sides are counted per distinct score
+    on the map side; the running counts never put a group into one task.
+    """
+    value = F.col(score).cast("double").alias("score")
+    ref = reference.select(value).dropna().groupBy("score").agg(F.count("*").alias("n_ref"))
+    mine = live.select(by, value).where("score is not null").groupBy(by, "score").agg(F.count("*").alias("n_live"))
+    # The reference's running count at every score of either side.
+    points = ref.unionByName(mine.select("score", F.lit(0).cast("bigint").alias("n_ref"))).groupBy("score")
+    points = running_totals(points.agg(F.sum("n_ref").alias("n_ref")), "score", ["n_ref"])
+    points = points.select(F.col("score").alias("at"), "n_ref", "cum_n_ref")
+    running = running_totals(mine, "score", ["n_live"], [by]).join(points, F.col("score") == F.col("at"))
+    ends = mine.groupBy(F.col(by).alias("__by")).agg(F.sum("n_live").alias("__live"))
+    running = running.join(ends, F.col(by).eqNullSafe(F.col("__by")))
+    running = running.withColumn("__ref", ref.agg(F.sum("n_ref")).scalar())
+    # Between two live scores their share stands still and the reference's only grows, so that
+    # the distance is greatest at a live score or just before one.
+    after = F.abs(F.col("cum_n_ref") / F.col("__ref") - F.col("cum_n_live") / F.col("__live"))
+    before = F.abs(
+        (F.col("cum_n_ref") - F.col("n_ref")) / F.col("__ref") - (F.col("cum_n_live") - F.col("n_live")) / F.col("__live")
+    )
+    found = running.groupBy(by).agg(
+        F.max("__ref").alias("n_ref"), F.max("__live").alias("n_live"), F.max(F.greatest(after, before)).alias("distance")
+    )
+    effective = F.col("n_ref") * F.col("n_live") / (F.col("n_ref") + F.col("n_live"))
+    p = found.withColumn("p", kolmogorov_p(F.sqrt(effective) * F.col("distance")))
+    return p.withColumn("refit", F.coalesce(F.col("p") < alpha, F.lit(False)))
+
+
 def top_models(runs: DataFrame, metric: str = AUC_CV, k: int = 2, ascending: bool = False) -> DataFrame:
     """The ``k`` finished runs with the best metric; ties go to the smaller run id."""
     value = F.col("metrics").getItem(metric)

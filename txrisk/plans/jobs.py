@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 
 from pyspark import StorageLevel
@@ -12,8 +13,10 @@ from txrisk.functions.scores import score_of
 from txrisk.operators.compare import compare_models, score_drift
 from txrisk.operators.evaluate import class_metrics, roc_auc
 from txrisk.operators.features import feature_table
-from txrisk.operators.learn import build_pipeline, score, train, tune
+from txrisk.operators.curve import operating_point, threshold_curve
+from txrisk.operators.learn import build_pipeline, score, train
 from txrisk.operators.profile import profile_duplicates, profile_missing, profile_numeric
+from txrisk.operators.tuning import tune_rounds
 from txrisk.schema import (
     AUC_CV,
     AUC_TEST,
@@ -22,10 +25,12 @@ from txrisk.schema import (
     PRECISION_TRAIN,
     RECALL_TEST,
     RECALL_TRAIN,
+    THRESHOLD,
 )
 from txrisk.sources.raw import read_raw
 from txrisk.sources.runs import load_model, log_run, read_runs, save_model
 from txrisk.sources.tables import read_forecasts, read_snapshots, write_clean
+from txrisk.streaming.history import KEEP_DAYS, Manifest, upkeep
 
 TRAINING, COMPARISON, DRIFT = "model refit", "model comparison", "score drift"
 
@@ -62,11 +67,12 @@ def refit_job(
     grid: dict[str, list] | None = None,
     positive_label: int = 1,
     seed: int = 42,
+    targets: tuple[float, float] = (0.98, 0.05),
     **params,
 ) -> str:
     """Fit (or tune, given a grid) on some dates, measure on others, log; returns the run id.
 
-    ``params`` go to the classifier. A tuned run logs every grid point with its AUC and the
+    ``targets`` are the least recall and greatest false-positive rate of the logged threshold; ``params`` go to the classifier. A tuned run logs every grid point with its AUC and the
     winner's parameters; a plain one logs its AUC on the other dates under the name that
     ``compare_job`` ranks by as well.
     """
@@ -78,15 +84,15 @@ def refit_job(
     if grid is None:
         model = train(training, build_pipeline(seed=seed, **params))
     else:
-        tuned = tune(training, grid, seed=seed, **params)
-        model = tuned.bestModel
-        points = [{p.name: str(v) for p, v in point.items()} for point in tuned.getEstimatorParamMaps()]
-        for i, (point, auc) in enumerate(zip(points, tuned.avgMetrics)):
+        tuned = tune_rounds(training, grid, seed=seed, **params)
+        model = tuned.model
+        points = [{k: str(v) for k, v in point.items()} for point in tuned.points]
+        for i, (point, auc) in enumerate(zip(points, tuned.aucs)):
             name = ", ".join(f"{k}={v}" for k, v in sorted(point.items()))
             logged[f"grid point {i}"] = name
             metrics[f"{AUC_CV} of grid point {i}"] = auc
-        metrics[AUC_CV] = max(tuned.avgMetrics)
-        logged |= points[tuned.avgMetrics.index(metrics[AUC_CV])]
+        metrics[AUC_CV] = tuned.aucs[tuned.best]
+        logged |= points[tuned.best]
     on_train, on_test = score(training, model), score(testing, model)
     # The rows that are measured twice are scored once.
     scored = on_test.select("tx_fraud", "prediction", score_of(on_test).alias("score"))
@@ -95,6 +101,10 @@ def refit_job(
         metrics[PRECISION_TRAIN], metrics[RECALL_TRAIN] = _quality(on_train, positive_label)
         metrics[PRECISION_TEST], metrics[RECALL_TEST] = _quality(scored, positive_label)
         metrics[AUC_TEST] = roc_auc(scored, "score")
+        # Where the targets can be met, the score from which on rows are to be called frauds.
+        point = operating_point(threshold_curve(scored, "score"), *targets).first()
+        if point["found"]:
+            metrics[THRESHOLD] = point["threshold"]
     finally:
         scored.unpersist()
     metrics.setdefault(AUC_CV, metrics[AUC_TEST])
@@ -125,6 +135,11 @@ def compare_job(spark: SparkSession, table_path: str, runs_path: str, dates: lis
     return spark.createDataFrame([row], result.schema)
 
 
+def upkeep_job(spark: SparkSession, history_path: str, today: dt.date, keep_days: int = KEEP_DAYS) -> Manifest:
+    """Nightly: merge the small files of a stream's history and let days beyond its windows expire."""
+    return upkeep(spark, history_path, today, keep_days)
+
+
 def daily_drift(
     spark: SparkSession,
     reference: DataFrame,

@@ -161,6 +161,33 @@ P_VALUE = """greatest(0, 1 - 2 * exp(lgamma((df + 1) / 2) - lgamma(df / 2)) / sq
     from generate_series(0, 20000) g(k)))"""
 
 
+def _curve(score: str, by: str = "") -> str:
+    """The threshold curve of a score in tx, per group."""
+    group, over = (f"{by}, ", f"partition by {by} ") if by else ("", "")
+    return f"""counted as (
+  select {group}{score} as threshold, cast(sum(tx_fraud) as bigint) as n_pos,
+    cast(sum(1 - tx_fraud) as bigint) as n_neg
+  from tx group by all),
+summed as (
+  select *, cast(sum(n_pos) over w as bigint) as tp, cast(sum(n_neg) over w as bigint) as fp,
+    cast(sum(n_pos) over ({over}) as bigint) as pos, cast(sum(n_neg) over ({over}) as bigint) as neg
+  from counted window w as ({over}order by threshold desc)),
+curve as (
+  select {group}threshold, n_pos, n_neg, tp, fp, pos - tp as fn, neg - fp as tn, tp / (tp + fp) as precision,
+    case when pos > 0 then tp / pos end as recall, case when neg > 0 then fp / neg end as fpr
+  from summed)"""
+
+
+def _rounded(*names: str) -> str:
+    return ", ".join(f"round({n} + 1e-9, 6) as {n}" for n in names)
+
+
+# P(sup |B| > x): 80 terms of the alternating series, or of its transform where x is small.
+KOLMOGOROV = """case when x < 0.5 then 1 - sqrt(2 * pi()) / x * (
+    select sum(exp(-pi() * pi() * (2 * k - 1) * (2 * k - 1) / (8 * x * x))) from generate_series(1, 80) g(k))
+  else 2 * (select sum((case when k % 2 = 1 then 1 else -1 end) * exp(-2 * k * k * x * x)) from generate_series(1, 80) g(k)) end"""
+
+
 def _with_p(exact: str, keys: str, more: str = "") -> str:
     """``exact`` with p and what follows from it, rounded like the query."""
     arms = re.findall(r"\b(?:mean|sd)\w*", keys)
@@ -208,6 +235,7 @@ select 'tx_' || tranaction_id as key, {RAW},"""
     return {
         "read_raw_csv": f"with {DIRTY} select {RAW} from dirty",
         "raw_file_messages": f"with {DIRTY} select {RAW}, true as numbered from dirty",
+        "replay_file_messages": f"with {DIRTY} select {RAW}, true as same from dirty",
         "snapshot_roundtrip": f"with {CLEAN} select {RAW}, tx_datetime[:10] as tx_date from clean",
         "choose_snapshots": """select tx_date from (
   select distinct strftime(ts, '%Y-%m-%d') as tx_date from events)
@@ -215,6 +243,10 @@ order by md5('7:' || tx_date) limit 3""",
         "forecast_text": FLAT,
         "run_records": f"""with {RUNS}
 select run_id, experiment, metric as auc, type from runs where status = 'FINISHED'""",
+        "runs_upsert": f"""with {RUNS}
+select run_id, experiment, case when cast(run_id as bigint) % 3 > 0 then status else 'RUNNING' end as status,
+  case when cast(run_id as bigint) % 3 > 0 then metric else 0 end as auc
+from runs""",
         "messages_json": f"""with {DIRTY}
 select 'tx_' || tranaction_id as key, cast(tranaction_id as varchar) as tranaction_id, tx_datetime,
   cast(customer_id as varchar) as customer_id, terminal_text as terminal_id, tx_amount,
@@ -258,6 +290,7 @@ select tranaction_id, sec as epoch, strftime(ts, '%Y_%m_%d') as stamp, {_calenda
         "terminal_features": f"with {TX} select {SOME}, {_terminal()} from tx",
         "terminal_features_delayed": f"with {TX} select {SOME}, {_terminal(delay=7)} from tx",
         "feature_table": features,
+        "feature_table_in_parts": features,
         "rolling_small_amounts": f"""with li as (
   select l_orderkey, l_linenumber, l_partkey as customer_id, l_suppkey as terminal_id,
     l_extendedprice / 1e15 as tx_amount, cast(floor(epoch(l_shipdate)) as bigint) as sec
@@ -290,6 +323,9 @@ select tranaction_id, round((tx_amount - a0) / (a1 - a0) + 1e-9, 6) as tx_amount
   round((tx_time_seconds - s0) / (s1 - s0) + 1e-9, 6) as tx_time_seconds,
   round((terminal_id - t0) / (t1 - t0) + 1e-9, 6) as terminal_id, 0.5::double as constant
 from tx, e""",
+        "cv_grid": """select cast(row_number() over (order by d, i, r) - 1 as integer) as point, d as "maxDepth", i as "maxIter",
+  r as "subsamplingRate", true as sound
+from (values (3), (5), (10)) a(d), (values (5), (10), (20)) b(i), (values (0.7::double), (0.8), (0.9)) c(r)""",
         "model_roundtrip": f"with {CLEAN} select tranaction_id, tx_fraud, true as same from clean",
         "confusion_matrix": f"with {CELLS} select label, prediction, n from cells",
         "class_metrics": f"with {CELLS} select * from metrics",
@@ -302,6 +338,25 @@ r as (
   select p, q, coalesce(sum(q) over (order by s rows between unbounded preceding and 1 preceding), 0) as below
   from g)
 select round(sum(p * (below + q / 2.0::double)) / (sum(p)::double * sum(q)::double), 9) as auc from r""",
+        "threshold_curve": f"""with {TX}, {_curve("tx_amount")}
+select threshold, n_pos, n_neg, tp, fp, fn, tn, {_rounded("precision", "recall", "fpr")} from curve""",
+        "curve_auc": f"""with {TX}, {_curve("tx_amount", "terminal_id")}
+select terminal_id, cast(sum(n_pos) as bigint) as n_pos, cast(sum(n_neg) as bigint) as n_neg,
+  round(case when sum(n_pos) > 0 and sum(n_neg) > 0
+    then sum(n_pos * (tn + n_neg / 2.0::double)) / (sum(n_pos)::double * sum(n_neg)) end + 1e-9, 6) as auc
+from curve group by 1""",
+        "operating_point": f"""with {TX}, {_curve("tx_amount", "terminal_id")},
+best as (select terminal_id, min(threshold) as threshold from curve where recall > 0.5 and fpr <= 0.5 group by 1)
+select terminal_id, threshold, tp, fp, fn, tn, {_rounded("precision", "recall", "fpr")}, threshold is not null as found
+from (select distinct terminal_id from tx) left join best using (terminal_id) left join curve using (terminal_id, threshold)""",
+        "operating_point_default": " union all ".join(
+            f"""select * from (with {TX}, {_curve(text)},
+best as (select min(threshold) as threshold from curve where recall > 0.98 and fpr <= 0.05)
+select round(b.threshold + 1e-9, 6) as threshold, tp, fp, fn, tn, {_rounded("precision", "recall", "fpr")},
+  b.threshold is not null as found, '{name}' as score
+from best b left join curve using (threshold))"""
+            for name, text in (("telling", "tx_fraud * 1000 + tx_amount"), ("tx_amount", "tx_amount"))
+        ),
         "score_pick": f"""with {SCORED}
 select tranaction_id, p1 as positive,
   cast(cast(case when prediction = 1 then p0 else p1 end as float) as double) as unpredicted
@@ -346,6 +401,24 @@ exact as (
             "forecast_date, n_ref, mean_ref, sd_ref, n_live, mean_live, sd_live",
             ", p < 0.05 as refit",
         ),
+        "ks_drift": f"""with {ARMS},
+points as (select distinct score from arms),
+days as (select forecast_date, count(*) as n_live from arms group by 1),
+counted as (
+  select forecast_date, n_live, p.score, count(a.score) filter (a.forecast_date = d.forecast_date) as mine,
+    count(a.score) as n
+  from points p join arms a on a.score = p.score, days d group by all),
+running as (
+  select forecast_date, n_live, sum(mine) over w / n_live as live, sum(n) over w / sum(n) over (partition by forecast_date) as ref,
+    sum(n) over (partition by forecast_date) as n_ref
+  from counted window w as (partition by forecast_date order by score)),
+found as (
+  select forecast_date, cast(max(n_ref) as bigint) as n_ref, max(n_live) as n_live, max(abs(ref - live)) as distance
+  from running group by 1),
+tested as (select *, sqrt(n_ref::double * n_live / (n_ref + n_live)) * distance as x from found)
+select forecast_date, n_ref, n_live, round(distance + 1e-9, 6) as distance, round({KOLMOGOROV} + 1e-9, 6) as p,
+  {KOLMOGOROV} < 0.05 as refit
+from tested""",
         "gbt_scores": f"with {CLEAN} select tranaction_id, tx_fraud, true as sound from clean",
         "ttest_welch": _two_arms(
             "(mean_a - mean_b) / sqrt(va + vb)",
@@ -362,6 +435,24 @@ select forecast_date, n_ref, round(mean_ref + 1e-9, 6) as mean_ref, round(sd_ref
     / (sqrt(sd_ref * sd_ref / n_ref + sd_live * sd_live / n_live) + 1e-5) + 1e-9, 6) as t,
   round(cast(n_ref + n_live - 2 as double) + 1e-9, 6) as df
 from d, r""",
+        "compare_models": f"""with {TX}, {RUNS},
+new as (select * from runs where status = 'FINISHED' order by metric desc, run_id limit 1),
+cur as (select * from runs where status = 'FINISHED' order by metric, run_id limit 1),
+scores as (
+  select least(tx_amount / (50 + cast(new.run_id as bigint) % 50), 1) as a,
+    least(tx_amount / (50 + cast(cur.run_id as bigint) % 50), 1) as b
+  from tx, new, cur),
+s as (select count(*) as n, avg(a) as ma, stddev_samp(a) as sa, avg(b) as mb, stddev_samp(b) as sb from scores),
+exact as (
+  select n, ma, mb, (ma - mb) / (sqrt(sa * sa / n + sb * sb / n) + 1e-5) as t, cast(2 * n - 2 as double) as df from s),
+tested as (select *, {P_VALUE} as p from exact)
+select 'compared' as status, new.run_id as new_run_id, cur.run_id as current_run_id,
+  round(new.metric + 1e-9, 6) as new_metric, round(cur.metric + 1e-9, 6) as current_metric,
+  cast(floor({SAMPLE_SIZE_FACTOR}::double * (cur.metric * (1 - cur.metric)) / ((cur.metric - new.metric) * (cur.metric - new.metric))) as bigint) + 1 as required_n,
+  n, round(ma + 1e-9, 6) as new_mean, round(mb + 1e-9, 6) as current_mean, round(t + 1e-9, 6) as t,
+  round(df + 1e-9, 6) as df, round(p + 1e-9, 6) as p, cast(sign(t) as integer) as direction, p < 0.05 as different,
+  case when p < 0.05 and new.metric > cur.metric then new.run_id else cur.run_id end as best_run_id
+from tested, new, cur""",
         "top_models": f"""with {RUNS}
 select run_id, experiment, metric from runs where status = 'FINISHED'
 order by metric desc nulls last, run_id limit 10""",
@@ -390,6 +481,39 @@ from clean""",
   {_customer()},
   {_calendar("cast(tx_datetime as timestamp)")}
 from clean""",
+        "stream_history_upkeep": delivered
+        + f"""
+  {_terminal()},
+  {_customer()},
+  {_calendar("cast(tx_datetime as timestamp)")}
+from clean""",
+        "stream_keyed_features": delivered
+        + f"""
+  {_terminal()},
+  {_customer()},
+  {_calendar("cast(tx_datetime as timestamp)")}
+from clean""",
+        "stream_scores_match": f"""with {TX}
+select tranaction_id, strftime(ts, '%Y_%m_%d') as forecast_date, true as same from tx""",
+        "daily_close": _with_p(
+            f"""with {SCORED},
+marked as (
+  select strftime(ts, '%Y_%m_%d') as forecast_date, p1 as score,
+    tranaction_id % 23 = 0 and cast(ts as date) < (select cast(min(ts) as date) + 8 from tx) as late
+  from scored),
+r as (select count(score) as n_ref, avg(score) as mean_ref, stddev_samp(score) as sd_ref from marked),
+d as (
+  select forecast_date, count(*) as n_live, avg(score) as mean_live, stddev_samp(score) as sd_live
+  from marked where not late group by 1 having forecast_date < (select strftime(max(ts) - interval 1 hour, '%Y_%m_%d') from tx)),
+l as (select forecast_date, count(*) as n_late from marked where late group by 1),
+exact as (
+  select d.*, r.*, coalesce(n_late, 0) as n_late, true as logged, (mean_ref - mean_live)
+      / (sqrt(sd_ref * sd_ref / n_ref + sd_live * sd_live / n_live) + 1e-5) as t,
+    cast(n_ref + n_live - 2 as double) as df
+  from d left join l using (forecast_date), r)""",
+            "forecast_date, n_ref, mean_ref, sd_ref, n_live, mean_live, sd_live, n_late, logged",
+            ", p < 0.05 as refit",
+        ),
         "stream_persist_scores": f"""with {SCORED}
 select tranaction_id, tx_datetime, prediction, p0, p1, strftime(ts, '%Y_%m_%d') as forecast_date
 from scored""",

@@ -16,8 +16,8 @@ from txrisk.functions.calendar import date_stamp, epoch_seconds, time_features
 from txrisk.functions.scores import probability_text, probability_vector, score_of
 from txrisk.functions.stats import required_n
 from txrisk.operators import clean as c
-from txrisk.operators import compare, evaluate, features, learn, profile
-from txrisk.plans import jobs
+from txrisk.operators import compare, curve, evaluate, features, learn, profile, tuning
+from txrisk.plans import incremental, jobs
 from txrisk.plans.adapters import (
     dirty_raw,
     lineitem_transactions,
@@ -25,10 +25,10 @@ from txrisk.plans.adapters import (
     table,
     transactions,
 )
-from txrisk.schema import AUC_CV, FEATURES, RAW_COLUMNS, REQUIRED_COLUMNS, WINDOW_DAYS
+from txrisk.schema import AUC_CV, RAW_COLUMNS, REQUIRED_COLUMNS, WINDOW_DAYS
 from txrisk.session import configure, work_dir
 from txrisk.sources import messages, raw, runs, tables
-from txrisk.streaming import scoring
+from txrisk.streaming import close, keyed, replay, scoring
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -106,6 +106,19 @@ def raw_file_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def replay_file_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The files sent as a stream, a few per micro-batch, and how each message compares with the batch job's."""
+    path, sent, check = _write_raw_text(spark, sf_dir), work_dir(spark, "sent"), work_dir(spark, "checkpoint")
+    replay.replay_files(spark, path, check, sent, files_per_batch=3).awaitTermination()
+    streamed = spark.read.schema("key STRING, value STRING").parquet(sent)
+    batch = messages.file_messages(spark, path).select(F.col("key").alias("k"), F.col("value").alias("v"))
+    joined = streamed.join(batch, F.col("key") == F.col("k"), "full_outer")
+    same = joined.where(~F.col("value").eqNullSafe(F.col("v"))).select(F.count("*").alias("n")).scalar() == 0
+    decoded = c.coerce_types(messages.decode_messages(joined))
+    return decoded.select(*[n for n in RAW_COLUMNS if n != "tx_datetime"], text_time(), same.alias("same"))
+
+
 @query
 def snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "clean")
@@ -173,6 +186,20 @@ def run_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def runs_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every run logged as it starts, most again with their result, with the table compacted in between."""
+    path = work_dir(spark, "runs")
+    found = _part_runs(spark, sf_dir)
+    started = found.withColumns({"status": F.lit("RUNNING"), "metrics": F.create_map(F.lit(AUC_CV), F.lit(0.0))})
+    ended = found.where(F.col("run_id").cast("bigint") % 3 > 0)
+    runs.write_runs(started, path)
+    runs.write_runs(ended.where(F.col("run_id").cast("bigint") % 2 == 0), path)
+    runs.compact_runs(spark, path)
+    runs.write_runs(ended, path)  # a retry: the even ones come again
+    return runs.read_runs(spark, path).select("run_id", "experiment", "status", F.col("metrics")[AUC_CV].alias("auc"))
+
+
 @query
 def messages_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     decoded = messages.decode_messages(messages.to_messages(raw_transactions(spark, sf_dir)))
@@ -296,6 +323,20 @@ def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(features.feature_table(raw_transactions(spark, sf_dir)))
 
 
+@query
+def feature_table_in_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature table from three jobs, each with new and late rows and some that came before."""
+    path = work_dir(spark, "table")
+    rows = raw_transactions(spark, sf_dir)
+    number = F.col("tranaction_id").cast("bigint")
+    # Later days first; the second part fills in, the third repeats a tenth and brings the rest.
+    first = (F.col("tx_datetime") >= "2024-01-15") & (number % 3 > 0)
+    second = (F.col("tx_datetime") < "2024-01-08") | (number % 9 == 0)
+    for part in (first, ~first & second, (~first & ~second) | (number % 10 == 0)):
+        incremental.update_clean(rows.where(part), path)
+    return shown(spark.read.parquet(path).drop("tx_date"))
+
+
 @query
 def rolling_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = features.build_features(lineitem_transactions(spark, sf_dir))
@@ -363,8 +404,14 @@ def gbt_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def cv_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _labelled(spark, sf_dir)
-    return learn.grid_scores(rows, learn.tune(rows, {"maxDepth": [2, 3], "maxIter": [2]}))
+    """Every point of the full grid, whether its AUC is one and whether the winner's is the highest."""
+    tuned = tuning.tune_rounds(_labelled(spark, sf_dir), parallelism=4, refit=False)
+    rows = tuned.table(spark)
+    return rows.withColumn("highest", rows.agg(F.max("auc")).scalar()).select(
+        "point",
+        *[F.col("params")[n].cast(kind).alias(n) for n, kind in (("maxDepth", "int"), ("maxIter", "int"), ("subsamplingRate", "double"))],
+        (F.col("auc").between(0, 1) & (~F.col("best") | (F.col("auc") == F.col("highest")))).alias("sound"),
+    )
 
 
 @query
@@ -410,6 +457,42 @@ def roc_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.range(1).select(F.round(F.lit(auc), 9).alias("auc"))
 
 
+RATES = ("precision", "recall", "fpr")
+
+
+@query
+def threshold_curve(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality at every distinct amount as the least one that is called a fraud."""
+    found = curve.threshold_curve(transactions(spark, sf_dir), "tx_amount")
+    return found.withColumns({n: r6(n) for n in RATES})
+
+
+@query
+def curve_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact area per terminal."""
+    found = curve.threshold_curve(transactions(spark, sf_dir), "tx_amount", by=["terminal_id"])
+    return curve.curve_auc(found, ["terminal_id"]).withColumn("auc", r6("auc"))
+
+
+@query
+def operating_point(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per terminal the smallest amount that meets both targets, where there is one."""
+    found = curve.threshold_curve(transactions(spark, sf_dir), "tx_amount", by=["terminal_id"])
+    point = curve.operating_point(found, min_recall=0.5, max_fpr=0.5, by=["terminal_id"])
+    return point.withColumns({n: r6(n) for n in RATES})
+
+
+@query
+def operating_point_default(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stated targets, over a score that meets them and one that does not."""
+    rows = transactions(spark, sf_dir).withColumn("telling", F.col("tx_fraud") * 1000 + F.col("tx_amount"))
+    points = [
+        curve.operating_point(curve.threshold_curve(rows, name)).withColumn("score", F.lit(name))
+        for name in ("telling", "tx_amount")
+    ]
+    return points[0].unionByName(points[1]).withColumns({n: r6(n) for n in (*RATES, "threshold")})
+
+
 @query
 def score_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _scored_by_rule(spark, sf_dir)
@@ -487,6 +570,13 @@ def daily_drift_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded_t(compare.score_drift(rows, rows))
 
 
+@query
+def ks_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _score_rows(spark, sf_dir)
+    found = compare.ks_drift(rows, rows)
+    return found.withColumns({"distance": r6("distance"), "p": r6("p")})
+
+
 @query
 def top_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     best = compare.top_models(_part_runs(spark, sf_dir), k=10)
@@ -506,8 +596,29 @@ def required_n_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", required_n(p1, p2).alias("n"))
 
 
+class _AmountRule:
+    """A scorer in place of a fitted model: the amount over a scale that its path names."""
+
+    def __init__(self, path: str):
+        self.scale = 50 + int(path.rsplit("/", 1)[1]) % 50
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        p = F.least(F.col("tx_amount") / F.lit(float(self.scale)), F.lit(1.0))
+        return df.withColumns({"probability": F.array(1 - p, p), "prediction": (p > 0.5).cast("double")})
+
+
 @query
 def compare_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best and the worst run compared over all transactions."""
+    found = _part_runs(spark, sf_dir)
+    best, worst = (compare.top_models(found, k=1, ascending=up).first()["run_id"] for up in (False, True))
+    result = compare.compare_models(transactions(spark, sf_dir), found, _AmountRule, models=(best, worst))
+    names = ["new_metric", "current_metric", "new_mean", "current_mean", "t", "df", "p"]
+    return result.withColumns({n: r6(n) for n in names})
+
+
+@query
+def compare_fitted_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two models fitted, logged, compared on the last days, and the winner logged."""
     table_path, runs_path, models = (work_dir(spark, n) for n in ("table", "runs", "models"))
     tables.write_clean(_labelled(spark, sf_dir), table_path)
@@ -521,7 +632,7 @@ def compare_models(spark: SparkSession, sf_dir: str) -> DataFrame:
             models,
             dates[:cut],
             dates[cut:],
-            grid={"maxDepth": [depth], "maxIter": [2]},
+            maxDepth=depth,
         )
     return jobs.compare_job(spark, table_path, runs_path, dates[cut:])
 
@@ -538,8 +649,8 @@ def _dated_messages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, tuple]
     return sent, (first["lo"], first["hi"])
 
 
-def _stream_features(spark: SparkSession, sf_dir: str, kind: str, step: int) -> DataFrame:
-    """Feed the messages in event order, ``step`` days per micro-batch."""
+def _stream_features(spark: SparkSession, sf_dir: str, kind: str, step: int, upkeep: bool = False) -> DataFrame:
+    """Feed the messages in event order, ``step`` days per micro-batch, with upkeep of the history between them."""
     sent, (lo, hi) = _dated_messages(spark, sf_dir)
     inbox, out, history, checkpoint = (
         work_dir(spark, n) for n in ("inbox", "features", "history", "checkpoint")
@@ -556,6 +667,8 @@ def _stream_features(spark: SparkSession, sf_dir: str, kind: str, step: int) ->
             history_path=history if kind == "history" else None,
             features_path=out,
         ).awaitTermination()
+        if upkeep:
+            jobs.upkeep_job(spark, history, until)
         day = until
     return spark.read.parquet(out).drop("batch_id")
 
@@ -570,6 +683,12 @@ def stream_history_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(_stream_features(spark, sf_dir, "history", step=11))
 
 
+@query
+def stream_history_upkeep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over a history whose days are merged and expire while the stream runs."""
+    return shown(_stream_features(spark, sf_dir, "history", step=8, upkeep=True))
+
+
 @query
 def stream_persist_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     inbox, forecasts, checkpoint = (work_dir(spark, n) for n in ("scores", "forecasts", "checkpoint"))
@@ -582,12 +701,11 @@ def stream_persist_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat_scores(rows, "forecast_date")
 
 
-@query
-def stream_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages scored by a model, kept as daily forecasts, and each day checked for drift."""
+def _live_scores(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Forecasts of all transactions through both streams, and the same model's scores by the batch job."""
     rows = transactions(spark, sf_dir)
     trained = features.single_row_features(rows).transform(time_features)
-    model = learn.train(trained, learn.build_pipeline(FEATURES, maxIter=2))
+    model = learn.train(trained)
     inbox, scores, forecasts, check1, check2 = (
         work_dir(spark, n) for n in ("inbox", "scores", "forecasts", "checkpoint", "checkpoint")
     )
@@ -599,13 +717,70 @@ def stream_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     scoring.persist_scores(
         scoring.read_tx_stream(spark, scores), check2, forecasts
     ).awaitTermination()
-    live = tables.read_forecasts(spark, forecasts)
-    reference = learn.score(trained, model)
+    return tables.read_forecasts(spark, forecasts), learn.score(trained, model)
+
+
+@query
+def stream_model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages scored by a model, kept as daily forecasts, and each day checked for drift."""
+    live, reference = _live_scores(spark, sf_dir)
     return compare.score_drift(
         reference.select(score_of(reference).alias("score")),
         live.select("forecast_date", score_of(live).alias("score")),
     )
 
 
+@query
+def stream_scores_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each live score beside that of the batch job: do they agree?"""
+    live, reference = _live_scores(spark, sf_dir)
+    batch = reference.select("tranaction_id", F.col("prediction").alias("called"), score_of(reference).alias("score"))
+    both = live.join(batch, "tranaction_id", "full_outer")
+    same = (F.col("prediction") == F.col("called")) & (F.abs(score_of(live) - F.col("score")) < 1e-12)
+    return both.select("tranaction_id", "forecast_date", F.coalesce(same, F.lit(False)).alias("same"))
+
+
+@query
+def stream_keyed_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch job's features out of keyed state, rows fed in event order."""
+    sent, (lo, hi) = _dated_messages(spark, sf_dir)
+    inbox, out, checkpoint = (work_dir(spark, n) for n in ("inbox", "features", "checkpoint"))
+    day = lo
+    while day <= hi:
+        until = day + timedelta(days=11)
+        part = sent.where((F.col("day") >= F.lit(day)) & (F.col("day") < F.lit(until)))
+        part.select("key", "value", "timestamp").write.mode("append").parquet(inbox)
+        keyed.keyed_stream(scoring.read_tx_stream(spark, inbox), checkpoint, out).awaitTermination()
+        day = until
+    return shown(spark.read.parquet(out).drop("batch_id"))
+
+
+@query
+def daily_close(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days closed while their scores stream in; some scores of the first days come when these are closed."""
+    rows = _scored_by_rule(spark, sf_dir)
+    sent = messages.encode_scores(rows).join(rows.select("key", "tranaction_id", "tx_datetime"), "key")
+    first = sent.agg(F.min(F.to_date("tx_datetime"))).first()[0]
+    late = (F.col("tranaction_id") % 23 == 0) & (F.col("tx_datetime") < F.lit(first + timedelta(days=8)))
+    paths = {n: work_dir(spark, n) for n in ("scores", "checkpoint", "forecasts", "closes", "quarantine", "runs")}
+    reference = rows.select(score_of(rows).alias("score"))
+    for a, b in ((0, 10), (10, 20), (20, 10_000)):
+        on = F.col("tx_datetime") >= F.lit(first + timedelta(days=a))
+        part = sent.where(on & (F.col("tx_datetime") < F.lit(first + timedelta(days=b))) & ~late)
+        part = part.unionByName(sent.where(late)) if a == 20 else part
+        part.select("key", "value", F.col("tx_datetime").alias("timestamp")).write.mode("append").parquet(paths["scores"])
+        close.close_days(
+            scoring.read_tx_stream(spark, paths["scores"]), paths["checkpoint"], reference, paths["forecasts"],
+            paths["closes"], paths["quarantine"], paths["runs"],
+        ).awaitTermination()
+    set_aside = spark.read.parquet(paths["quarantine"]).groupBy("forecast_date").agg(F.count("*").alias("n_late"))
+    logged = runs.read_runs(spark, paths["runs"]).select(F.col("params")["date"].alias("forecast_date"), F.lit(True).alias("logged"))
+    found = close.read_closes(spark, paths["closes"]).drop("batch_id").join(set_aside, "forecast_date", "left")
+    found = found.join(logged, "forecast_date", "left").withColumns(
+        {"n_late": F.coalesce("n_late", F.lit(0)), "logged": F.coalesce("logged", F.lit(False))}
+    )
+    return _rounded_t(found)
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)

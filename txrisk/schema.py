@@ -69,3 +69,5 @@ RECALL_TRAIN = "Recall on train"
 PRECISION_TEST = "Precision on test"
 RECALL_TEST = "Recall on test"
 P_VALUE = "P_value"
+# Our own: the smallest score that meets the targets on the test dates.
+THRESHOLD = "Threshold on test"

@@ -63,3 +63,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Give iterative learners a checkpoint folder so that they can cut lineage."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
+
+
+def list_dir(spark: SparkSession, path: str) -> list[str]:
+    """Names directly under a path of any file system Spark reads; none where it does not exist."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in files.listStatus(at)) if files.exists(at) else []
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder; nothing happens where it does not exist."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)

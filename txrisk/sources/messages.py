@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from txrisk.functions.scores import probability_text
 from txrisk.operators.clean import coerce_types
 from txrisk.schema import RAW_COLUMNS, RAW_STRING, REQUIRED_COLUMNS
-from txrisk.sources.raw import number_lines, raw_header
+from txrisk.sources.raw import file_headers, number_lines
 
 BROKEN = "__broken"
 SCORE_COLUMNS = ["tranaction_id", "tx_datetime", "prediction", "probability"]
@@ -24,18 +24,28 @@ def to_messages(df: DataFrame, key: Column | None = None) -> DataFrame:
 
 
 def file_messages(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
-    """Raw text files as messages keyed ``tx_<line number>@<file>``.
+    """Raw text files as messages keyed ``tx_<line number>@<file>``; see ``line_messages``."""
+    return line_messages(number_lines(spark, path), limit)
 
-    Keys are unique over all files. Field names come from the header line. With ``limit`` only the lines before
+
+def line_messages(lines: DataFrame, limit: int | None = None) -> DataFrame:
+    """Numbered lines of whole files as messages; keys are unique over all files.
+
+    Each file's own header line names its fields, in any order; without one they are in the order of the raw
+    layout. Fields of other names, and missing ones, are left out. With ``limit`` only the lines before
     that number are sent, which is how a short load test is cut.
     """
-    names = raw_header(spark, path)
-    lines = number_lines(spark, path).where(~F.col("value").startswith("#"))
+    headers = file_headers(lines)
+    lines = lines.where(~F.col("value").startswith("#"))
     if limit is not None:
         lines = lines.where(F.col("line") < limit)
-    parts = F.split("value", ",")
-    fields = [F.get(parts, F.lit(i)).alias(n) for i, n in enumerate(names)]
-    return lines.select(
+    # One row per file on the right; the rows of a large file need no shuffle where that is broadcast, and are split where not.
+    rows = lines.join(headers, F.col("file") == F.col("__of"), "left")
+    names = F.coalesce("names", F.array(*[F.lit(c) for c in RAW_COLUMNS]))
+    rows = rows.select("file", "line", F.split("value", ",").alias("parts"), names.alias("names"))
+    at = {c: F.array_position("names", c).cast("int") - 1 for c in RAW_COLUMNS}
+    fields = [F.when(i >= 0, F.get("parts", i)).alias(c) for c, i in at.items()]
+    return rows.select(
         F.concat(F.lit("tx_"), F.col("line").cast("string"), F.lit("@"), "file").alias("key"),
         F.to_json(F.struct(*fields)).alias("value"),
     )
@@ -45,15 +55,16 @@ def decode_messages(messages: DataFrame) -> DataFrame:
     """Messages as raw text rows plus key, value and the reject ``reason``.
 
     ``reason`` is null for a usable message, else not_json or missing_field (one
-    of the seven required fields is absent). Labels are optional.
+    of the seven required fields is absent). Labels are optional. The messages' ``timestamp``, where they have one, is kept.
     """
     schema = f"{RAW_STRING}, {BROKEN} STRING"
     parsed = F.from_json("value", schema, {"columnNameOfCorruptRecord": BROKEN})
     # inline keeps the parsed row together: plain field access would let the
     # optimizer repeat the parsing for every field and filter.
+    when = [c for c in ("timestamp",) if c in messages.columns]
     row = messages.select(
-        F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value")
-    ).select("key", "value", F.inline(F.array(parsed)))
+        F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"), *when
+    ).select("key", "value", *when, F.inline(F.array(parsed)))
     is_object = F.coalesce(F.col(BROKEN).isNull() & F.ltrim("value").startswith("{"), F.lit(False))
     reason = F.when(~is_object, "not_json").when(_any_null(REQUIRED_COLUMNS), "missing_field")
     return row.withColumn("reason", reason).drop(BROKEN)

@@ -2,25 +2,16 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from txrisk.functions.calendar import DAY_SECONDS, epoch_seconds, time_features
+from txrisk.functions.calendar import time_features
 from txrisk.functions.scores import probability_array
 from txrisk.operators.clean import clamp_negative
-from txrisk.operators.features import (
-    CUSTOMER_AGGS,
-    TERMINAL_AGGS,
-    build_features,
-    single_row_features,
-)
-from txrisk.operators.rolling import daily_totals
-from txrisk.schema import CLEAN_TYPES, RAW_COLUMNS, WINDOW_DAYS
+from txrisk.operators.features import build_features, single_row_features
 from txrisk.sources.messages import (
     check_messages,
     decode_scores,
@@ -28,7 +19,8 @@ from txrisk.sources.messages import (
     rejected_rows,
     valid_rows,
 )
-from txrisk.sources.tables import append_forecasts, read_if_exists
+from txrisk.sources.tables import append_forecasts
+from txrisk.streaming.history import recent_history, store_history, without_known, write_batch
 
 MESSAGE = "key STRING, value STRING, timestamp TIMESTAMP"
 
@@ -54,77 +46,6 @@ def read_tx_stream(
     )
 
 
-ROWS, CUSTOMERS, TERMINALS = "rows", "customers", "terminals"
-STORED = {
-    ROWS: ", ".join(["key STRING", *(f"{c} {t}" for c, t in CLEAN_TYPES.items())]),
-    CUSTOMERS: "customer_id INT, n_tx_amount BIGINT, s_tx_amount DOUBLE",
-    TERMINALS: "terminal_id INT, n_ BIGINT, n_tx_fraud BIGINT, s_tx_fraud BIGINT",
-}
-
-
-def _stored(spark: SparkSession, path: str, name: str) -> DataFrame | None:
-    """A part of the history, by its fixed schema: no file is opened to find the columns."""
-    schema = f"{STORED[name]}, day BIGINT, batch_id BIGINT"
-    return read_if_exists(spark, f"{path}/{name}", schema)
-
-
-def recent_history(batch: DataFrame, path: str, batch_id: int) -> dict[str, DataFrame]:
-    """What earlier batches stored and windows of this batch can reach.
-
-    Single rows are read only for the days in which some window starts or ends:
-    for a batch within one day that is four days. The days between come from the
-    daily totals per key. The range reaches back from the rows of the batch,
-    not from now, and leaves out what an earlier attempt at the same batch wrote. Days
-    are looked up among those that are stored, so that a message with a stray date reads
-    nothing. The result holds arguments for ``build_features``.
-    """
-    spark = batch.sparkSession
-    rows = _stored(spark, path, ROWS)
-    if rows is None:
-        return {}
-    day = F.floor(epoch_seconds("tx_datetime") / F.lit(DAY_SECONDS))
-    present = batch.select(day.alias("of")).distinct()
-    back = [0, *WINDOW_DAYS]
-    cut = present.select(F.explode(F.array(*[F.col("of") - d for d in back])).alias("day"), F.lit(True).alias("cut"))
-    near = present.select(
-        F.explode(F.sequence(F.col("of") - max(back), F.col("of"))).alias("day"), F.lit(False).alias("cut")
-    )
-    wanted = cut.union(near).groupBy("day").agg(F.max("cut").alias("cut"))
-    # Only partition values of the stored days come to the driver.
-    found = wanted.join(rows.select("day").distinct(), "day", "left_semi").collect()
-    single, whole = ([r["day"] for r in found if r["cut"] == c] for c in (True, False))
-
-    def on(df: DataFrame, days: list[int]) -> DataFrame:
-        return df.where(F.col("day").isin(*days) & (F.col("batch_id") != batch_id))
-
-    out = {}
-    if single:
-        out["history"] = on(rows, single).select(*RAW_COLUMNS)
-    if whole:
-        out["customer_totals"] = on(_stored(spark, path, CUSTOMERS), whole)
-        out["terminal_totals"] = on(_stored(spark, path, TERMINALS), whole)
-    return out
-
-
-def without_known(rows: DataFrame, history: DataFrame | None) -> DataFrame:
-    """Rows that no earlier batch holds with all the same values; a redelivered message is no new row."""
-    if history is None:
-        return rows
-    same = [rows[c].eqNullSafe(history[c]) for c in RAW_COLUMNS]
-    return rows.join(history, reduce(Column.__and__, same), "left_anti")
-
-
-def store_history(rows: DataFrame, path: str, batch_id: int) -> None:
-    """Keep a batch's rows and their daily totals for the batches to come."""
-    day = F.floor(epoch_seconds("tx_datetime") / F.lit(DAY_SECONDS))
-    customers = daily_totals(rows, "customer_id", "tx_datetime", CUSTOMER_AGGS)
-    terminals = daily_totals(rows, "terminal_id", "tx_datetime", TERMINAL_AGGS)
-    _write_batch(customers, f"{path}/{CUSTOMERS}", batch_id, "day")
-    _write_batch(terminals, f"{path}/{TERMINALS}", batch_id, "day")
-    # Last, because recent_history looks for the rows first.
-    _write_batch(rows.select("key", *RAW_COLUMNS, day.alias("day")), f"{path}/{ROWS}", batch_id, "day")
-
-
 def score_batch(
     messages: DataFrame,
     batch_id: int,
@@ -159,13 +80,13 @@ def score_batch(
         if features_path and scores_path:
             out = out.persist(StorageLevel.MEMORY_AND_DISK)
         if features_path:
-            _write_batch(out, features_path, batch_id)
+            write_batch(out, features_path, batch_id)
         if scores_path:
             _write_messages(encode_scores(out), scores_path, batch_id)
         if with_history:
             store_history(rows, history_path, batch_id)
         if quarantine_path:
-            _write_batch(rejected_rows(checked), quarantine_path, batch_id)
+            write_batch(rejected_rows(checked), quarantine_path, batch_id)
     finally:
         for kept in (out, rows):
             if kept is not None:
@@ -174,25 +95,8 @@ def score_batch(
             checked.unpersist()
 
 
-def _write_batch(df: DataFrame, path: str, batch_id: int, *within: str) -> None:
-    """Replace this batch's own partitions, so that a repeated batch adds nothing.
-
-    ``within`` names columns to partition by first; ``rebalance`` then gathers
-    each of their values into few files.
-    """
-    if within:
-        df = df.hint("rebalance", *[F.col(c) for c in within])
-    (
-        df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*within, "batch_id")
-        .parquet(path)
-    )
-
-
 def _write_messages(messages: DataFrame, path: str, batch_id: int) -> None:
-    _write_batch(messages.withColumn("timestamp", F.current_timestamp()), path, batch_id)
+    write_batch(messages.withColumn("timestamp", F.current_timestamp()), path, batch_id)
 
 
 def score_stream(
