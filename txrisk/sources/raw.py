@@ -62,5 +62,5 @@ def numbered(lines: DataFrame) -> DataFrame:
 def file_headers(lines: DataFrame) -> DataFrame:
     """``file, names``: the column names of each file's first ``# a | b | c`` line, for files that have one."""
     first = lines.where(F.col("value").startswith("#")).groupBy("file").agg(F.min_by("value", "line").alias("header"))
-    names = F.transform(F.split(F.ltrim(F.lit("# "), "header"), r" \| "), lambda name: F.trim(name))
+    names = F.transform(F.split(F.ltrim("header", F.lit("# ")), r" \| "), lambda name: F.trim(name))
     return first.select(F.col("file").alias("__of"), names.alias("names"))

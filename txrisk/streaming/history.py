@@ -1,7 +1,7 @@
 """What earlier micro-batches leave for the windows of later ones, and its upkeep.
 
     <history>/{rows,customers,terminals}/day=.../batch_id=.../     as the batches wrote them
-    <history>/closed/set=.../{rows,customers,terminals}/day=.../   days merged by an upkeep run
+    <history>/closed/{rows,customers,terminals}/set=.../day=.../   days merged by an upkeep run
     <history>/manifest/                                            one file per upkeep run
 
 The manifest says for each merged day which set holds it and through which batch it was merged: of that day a
@@ -81,10 +81,10 @@ def _read(
     """A part of the history on some days, without what one batch, and batches after ``last``, wrote."""
     kinds = f"{STORED[name]}, day BIGINT"
     columns = [c.split()[0] for c in kinds.split(", ")]
-    merged = [f"{path}/{CLOSED}/{manifest.days[d][0]}/{name}/day={d}" for d in days if manifest.days.get(d, (None,))[0]]
+    merged = [f"{path}/{CLOSED}/{name}/{manifest.days[d][0]}/day={d}" for d in days if manifest.days.get(d, (None,))[0]]
     parts = []
     if merged:
-        parts.append(spark.read.schema(kinds).option("basePath", f"{path}/{CLOSED}").parquet(*merged).select(*columns))
+        parts.append(spark.read.schema(kinds).option("basePath", f"{path}/{CLOSED}/{name}").parquet(*merged).select(*columns))
     live = _live(spark, path, name)
     if live is not None:
         unmerged = [(F.col("day") == d) & (F.col("batch_id") > manifest.through(d)) for d in days]
@@ -198,7 +198,7 @@ def upkeep(spark: SparkSession, path: str, today: dt.date, keep_days: int = KEEP
             if key:
                 sums = [c for c in part.columns if c not in (key, "day")]
                 part = part.groupBy(key, "day").agg(*[F.sum(c).alias(c) for c in sums])
-            part.hint("rebalance", F.col("day")).write.partitionBy("day").parquet(f"{path}/{CLOSED}/{folder}/{name}")
+            part.hint("rebalance", F.col("day")).write.partitionBy("day").parquet(f"{path}/{CLOSED}/{name}/{folder}")
         days |= {d: (folder, last) for d in merge}
     after = Manifest(before.version + 1, days)
     if after.days != before.days:
@@ -226,15 +226,16 @@ def _discard(spark: SparkSession, path: str, manifest: Manifest) -> None:
             if batches and max(batches) <= through:
                 remove_path(spark, folder)
     named = {folder for folder, _ in manifest.days.values()}
-    for folder in list_dir(spark, f"{path}/{CLOSED}"):
-        if folder.startswith("set=") and folder not in named:
-            remove_path(spark, f"{path}/{CLOSED}/{folder}")
-        elif folder in named:
+    for name in (ROWS, CUSTOMERS, TERMINALS):
+        for folder in list_dir(spark, f"{path}/{CLOSED}/{name}"):
+            at = f"{path}/{CLOSED}/{name}/{folder}"
+            if folder not in named:
+                remove_path(spark, at)
+                continue
             held = {f"day={d}" for d, (f, _) in manifest.days.items() if f == folder}
-            for name in (ROWS, CUSTOMERS, TERMINALS):
-                for day in list_dir(spark, f"{path}/{CLOSED}/{folder}/{name}"):
-                    if day.startswith("day=") and day not in held:
-                        remove_path(spark, f"{path}/{CLOSED}/{folder}/{name}/{day}")
+            for day in list_dir(spark, at):
+                if day.startswith("day=") and day not in held:
+                    remove_path(spark, f"{at}/{day}")
     if manifest.version:
         old = [r["file"] for r in spark.read.schema(MANIFEST_SCHEMA).parquet(f"{path}/{MANIFEST}").where(
             F.col("version") < manifest.version).select(F.col("_metadata.file_path").alias("file")).distinct().collect()]
