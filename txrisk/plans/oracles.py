@@ -405,7 +405,7 @@ exact as (
 points as (select distinct score from arms),
 days as (select forecast_date, count(*) as n_live from arms group by 1),
 counted as (
-  select forecast_date, n_live, p.score, count(a.score) filter (a.forecast_date = d.forecast_date) as mine,
+  select d.forecast_date, n_live, p.score, count(a.score) filter (a.forecast_date = d.forecast_date) as mine,
     count(a.score) as n
   from points p join arms a on a.score = p.score, days d group by all),
 running as (
