@@ -161,3 +161,34 @@ def test_paired_differences(spark):
     assert r["t"] == pytest.approx(0.75 / (((0.25**2 + 1.25**2 + 1.25**2 + 0.25**2) / 3) ** 0.5 / 2))
     assert r["p"] == pytest.approx(0.2452, abs=1e-4) and not r["different"]
     assert paired_t(df, "a", "a").first()["t"] is None
+
+
+def test_ks_drift_by_brute_force(spark):
+    from bisect import bisect_left, bisect_right
+    from random import Random
+
+    from txrisk.operators.compare import ks_drift
+
+    r = Random(4)
+    ref = [round(r.gauss(0, 1), 1) for _ in range(300)]
+    live = {"a": [round(r.gauss(0, 1), 1) for _ in range(80)], "b": [round(r.gauss(0.8, 1), 1) for _ in range(60)], None: [5.0]}
+    reference = spark.createDataFrame([(x,) for x in [*ref, None]], "score DOUBLE")
+    days = spark.createDataFrame([(d, x) for d, xs in live.items() for x in [*xs, None]], "forecast_date STRING, score DOUBLE")
+    found = {x["forecast_date"]: x for x in ks_drift(reference, days).collect()}
+    for d, xs in live.items():
+        a, b = sorted(ref), sorted(xs)
+        want = max(abs(f(a, x) / len(a) - f(b, x) / len(b)) for x in a + b for f in (bisect_left, bisect_right))
+        assert found[d]["distance"] == pytest.approx(want, abs=1e-12)
+        assert (found[d]["n_ref"], found[d]["n_live"]) == (300, len(xs))
+    assert not found["a"]["refit"] and found["b"]["refit"]
+
+
+def test_kolmogorov_series(spark):
+    import math
+
+    from txrisk.functions.stats import kolmogorov_p
+
+    for x in (0.0, 0.05, 0.3, 0.828, 0.999, 1.0, 1.36, 2.5, 9.0):
+        got = spark.range(1).select(kolmogorov_p(F.lit(x)).alias("p")).first()["p"]
+        want = 1.0 if x < 0.1 else 2 * math.fsum((-1) ** (k - 1) * math.exp(-2 * k * k * x * x) for k in range(1, 400))
+        assert got == pytest.approx(want, abs=1e-9)
