@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from array import array
 
@@ -14,8 +13,6 @@ from txrisk.llm.tokenizer import WORD_END, Vocabulary, read_vocabulary, vocabula
 # Bounds of a worker's tables; emptied beyond, which costs time only.
 CACHE_PIECES = 500_000
 CACHE_PAIRS = 400_000
-# Words of one trie.
-TRIE_WORDS = 20_000
 # A word's last character is moved by this much, so that it is another symbol than inside a word.
 END = 0x1000
 
@@ -92,52 +89,49 @@ class TrieEncoder:
         return state, tokens
 
     def encode(self, words: list[str]) -> list[list[int]]:
-        """Ids of each word (not empty), by tries of a bounded number of words."""
-        out: list[list[int]] = []
-        collecting = gc.isenabled()
-        gc.disable()  # a trie is many small dictionaries, none of them in a cycle
-        try:
-            for i in range(0, len(words), TRIE_WORDS):
-                out += self._encode_trie(words[i : i + TRIE_WORDS])
-        finally:
-            if collecting:
-                gc.enable()
-        return out
+        """Ids of each word (not empty)."""
+        return [memoryview(x).cast("i").tolist() for x in self.encode_packed(words)]
+
+    def encode_packed(self, words: list[str]) -> list[bytes]:
+        """Ids of each word (not empty) as 32-bit numbers.
 
-    def _encode_trie(self, words: list[str]) -> list[list[int]]:
-        root: dict = {}
-        for i, word in enumerate(words):
-            node = root
-            for c in word[:-1]:
-                child = node.get(c)
-                if child is None:
-                    child = node[c] = {}
-                node = child
-            node[chr(ord(word[-1]) + END)] = i  # an end of a word is always a leaf
+        Words in sorted order are the leaves of their trie, depth first: of each only what it does not share with
+        the word before is new, and the path's states and last tokens are kept by depth.
+        """
         steps, kept_apart, length = self.steps, self.kept_apart, self.length
         apart, size = self.apart, len(self.rank)
-        out: list[list[int]] = [[]] * len(words)
+        out = [b""] * len(words)
         last = [-1] * (max(map(len, words), default=0) + 1)  # last token by depth on the path
-        stack = [(child, c, 1) for c, child in root.items()]
-        while stack:
-            node, text, depth = stack.pop()
-            state, tokens = steps.get(text) or self.step(text)
-            for token, n in tokens:
-                if n == depth:
-                    break
-                border = apart.get(last[depth - n] * size + token)
-                if kept_apart(last[depth - n], token) if border is None else border:
+        states = [""] * len(last)
+        before, depth = "", 0
+        for i in sorted(range(len(words)), key=words.__getitem__):
+            word = words[i]
+            # An end of a word is always a leaf, so the last characters are never shared.
+            end, depth = len(word) - 1, 0
+            for a, b in zip(word[:end], before):
+                if a != b:
                     break
-            last[depth] = token
-            if isinstance(node, int):
-                found = []
-                while depth:
-                    found.append(last[depth])
-                    depth -= length[last[depth]]
-                out[node] = found[::-1]
-            else:
                 depth += 1
-                stack += [(child, state + c, depth) for c, child in node.items()]
+            before = word[:end]
+            for c in word[depth:end] + chr(ord(word[end]) + END):
+                text = states[depth] + c
+                depth += 1
+                state, tokens = steps.get(text) or self.step(text)
+                for token, n in tokens:
+                    if n == depth:
+                        break
+                    border = apart.get(last[depth - n] * size + token)
+                    if kept_apart(last[depth - n], token) if border is None else border:
+                        break
+                last[depth] = token
+                states[depth] = state
+            found = []
+            while depth:
+                token = last[depth]
+                found.append(token)
+                depth -= length[token]
+            found.reverse()
+            out[i] = array("i", found).tobytes()
         return out
 
 
@@ -157,9 +151,12 @@ class Codec:
         new = list(set().union(*split).difference(known))
         parts = self.vocab.parts_of_all(new)
         words = list({w for p in parts for w in p if isinstance(w, str)})
-        ids = dict(zip(words, self.trie.encode(words), strict=True))
+        ids = dict(zip(words, self.trie.encode_packed(words), strict=True))
         for piece, p in zip(new, parts, strict=True):
-            known[piece] = array("i", [i for w in p for i in ([w] if isinstance(w, int) else ids[w])]).tobytes()
+            if len(p) == 1 and p[0] in ids:
+                known[piece] = ids[p[0]]
+            else:
+                known[piece] = b"".join([array("i", [w]).tobytes() if isinstance(w, int) else ids[w] for w in p])
         return [memoryview(b"".join([known[p] for p in pieces])).cast("i").tolist() for pieces in split]
 
     def decode(self, ids: list[int]) -> str:

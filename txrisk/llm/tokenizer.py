@@ -10,8 +10,8 @@ import numpy as np
 
 # Chunks of these characters are split by the pattern below; all others by the library.
 SIMPLE = re.compile(r"[\x21-\x7e\xa1-ɏ‐-‧]+")
-# The vocabulary's own split pattern, for the characters above; a line end parts chunks.
-PIECE = re.compile(r"\n|'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_²³¹¼½¾]+|[0-9²³¹¼½¾]|(?:[^\s\w]|_)+")
+# The vocabulary's own split pattern, for the characters above.
+PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_²³¹¼½¾]+|[0-9²³¹¼½¾]|(?:[^\s\w]|_)+")
 # Python's white space that Unicode does not count as such.
 CONTROL_SPACE = re.compile(r"[\x1c-\x1f]")
 WORD_END = "</w>"
@@ -71,19 +71,19 @@ class Vocabulary:
         return out + self.words(chunk[at:])
 
     def parts_of_all(self, chunks: list[str]) -> list[list[str | int]]:
-        """``parts`` of many chunks, those of common characters in one pass."""
-        simple = [SIMPLE.fullmatch(c) is not None and "<|" not in c for c in chunks]
+        """``parts`` of many chunks, those of common characters without the library."""
         # Lower case of these characters depends on no neighbour.
-        text = "\n".join([c for c, s in zip(chunks, simple, strict=True) if s]).lower()
-        found = " ".join(PIECE.findall(text)).translate(byte_level_table()).split(" ") if text else []
-        quick: list[list[str | int]] = [[]]
-        for w in found:
-            if w == "\n":
-                quick.append([])
-            else:
-                quick[-1].append(w)
-        queue = iter(quick)
-        return [next(queue) if s else self.parts(c) for c, s in zip(chunks, simple, strict=True)]
+        table = byte_level_table()
+        out: list[list[str | int]] = []
+        for chunk in chunks:
+            if "<|" in chunk or not SIMPLE.fullmatch(chunk):
+                out.append(self.parts(chunk))
+                continue
+            lower = chunk.lower()
+            # A run of letters is one piece.
+            found = [lower] if lower.isalpha() else PIECE.findall(lower)
+            out.append(found if lower.isascii() else [w.translate(table) for w in found])
+        return out
 
     def chunks(self, text: str) -> list[str]:
         """Pieces whose pre-tokens do not depend on one another: what white space separates."""
@@ -102,7 +102,10 @@ def byte_alphabet() -> list[str]:
 def byte_level_table() -> dict[int, str]:
     """From the characters of ``SIMPLE`` and those of their lower case to the byte alphabet."""
     alphabet = byte_alphabet()
-    return {c: "".join(alphabet[b] for b in chr(c).encode()) for c in [*range(0x80, 0x400), *range(0x2010, 0x2028)]}
+    # The lower case of a few is far from them.
+    lower = {ord(x) for c in range(0x80, 0x250) for x in chr(c).lower() if ord(x) >= 0x80}
+    codes = lower | {*range(0x80, 0x400), *range(0x2010, 0x2028)}
+    return {c: "".join(alphabet[b] for b in chr(c).encode()) for c in codes}
 
 
 @lru_cache(maxsize=2)
