@@ -60,3 +60,14 @@ def test_odd_documents(spark, odd_docs, no_docs):
     assert identify(no_docs, model, "_x_").count() == 0
     nothing = fit_languages(no_docs, id_remainder("doc_id", 4) != 2)
     assert {r._x_lang_pred for r in identify(odd_docs, nothing, "_x_").collect()} == {"und"}
+
+
+def test_repeated_ids_do_not_outgrow_the_sample(spark):
+    from txrisk.llm.language_id import training_sample
+
+    rows = [(7, f"text {i}", lang) for i in range(300) for lang in ("en", "fr")] + [(i, "a b", "en") for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    drawn = [tuple(r) for r in training_sample(df, F.lit(True), 4).collect()]
+    assert len([r for r in drawn if r[1] == "en"]) == 4 and len([r for r in drawn if r[1] == "fr"]) == 1
+    again = training_sample(df.repartition(3).orderBy("text"), F.lit(True), 4).collect()
+    assert sorted(drawn) == sorted(map(tuple, again))

@@ -116,20 +116,21 @@ def training_sample(docs: DataFrame, rows: Column, per_language: int) -> DataFra
     """At most ``per_language`` rows of each language, ``(text, lang)``, spread evenly by a hash of the id.
 
     The smallest hash of each of ``per_language`` hash buckets: a map-side combined
-    minimum, whatever the size of a language.
+    minimum, whatever the size of a language. Of rows that repeat a drawn id one counts, by a hash of the text.
     """
     eligible = docs.where(rows).where("lang is not null and text is not null and doc_id is not null")
     spread = F.xxhash64("doc_id")
     drawn = (
         eligible.groupBy("lang", F.pmod(spread, F.lit(per_language)).alias("bucket"))
         .agg(F.min(F.struct(spread.alias("h"), F.col("doc_id").alias("doc_id"))).alias("m"))
-        .select("lang", F.col("m.doc_id").alias("doc_id"))
+        .select("lang", "bucket", F.col("m.doc_id").alias("doc_id"))
     )
     drawn = keep(drawn, "language-sample")
     # A few hundred rows for each language; more than that only where there are thousands of languages.
     few = drawn.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     sample = eligible.select("doc_id", "lang", "text").join(F.broadcast(drawn) if few else drawn, ["doc_id", "lang"])
-    return sample.dropDuplicates(["doc_id", "lang", "text"])
+    one = F.min_by(F.struct("doc_id", "text"), F.struct(F.xxhash64("text"), F.col("text"))).alias("one")
+    return sample.groupBy("lang", "bucket").agg(one).select("one.doc_id", "lang", "one.text")
 
 
 def fit_languages(
@@ -138,7 +139,7 @@ def fit_languages(
     """Learns from a sample of the ``rows`` of ``docs`` that have a language.
 
     The bound is ``per_language`` texts of each language; the driver receives their gram
-    sets, at most ``2**GRAM_BITS`` numbers each. Repeated ids may add rows to the sample.
+    sets, at most ``2**GRAM_BITS`` numbers each. The number of languages should be that of a labelled set.
     """
 
     def grams(batches: Batches) -> Batches:
