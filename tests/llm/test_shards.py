@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from txrisk.llm.common import prepare
-from txrisk.llm.shards import balanced_shards, propagate, quotas
+from txrisk.llm.shards import balanced_shards, propagate, quotas, ranked
 
 SCHEMA = "doc_id long, text string, shard string, slot string, g string, n string, place string, size string"
 
@@ -88,3 +88,20 @@ def test_propagation_moves_towards_neighbours(spark):
 def test_main_path_is_native(spark, sf_docs):
     plan = balanced_shards(sf_docs)._jdf.queryExecution().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "CartesianProduct"))
+
+
+def test_a_hot_group_is_cut_into_buckets(spark):
+    """Also where a join has dealt the rows out by their group."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = spark.range(500).selectExpr("id as doc_id", "id % 9 as size", "id as text_crc32", "if(id % 3 = 0, 0, id) as g")
+        joined = rows.join(rows.groupBy("g").count(), "g")
+        found = ranked(joined, ["g"], "place")
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        places = sorted(r.place for r in found.where("g = 0").collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    exchanges = [line for line in plan.splitlines() if "REPARTITION_BY_COL" in line]
+    assert any("hashpartitioning(g#" in line and "_bucket#" in line for line in exchanges)
+    assert places == list(range(len(places)))

@@ -27,8 +27,10 @@ def ranked(rows: DataFrame, group: list[str], name: str, buckets: int = BUCKETS)
         .select(*group, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     )
     within = Window.partitionBy(*group, "_bucket").orderBy("doc_id", "size", "text_crc32", "g")
+    # Rows that a join has dealt out by a group alone would do for the window, with a whole group in one task.
+    dealt = bucketed.repartition(*group, "_bucket")
     return (
-        bucketed.withColumn("_within", F.row_number().over(within) - 1)
+        dealt.withColumn("_within", F.row_number().over(within) - 1)
         .join(starts, [*group, "_bucket"])
         .withColumn(name, F.col("_start") + F.col("_within"))
         .drop("_bucket", "_within", "_start")
@@ -46,7 +48,7 @@ def prefix_sums(rows: DataFrame, group: list[str], order: str, amount: str, name
     )
     inside = Window.partitionBy(*group, "_bucket").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        bucketed.withColumn("_inside", F.coalesce(F.sum(amount).over(inside), F.lit(0)))
+        bucketed.repartition(*group, "_bucket").withColumn("_inside", F.coalesce(F.sum(amount).over(inside), F.lit(0)))
         .join(starts, [*group, "_bucket"])
         .withColumn(name, F.col("_start") + F.col("_inside"))
         .drop("_bucket", "_inside", "_start")
