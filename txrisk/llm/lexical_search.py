@@ -253,6 +253,16 @@ class Searcher:
 FOUND = "item int, score bigint, doc_id bigint"
 
 
+def _growing(batches: Batches) -> Batches:
+    """A task's batches, the first in pieces of growing size, so that thresholds rise before much is compared."""
+    size = BUCKET_ROWS
+    for batch in batches:
+        at = 0
+        while at < batch.num_rows:
+            yield batch.slice(at, size)
+            at, size = at + size, 2 * size
+
+
 def _search(vectors: DataFrame, queries: Queries, k: int) -> DataFrame:
     """Each task's best ``k`` documents of each item that reach its threshold."""
     shared = vectors.sparkSession.sparkContext.broadcast(queries)
@@ -260,14 +270,14 @@ def _search(vectors: DataFrame, queries: Queries, k: int) -> DataFrame:
 
     def run(batches: Batches) -> Batches:
         searcher = Searcher(shared.value, k)
-        for batch in batches:
+        for batch in _growing(batches):
             if batch.num_rows:
                 searcher.add(
                     batch.column(0).to_pylist(),
                     batch.column(1).to_numpy(),
                     batch.column(2).flatten().to_numpy(zero_copy_only=False),
                     batch.column(3).flatten().to_numpy(zero_copy_only=False),
-                    np.diff(batch.column(2).offsets.to_numpy()),
+                    batch.column(2).value_lengths().to_numpy(),
                 )
         rows = searcher.rows()
         yield emit(out, *(list(zip(*rows, strict=True)) or [[], [], []]))
