@@ -123,6 +123,22 @@ def test_redelivered_rows_count_once(spark, tmp_path):
     compare(spark.read.parquet(out), feature_table(df, REQUIRED_COLUMNS))
 
 
+def test_redelivery_bounded_in_time(spark, tmp_path):
+    """Messages that come again are dropped by state; another value under the same key is none of them."""
+    inbox, history, out, check, bad = (str(tmp_path / n) for n in ("in", "h", "out", "c", "bad"))
+    df = transactions(spark, 60)
+    sent = to_messages(df, F.lit("one key"))
+    early = sent.where(F.get_json_object("value", "$.tx_datetime") < "2024-01-02")
+    for part in (early.unionByName(early), sent):
+        deliver(part, inbox)
+        score_stream(
+            read_tx_stream(spark, inbox), check, history_path=history, features_path=out, quarantine_path=bad, redelivered_within="1 day"
+        ).awaitTermination()
+    compare(spark.read.parquet(out), feature_table(df, REQUIRED_COLUMNS))
+    # Every message is a row or on record as rejected, once.
+    assert spark.read.parquet(out).count() + spark.read.parquet(bad).count() == 60
+
+
 def test_a_stray_date_reads_nothing(spark, tmp_path):
     history, out = str(tmp_path / "h"), str(tmp_path / "out")
     df = transactions(spark, 60).where("terminal_id <> 'Err'")

@@ -21,6 +21,7 @@ from txrisk.sources.messages import (
 )
 from txrisk.sources.tables import append_forecasts
 from txrisk.streaming.history import recent_history, store_history, without_known, write_batch
+from txrisk.streaming.keyed import distinct_within
 
 MESSAGE = "key STRING, value STRING, timestamp TIMESTAMP"
 
@@ -55,8 +56,12 @@ def score_batch(
     scores_path: str | None,
     features_path: str | None,
     quarantine_path: str | None,
+    drop_known: bool = True,
 ) -> None:
-    """Everything one micro-batch does: validate, clean, derive, score, write."""
+    """Everything one micro-batch does: validate, clean, derive, score, write.
+
+    Without ``drop_known`` rows are not compared with those of earlier batches: the stream has dropped redeliveries.
+    """
     checked, out = check_messages(messages), None
     with_history = features == "history"
     several = with_history or bool(quarantine_path)
@@ -68,7 +73,8 @@ def score_batch(
         if with_history:
             past = recent_history(rows, history_path, batch_id)
             # Read for the features, the totals and the stored rows.
-            rows = without_known(rows, past.get("history")).persist(StorageLevel.MEMORY_AND_DISK)
+            rows = without_known(rows, past.get("history")) if drop_known else rows
+            rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
             out = build_features(rows, **past)
         else:
             out = single_row_features(rows).transform(time_features)
@@ -109,13 +115,15 @@ def score_stream(
     features_path: str | None = None,
     quarantine_path: str | None = None,
     trigger: dict | None = None,
+    redelivered_within: str | None = None,
 ) -> StreamingQuery:
     """Score messages as they arrive and write score messages.
 
     ``features="stateless"`` lets a row know only itself. ``"history"`` adds the
     rows stored under ``history_path`` by earlier batches, so that a row's
     features are those of the batch job over all rows up to its own batch. As there, a
-    row whose values all came before counts, and is scored, once.
+    row whose values all came before counts, and is scored, once; with ``redelivered_within`` (``"1 day"``) instead
+    a message whose key and value both came within that time, which reads state of that time only and no stored row.
     ``trigger`` defaults to working off what is there and stopping.
     """
     if features not in ("history", "stateless"):
@@ -133,8 +141,11 @@ def score_stream(
             scores_path,
             features_path,
             quarantine_path,
+            drop_known=redelivered_within is None,
         )
 
+    if redelivered_within is not None:
+        stream = distinct_within(stream, ["key", "value"], redelivered_within)
     writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()
 
