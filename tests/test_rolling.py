@@ -267,6 +267,27 @@ def test_a_hot_second_is_split_in_both_joins(spark):
     assert rows[0]["avg_amount_per_customer_for_30_days"] == 1.5
 
 
+def test_windows_share_one_shuffle_of_the_seconds(spark):
+    """Seconds are shuffled twice, to be combined and into blocks; their copies never are."""
+    data = random_rows(300, 13, 90)
+    out = rolling_range(frame(spark, data), "k", "t", (1, 7, 30), AGGS, delay_days=7)
+    out.collect()
+    final = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("Exchange hashpartitioning(__key") == 2 and "__day" not in "".join(
+        line for line in final.split("\n") if "Exchange hashpartitioning" in line
+    )
+
+
+def test_windows_reach_over_the_ends_of_blocks(spark):
+    """Days around the ends of blocks of 64 days, before and after 1970, with and without a delay."""
+    days = [b * 64 + d for b in (-1, 0, 1, 4) for d in (-38, -31, -30, -8, -7, -1, 0, 1, 6, 30, 37)]
+    data = [(i, 1, d * DAY + (i * 7001) % DAY, float(i), i % 2) for i, d in enumerate(days)]
+    data += [(1000 + i, 1, d * DAY, 0.5, 1) for i, d in enumerate(days)]
+    for delay in (0, 7):
+        got = rolling_range(frame(spark, data), "k", "t", (1, 7, 30), AGGS, delay_days=delay).collect()
+        check(got, brute(data, (1, 7, 30), delay=delay))
+
+
 @pytest.mark.parametrize(
     "stamp,want",
     [

@@ -7,12 +7,14 @@ are put together from parts of days:
 
 1. Pre-aggregate to one row per (key, second). Rows of the same second are
    peers in a RANGE frame, so they share one result.
-2. A window is the tail of the day it starts in, the whole days between and the
-   head of the day it ends in. Heads and tails are running sums within (key,
-   day), read at the second of the row: for each window a copy of that second
-   is put into the day where the window starts. A group then holds at most the seconds of
-   a day and their copies, however hot the key is and however far windows look back.
-3. Whole days are summed per key over one row per day.
+2. Shuffle these once, by key and block of days. A row that windows of the next block
+   reach back to goes there as well. A group then holds at most the seconds of a block and of
+   the longest window before it, however many rows a key has.
+3. A window is the tail of the day it starts in, the whole days between and the
+   head of the day it ends in. Whole days are summed over a frame of days, once per day. Heads and
+   tails are running sums within (key, day), read at the second of the row: each second is copied
+   into the days whose windows start or end in its own, and only if the key has rows there.
+   This takes place within the task that holds the block.
 4. Join the per-second results back to the rows on (key, second). AQE can split
    a skewed partition of that join, down to a single hot second.
 
@@ -30,6 +32,9 @@ from pyspark.sql import functions as F
 from txrisk.functions.calendar import DAY_SECONDS
 
 KEY, SEC, DAY, OFF, OWN, SHIFT, AT = "__key", "__sec", "__day", "__off", "__own", "__shift", "__at"
+BLOCK, TOTAL = "__block", "__total"
+# Days of a key that are handled together, at least; longer windows need longer blocks.
+BLOCK_DAYS = 64
 
 
 def _second(ts: str) -> str:
@@ -103,58 +108,74 @@ def rolling_stats(
         .selectExpr("*", f"floor({SEC} / {DAY_SECONDS}) as {DAY}", f"pmod({SEC}, {DAY_SECONDS}) as {OFF}")
     )
     asked = f"{OWN} = 1" if with_past else "true"
-
     # Days back from a row's own day: to the one its windows end in, to those they start in.
     ends = [delay_days, *(delay_days + d for d in days)]
-    # A second itself (no shift, or the shift 0 of windows without a delay), and its copies.
-    itself = "struct(0 as back, true as real)"
-    copies = [f"struct({back} as back, false as real)" for back in ends if back]
-    places = f"case when {asked} then array({', '.join([itself, *copies])}) else array({itself}) end"
-    spread = slim.selectExpr("*", f"inline({places})").selectExpr(
-        KEY,
-        f"{DAY} - back as {DAY}",
-        OFF,
-        f"back as {SHIFT}",
-        f"({'real' if delay_days else 'false'} or not ({asked})) as __mute",
-        *[f"case when real then `{n}` end as `{n}`" for n in measures],
+    if totals is not None:
+        # Whole days, in no second of theirs.
+        earlier = totals.join(keys, key, "left_semi").selectExpr(
+            f"`{key}` as {KEY}", f"cast(day as bigint) as {DAY}", *[f"`{n}`" for n in measures], f"0 as {OWN}"
+        )
+        slim = slim.withColumn(TOTAL, F.lit(False)).unionByName(earlier.withColumn(TOTAL, F.lit(True)), allowMissingColumns=True)
+
+    # Every row goes to the block of its own day and to the next one, if windows of that reach back to it.
+    length = max(BLOCK_DAYS, 2 * max(ends))
+    block = f"floor({DAY} / {length})"
+    further = f"floor(({DAY} + {max(ends)}) / {length}) > {block}"
+    blocked = slim.selectExpr(
+        "*", f"explode(case when {further} then array({block}, {block} + 1) else array({block}) end) as {BLOCK}"
     )
+    # The one shuffle for all that follows; windows by day alone would ask for one more.
+    blocked = blocked.repartition(KEY, BLOCK)
+    own_block = f"{BLOCK} <=> {block}"
+    group = f"partition by {KEY}, {BLOCK}"
 
-    def running(name: str, order: str) -> str:
+    def running(value: str, day: str, order: str) -> str:
         return (
-            f"sum(`{name}`) over (partition by {KEY}, {DAY} order by {OFF} {order} "
+            f"sum({value}) over ({group}, {day} order by {OFF} {order} "
             "range between unbounded preceding and current row)"
         )
 
-    heads = {f"head_{n}": running(n, "asc") for n in measures}
-    tails = {f"tail_{n}": running(n, "desc") for n in measures}
-    parts = spread.selectExpr("*", *_named(heads)).selectExpr("*", *_named(tails)).where("not __mute")
-    # Back to the row's own day, with one column per part.
-    pieces = {}
-    for n in measures:
-        pieces[f"now_{n}"] = f"max(case when {SHIFT} = {delay_days} then `head_{n}` end)"
-        for d in days:
-            pieces[f"old{d}_{n}"] = f"max(case when {SHIFT} = {delay_days + d} then `tail_{n}` end)"
-    points = (
-        parts.selectExpr("*", f"{DAY} + {SHIFT} as {AT}")
-        .groupBy(KEY, AT, OFF)
-        .agg(*[F.expr(text).alias(name) for name, text in pieces.items()])
-    )
-
-    by_day = slim.groupBy(KEY, DAY).agg(*_sums(measures), *own)
-    if totals is not None:
-        earlier = totals.join(keys, key, "left_semi").selectExpr(
-            f"`{key}` as {KEY}", f"cast(day as bigint) as {DAY}", *[f"`{n}`" for n in measures], f"0 as {OWN}"
-        )
-        by_day = by_day.unionByName(earlier).groupBy(KEY, DAY).agg(*_sums(measures), *own)
-    whole = {}
+    if not delay_days:
+        # Before the copies are made, in the order that the whole days need as well.
+        live = "`{n}`" if totals is None else f"case when not {TOTAL} then `{{n}}` end"
+        blocked = blocked.selectExpr("*", *_named({f"now_{n}": running(live.format(n=n), DAY, "asc") for n in measures}))
+    whole = {} if delay_days else {f"now_{n}": f"`now_{n}`" for n in measures}
+    between = {}
     for d in days:
         for n in measures:
             frame = f"range between {delay_days + d - 1} preceding and {delay_days + 1} preceding"
             if d > 1:
-                whole[f"days{d}_{n}"] = f"sum(`{n}`) over (partition by {KEY} order by {DAY} {frame})"
-    between = by_day.selectExpr("*", *_named(whole)).where(asked)
-    between = between.selectExpr(f"{KEY} as __of", f"{DAY} as __on", *[f"`{n}`" for n in whole])
-    joined = points.join(between, F.expr(f"{KEY} <=> __of and {AT} = __on"))
+                between[f"days{d}_{n}"] = f"sum(`{n}`) over ({group} order by {DAY} {frame})"
+    whole |= between
+    # A copy is needed on days only that the key has rows of its own on.
+    wanted = {
+        back: f"max({own_block} and {asked}) over ({group} order by {DAY} range between {back} following and {back} following)"
+        for back in sorted({back for back in ends if back})
+    }
+    seen = blocked.selectExpr("*", *_named(between), *_named({f"__to{back}": text for back, text in wanted.items()}))
+    if totals is not None:
+        seen = seen.where(f"not {TOTAL}")
+
+    # The second itself, with the sums so far, and its copies in the days whose windows end or start at it.
+    kept = f"named_struct({', '.join(f"'{n}', `{n}`" for n in whole) or "'none', 0"})"
+    itself = f"struct(0 as back, {asked} as real, {kept} as whole)"
+    copies = [
+        f"case when `__to{back}` then struct({back} as back, false as real, cast(null as struct<{{whole}}>) as whole) end"
+        for back in wanted
+    ]
+    kinds = seen.selectExpr(f"{kept} as whole").schema["whole"].dataType.simpleString().removeprefix("struct<").removesuffix(">")
+    places = [f"case when {own_block} then {itself} end", *[text.replace("{whole}", kinds) for text in copies]]
+    spread = seen.selectExpr("*", f"inline(array_compact(array({', '.join(places)})))").selectExpr(
+        KEY, BLOCK, f"{DAY} + back as {AT}", OFF, f"back as {SHIFT}", "real", "whole", *[f"`{n}`" for n in measures]
+    )
+
+    def of(name: str, back: int) -> str:
+        return f"case when {SHIFT} = {back} then `{name}` end"
+
+    heads = {f"now_{n}": running(of(n, delay_days), AT, "asc") for n in measures if delay_days}
+    tails = {f"old{d}_{n}": running(of(n, delay_days + d), AT, "desc") for d in days for n in measures}
+    points = spread.selectExpr("*", *_named(heads)).selectExpr("*", *_named(tails)).where("real")
+    joined = points.select("*", "whole.*")
 
     def total(name: str, d: int) -> str:
         zero = "0D" if name in doubles else "0L"
