@@ -14,6 +14,8 @@ RUNTIME_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Rows take many times their shuffled size in a task that sorts them for windows.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16MB",
     # Lets AQE hash-join instead of sort when the measured partitions are small.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
 }
