@@ -113,3 +113,16 @@ def test_same_key_with_another_value_is_no_redelivery(spark, tmp_path):
             availableNow=True
         ).start().awaitTermination()
     assert sorted(map(tuple, spark.read.parquet(out).collect())) == [("k", "a"), ("k", "b"), ("k", "c"), ("l", "a")]
+
+
+def test_seconds_of_several_days_are_parted_by_day():
+    import numpy as np
+
+    from txrisk.streaming.keyed import DAY_SECONDS, SECOND, by_day
+
+    days = {}
+    for day in (-1, 0, 5, 6):
+        entries = np.zeros(2, dtype=SECOND)
+        entries["at"] = [day * DAY_SECONDS, (day + 1) * DAY_SECONDS - 1]
+        days[day] = entries.tobytes()
+    assert by_day(b"".join(days.values())) == days and by_day(b"") == {}

@@ -35,6 +35,8 @@ KEY_LIFE_MS = (KEEP_DAYS + 1) * DAY_SECONDS * 1000
 MEASURES = ("n", "n_amount", "s_amount", "n_fraud", "s_fraud")
 KINDS = [(m, "<f8" if m == "s_amount" else "<i8") for m in MEASURES]
 SECOND, DAY = np.dtype([("at", "<i8"), *KINDS]), np.dtype([("day", "<i8"), *KINDS])
+# Bytes of seconds up to which a key has them in one value; beyond, in one per day.
+TOGETHER = 1 << 16
 CUSTOMER, TERMINAL = "customer", "terminal"
 INPUT = "kind STRING, id INT, uid STRING, message_day BIGINT, payload STRING, sec BIGINT, amount DOUBLE, fraud DOUBLE"
 PARTIAL = "kind STRING, uid STRING, payload STRING, " + ", ".join(
@@ -55,6 +57,14 @@ def added(entries: np.ndarray, place: str) -> np.ndarray:
     return out
 
 
+def by_day(seconds: bytes) -> dict[int, bytes]:
+    """Seconds of several days, those of a day next to one another, as the bytes of each day."""
+    entries = np.frombuffer(seconds, dtype=SECOND)
+    day = entries["at"] // DAY_SECONDS
+    ends = [*(np.flatnonzero(np.diff(day)) + 1).tolist(), len(entries)] if len(entries) else []
+    return {int(day[a]): entries[a:b].tobytes() for a, b in zip([0, *ends], ends)}
+
+
 class KeyState:
     """The days of one key over a store of bytes: ``read(day)`` and ``write(day, data)``, ``None`` to forget it."""
 
@@ -118,29 +128,42 @@ class Windows(StatefulProcessor):
     """Adds a key's rows to its state and returns each with its windows, all rows of the batch counted."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.totals = handle.getValueState("totals", "days BINARY", KEY_LIFE_MS)
+        self.totals = handle.getValueState("totals", "days BINARY, seconds BINARY", KEY_LIFE_MS)
         self.days = handle.getMapState("seconds", "day BIGINT", "seconds BINARY", KEY_LIFE_MS)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         batch = pd.concat(list(rows), ignore_index=True)
+        stored = self.totals.get()
+        # Each call to the store is a message to the JVM: a key of few seconds has all of them beside its totals.
+        together = stored is None or stored[1] is not None
+        held = by_day(bytes(stored[1])) if stored and together else {}
 
         def read(day: int) -> bytes | None:
+            if together:
+                return held.get(day)
             found = self.days.getValue((day,))
             return bytes(found[0]) if found else None
 
         def write(day: int, data: bytes | None) -> None:
-            if data is None:
+            if together and data is None:
+                held.pop(day, None)
+            elif together:
+                held[day] = data
+            elif data is None:
                 self.days.removeKey((day,))
             else:
                 self.days.updateValue((day,), (data,))
 
-        stored = self.totals.get()
         state = KeyState(bytes(stored[0]) if stored else b"", read, write)
         state.add(batch)
         found = state.windows(batch["sec"].to_numpy(dtype=np.int64))
         # By the time of messages: a stray time in one does not make a key forget.
         state.forget(int(batch["message_day"].max()) - KEEP_DAYS)
-        self.totals.update((state.totals.tobytes(),))
+        if together and sum(map(len, held.values())) > TOGETHER:
+            for day, data in held.items():
+                self.days.updateValue((day,), (data,))
+            together = False
+        self.totals.update((state.totals.tobytes(), b"".join(held.values()) if together else None))
         yield pd.DataFrame({"kind": batch["kind"], "uid": batch["uid"], "payload": batch["payload"], **found})
 
     def close(self) -> None:
