@@ -166,3 +166,42 @@ def test_wrong_arguments(spark, tmp_path):
         score_stream(stream, str(tmp_path / "c"), features="history")
     with pytest.raises(ValueError):
         score_stream(stream, str(tmp_path / "c"), features="none")
+
+
+def test_distinct_rows_of_a_batch_are_computed_once(spark, tmp_path, monkeypatch):
+    """The look for the days of a batch leaves its distinct rows to all that reads them after."""
+    from txrisk.streaming import scoring
+
+    seen = []
+
+    def recent(rows, *rest):
+        seen.append(rows.is_cached)
+        return recent_history(rows, *rest)
+
+    monkeypatch.setattr(scoring, "recent_history", recent)
+    df, out = transactions(spark, 60), str(tmp_path / "out")
+    score_batch(to_messages(df.union(df)), 0, None, "history", str(tmp_path / "h"), None, out, None)
+    assert seen == [True]
+    compare(spark.read.parquet(out), feature_table(df, REQUIRED_COLUMNS))
+
+
+def test_only_the_rows_of_a_step_are_encoded(spark):
+    """Rows of other days are left out before messages are made, and the messages are those of all rows."""
+    from datetime import timedelta
+
+    from txrisk.plans.adapters import raw_transactions
+    from txrisk.plans.queries import _dated_rows, _messages_between
+
+    sf = "/root/testdata/sf0.001"
+    rows, (lo, hi) = _dated_rows(spark, sf)
+    parts = [_messages_between(rows, day, day + timedelta(days=11)) for day in (lo, lo + timedelta(days=11), lo + timedelta(days=22))]
+    for part in parts:
+        lines = part._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        encoded, filtered = ([i for i, x in enumerate(lines) if word in x] for word in ("StructsToJson", "Filter"))
+        assert encoded and filtered and max(encoded) < min(filtered)
+    sent = parts[0].union(parts[1]).union(parts[2])
+    every = to_messages(raw_transactions(spark, sf))
+    assert sent.columns == ["key", "value", "timestamp"] and hi < lo + timedelta(days=33)
+    assert sent.count() == every.count() and sent.select("key", "value").exceptAll(every).count() == 0
+    at = F.get_json_object("value", "$.tx_datetime").cast("timestamp")
+    assert sent.where(~F.col("timestamp").eqNullSafe(at)).count() == 0

@@ -7,7 +7,7 @@ rounded with ``r6`` and their times written as text.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import timedelta
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -640,26 +640,30 @@ def compare_fitted_models(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streaming -------------------------------------------------------------
 
 
-def _dated_messages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, tuple]:
-    """Messages of the dirty rows with their day, and the first and last day."""
-    sent = messages.to_messages(raw_transactions(spark, sf_dir))
-    at = F.get_json_object("value", "$.tx_datetime").cast("timestamp")
-    sent = sent.withColumn("timestamp", at).withColumn("day", F.to_date("timestamp"))
-    first = sent.agg(F.min("day").alias("lo"), F.max("day").alias("hi")).first()
-    return sent, (first["lo"], first["hi"])
+def _dated_rows(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, tuple]:
+    """The dirty rows with their time and day, and the first and last day."""
+    rows = raw_transactions(spark, sf_dir).withColumn("timestamp", F.col("tx_datetime").cast("timestamp"))
+    rows = rows.withColumn("day", F.to_date("timestamp"))
+    first = rows.agg(F.min("day").alias("lo"), F.max("day").alias("hi")).first()
+    return rows, (first["lo"], first["hi"])
+
+
+def _messages_between(rows: DataFrame, day: date, until: date) -> DataFrame:
+    """Messages of the rows of some days; only these rows are encoded."""
+    part = rows.where((F.col("day") >= F.lit(day)) & (F.col("day") < F.lit(until)))
+    return messages.to_messages(part, also=["timestamp"])
 
 
 def _stream_features(spark: SparkSession, sf_dir: str, kind: str, step: int, upkeep: bool = False) -> DataFrame:
     """Feed the messages in event order, ``step`` days per micro-batch, with upkeep of the history between them."""
-    sent, (lo, hi) = _dated_messages(spark, sf_dir)
+    rows, (lo, hi) = _dated_rows(spark, sf_dir)
     inbox, out, history, checkpoint = (
         work_dir(spark, n) for n in ("inbox", "features", "history", "checkpoint")
     )
     day = lo
     while day <= hi:
         until = day + timedelta(days=step)
-        part = sent.where((F.col("day") >= F.lit(day)) & (F.col("day") < F.lit(until)))
-        part.select("key", "value", "timestamp").write.mode("append").parquet(inbox)
+        _messages_between(rows, day, until).write.mode("append").parquet(inbox)
         scoring.score_stream(
             scoring.read_tx_stream(spark, inbox),
             checkpoint,
@@ -743,13 +747,12 @@ def stream_scores_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def stream_keyed_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The batch job's features out of keyed state, rows fed in event order."""
-    sent, (lo, hi) = _dated_messages(spark, sf_dir)
+    rows, (lo, hi) = _dated_rows(spark, sf_dir)
     inbox, out, checkpoint = (work_dir(spark, n) for n in ("inbox", "features", "checkpoint"))
     day = lo
     while day <= hi:
         until = day + timedelta(days=11)
-        part = sent.where((F.col("day") >= F.lit(day)) & (F.col("day") < F.lit(until)))
-        part.select("key", "value", "timestamp").write.mode("append").parquet(inbox)
+        _messages_between(rows, day, until).write.mode("append").parquet(inbox)
         keyed.keyed_stream(scoring.read_tx_stream(spark, inbox), checkpoint, out).awaitTermination()
         day = until
     return shown(spark.read.parquet(out).drop("batch_id"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,11 +17,11 @@ BROKEN = "__broken"
 SCORE_COLUMNS = ["tranaction_id", "tx_datetime", "prediction", "probability"]
 
 
-def to_messages(df: DataFrame, key: Column | None = None) -> DataFrame:
-    """Rows as (key, value) with every field as text; null fields are left out."""
+def to_messages(df: DataFrame, key: Column | None = None, also: Sequence[str] = ()) -> DataFrame:
+    """Rows as (key, value) with every field as text; null fields are left out. Columns ``also`` stay beside them."""
     fields = [F.col(c).cast("string").alias(c) for c in RAW_COLUMNS if c in df.columns]
     name = F.concat(F.lit("tx_"), F.col("tranaction_id").cast("string")) if key is None else key
-    return df.select(name.alias("key"), F.to_json(F.struct(*fields)).alias("value"))
+    return df.select(name.alias("key"), F.to_json(F.struct(*fields)).alias("value"), *also)
 
 
 def file_messages(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:

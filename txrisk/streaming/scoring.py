@@ -64,17 +64,17 @@ def score_batch(
     """
     checked, out = check_messages(messages), None
     with_history = features == "history"
-    several = with_history or bool(quarantine_path)
-    if several:
+    if quarantine_path:
         checked = checked.persist(StorageLevel.MEMORY_AND_DISK)
-    rows = None
+    distinct = rows = None
     try:
         rows = clamp_negative(valid_rows(checked).dropDuplicates())
         if with_history:
+            # Read for its days, the features, the totals and the stored rows.
+            distinct = rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
             past = recent_history(rows, history_path, batch_id)
-            # Read for the features, the totals and the stored rows.
-            rows = without_known(rows, past.get("history")) if drop_known else rows
-            rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+            if drop_known and "history" in past:
+                rows = without_known(rows, past["history"]).persist(StorageLevel.MEMORY_AND_DISK)
             out = build_features(rows, **past)
         else:
             out = single_row_features(rows).transform(time_features)
@@ -94,10 +94,10 @@ def score_batch(
         if quarantine_path:
             write_batch(rejected_rows(checked), quarantine_path, batch_id)
     finally:
-        for kept in (out, rows):
+        for kept in (out, rows, distinct):
             if kept is not None:
                 kept.unpersist()
-        if several:
+        if quarantine_path:
             checked.unpersist()
 
 
