@@ -142,3 +142,14 @@ def test_features_need_no_labels(spark, table):
     out = build_features(unlabelled)
     assert out.where("number_of_fraud_tx_per_terminal_for_1_day is not null").count() == 0
     assert out.where("number_of_tx_per_terminal_for_1_day is null").count() == 0
+
+
+def test_fitted_and_scored_rows_are_computed_once(spark):
+    """Scoring reads the rows that were fitted; their cleaning and windows are not done again."""
+    from txrisk.plans.queries import queries
+
+    for name, rows in (("model_roundtrip", "same"), ("gbt_scores", "sound")):
+        out = queries()[name](spark, "/root/testdata/sf0.001")
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "Window" not in plan and "Join" not in plan and "Aggregate" not in plan
+        assert out.where(f"not {rows} or {rows} is null").count() == 0 and out.count() > 0

@@ -392,10 +392,17 @@ def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.feature_table(raw_transactions(spark, sf_dir))
 
 
+def _kept_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same, written once to the shared folder, for queries that read it to fit and again to score."""
+    rows, path = _labelled(spark, sf_dir), work_dir(spark, "labelled")
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 @query
 def gbt_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each row's label, and whether its score is a probability that the prediction follows."""
-    rows = _labelled(spark, sf_dir)
+    rows = _kept_labelled(spark, sf_dir)
     scored = learn.score(rows, learn.train(rows))
     p = score_of(scored)
     sound = p.between(0, 1) & (F.col("prediction") == (p > 0.5).cast("double"))
@@ -417,7 +424,7 @@ def cv_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Does a model give the same scores after it was saved and loaded?"""
-    rows = _labelled(spark, sf_dir)
+    rows = _kept_labelled(spark, sf_dir)
     model = learn.train(rows)
     path = work_dir(spark, "model")
     runs.save_model(model, path)
