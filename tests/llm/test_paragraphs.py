@@ -241,3 +241,32 @@ def test_forest_connects_what_is_similar():
 
 def test_paragraphs_are_lines():
     assert paragraphs_of("a\n\nb\r\nc") == ["a", "", "b\r", "c"]
+
+
+def test_spent_tables_and_shuffles_are_deleted(spark):
+    """What no later step reads leaves the shared folder, and what was shuffled for a kept table the disks."""
+    import time
+
+    from txrisk.llm.common import CLEANUP, keep
+    from txrisk.session import list_dir, shared_dir
+
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString(" ").split(" ")
+        return {f for f in files if "shuffle_" in f and f.endswith(".data")}
+
+    line, passage = " ".join(words(1, 20)), " ".join(words(2, 40))
+    docs = [(i, f"{line}\n{' '.join(words(10 + i, 40))} {passage} {' '.join(words(50 + i, 40))}") for i in range(6)]
+    there = set(list_dir(spark, shared_dir(spark)))
+    found = repeated_paragraphs(frame(spark, docs))
+    left = {x.rsplit("-", 1)[0] for x in set(list_dir(spark, shared_dir(spark))) - there}
+    gone = {"paragraphs", "shared-bands", "band-members", "shingle-sets", "shared-blocks", "blocks-of-documents", "runs-of-documents"}
+    assert "places" in left and not left & gone
+    assert found.where("paragraph is null").count() == 5 and found.where("paragraph = 0").count() == 6
+
+    before, setting = shuffled(), spark.conf.get(CLEANUP)
+    kept = keep(spark.range(1000).selectExpr("id % 7 k", "id").groupBy("k").agg(F.sum("id").alias("s")), "sums")
+    for _ in range(50):
+        if not (new := shuffled() - before):
+            break
+        time.sleep(0.2)
+    assert not new and kept.count() == 7 and spark.conf.get(CLEANUP) == setting

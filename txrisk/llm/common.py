@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from txrisk.session import configure, work_dir
+from txrisk.session import configure, remove_path, work_dir
 
 # An Arrow batch is closed at whichever comes first, so that a run of very long
 # texts cannot fill a Python worker.
@@ -49,11 +49,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Lets Spark delete a query's shuffle files when it ends, not when the driver happens to collect garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def keep(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it back: cuts lineage, survives lost executors."""
-    path = work_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write a table to the shared folder and read it back: cuts lineage, survives lost executors, frees what was shuffled for it."""
+    spark = df.sparkSession
+    path = work_dir(spark, name)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``keep`` that nothing reads any more."""
+    for df in tables:
+        for path in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+            remove_path(df.sparkSession, path)
 
 
 def id_remainder(column: str, modulus: int) -> Column:

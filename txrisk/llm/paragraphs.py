@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from txrisk.llm.common import Batches, components, emit, keep, spans, texts_of
+from txrisk.llm.common import Batches, components, discard, emit, keep, spans, texts_of
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -296,15 +296,16 @@ def passage_pairs(docs: DataFrame, blocks: DataFrame) -> DataFrame:
     runs = keep(runs, "runs-of-documents")
     first = runs.groupBy("w").agg(F.min("doc_id").alias("kept"), F.max("doc_id").alias("last")).where("kept <> last")
     more = runs.join(first.select("w", "kept"), "w").where("doc_id <> kept").select("doc_id", "kept")
-    return keep(pairs.union(more).distinct(), "passage-pairs")
+    found = keep(pairs.union(more).distinct(), "passage-pairs")
+    discard(shared, known, runs)
+    return found
 
 
-def repeated_passages(docs: DataFrame, blocks: DataFrame) -> DataFrame:
+def repeated_passages(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """``doc_id, start, words, kept_doc_id`` of the passages that an earlier document has.
 
-    ``blocks`` is ``(doc_id, h)``, which only say what documents to compare. The texts decide, word by word.
+    ``pairs`` of ``passage_pairs`` only say what documents to compare. The texts decide, word by word.
     """
-    pairs = passage_pairs(docs, blocks)
     texts = docs.selectExpr("cast(doc_id as bigint) doc_id", "text").where("doc_id is not null and text is not null")
     rows = texts.toDF("kept", "kept_text").join(pairs, "kept").join(texts, "doc_id")
     schema = pa.schema([
@@ -445,10 +446,11 @@ def paragraph_links(docs: DataFrame, occurrences: DataFrame, similarity: float,
     band = F.explode("bands").alias("key")
     rows = occurrences.select("p", band)
     busy = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    shared = keep(rows.join(busy, "key").distinct(), "shared-bands")
-    wanted = shared.groupBy("key").agg(F.min("p").alias("low"), F.max("p").alias("high")).where("low <> high")
+    busy_rows = keep(rows.join(busy, "key").distinct(), "shared-bands")
+    wanted = busy_rows.groupBy("key").agg(F.min("p").alias("low"), F.max("p").alias("high")).where("low <> high")
     wanted = keep(wanted.select("key", "low"), "band-leaders")
-    shared = keep(shared.join(wanted, "key"), "band-members")
+    shared = keep(busy_rows.join(wanted, "key"), "band-members")
+    discard(busy_rows)
     sets = keep(shingle_sets(docs, occurrences, shared.select("p").distinct()), "shingle-sets")
 
     # First everything is compared with one member of its key, at one comparison per row.
@@ -469,7 +471,9 @@ def paragraph_links(docs: DataFrame, occurrences: DataFrame, similarity: float,
         .distinct()
     )
     crowded = similar_in_crowds(many.select("key", "root", "p"), sets, similarity)
-    return first.union(similar(pairs, sets, similarity)).union(crowded)
+    links = keep(first.union(similar(pairs, sets, similarity)).union(crowded), "paragraph-links")
+    discard(shared, wanted, sets, first, rooted)
+    return links
 
 
 def repeated_paragraphs(
@@ -491,9 +495,12 @@ def repeated_paragraphs(
     """
     found = keep(paragraph_table(docs, bands, rows), "paragraphs")
     occurrences, blocks = found.where("pid is not null"), found.where("h is not null").select("doc_id", "h")
-    links = keep(paragraph_links(docs, occurrences, similarity, crowd), "paragraph-links")
+    links = paragraph_links(docs, occurrences, similarity, crowd)
+    pairs = passage_pairs(docs, blocks)
+    places = keep(occurrences.select("doc_id", "par", "pid"), "places")
+    discard(found)  # before texts are brought together
     roots = components(links, "paragraph-edges")
-    placed = occurrences.select("doc_id", "par", "pid").join(roots, F.col("pid") == F.col("node"), "left")
+    placed = places.join(roots, F.col("pid") == F.col("node"), "left")
     placed = placed.select("doc_id", "par", F.coalesce("root", "pid").alias("component"))
     groups = placed.groupBy("component").agg(
         F.min(F.struct("doc_id", "par")).alias("kept"), F.max("doc_id").alias("last")
@@ -506,7 +513,7 @@ def repeated_paragraphs(
         "doc_id", "par paragraph", "cast(null as int) start", "cast(null as int) words", "component", "kept_doc_id",
         "kept_paragraph", "not (doc_id = kept_doc_id and par = kept_paragraph) removed",
     )
-    passages = repeated_passages(docs, blocks).selectExpr(
+    passages = keep(repeated_passages(docs, pairs), "passages").selectExpr(
         "doc_id", "cast(null as int) paragraph", "start", "words", "cast(null as string) component", "kept_doc_id",
         "cast(null as int) kept_paragraph", "true removed",
     )
