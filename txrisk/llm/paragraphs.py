@@ -8,6 +8,9 @@ blocks of words at places that the words themselves choose.
 from __future__ import annotations
 
 import re
+from collections import defaultdict
+from collections.abc import Iterable
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -37,8 +40,10 @@ LEAST = PASSAGE
 # In a passage a changed word weighs as much as so many equal ones (a similarity of 0.8); at most so many follow one another.
 DIFFERENT = 4
 GAP = 5
-# Shingles hashed at once.
-SLICE = 1 << 18
+# Words (of whole texts) that are hashed at once, shingles that are signed at once, and runs that are compared at once.
+SLICE = 1 << 16
+SIGNED = 1 << 14
+COMPARED = 1 << 14
 SEED = 20240607
 
 
@@ -55,10 +60,20 @@ def word_list(paragraph: str) -> list[bytes]:
     return paragraph.lower().encode("utf-8", "replace").split()
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    from xxhash import xxh3_64_intdigest
+def words_of(text: str) -> list[bytes]:
+    """The words of all lines: a line end parts words too, and no letter's lower case depends on what lies behind one."""
+    return word_list(text)
 
-    return np.array(list(map(xxh3_64_intdigest, words)), dtype=np.uint64)
+
+def word_lines(text: str) -> list[list[bytes]]:
+    """``word_list`` of each line."""
+    return [line.split() for line in text.lower().encode("utf-8", "replace").split(b"\n")]
+
+
+def word_hashes(words: Iterable[bytes]) -> np.ndarray:
+    from xxhash import xxh3_64_digest
+
+    return np.frombuffer(b"".join(map(xxh3_64_digest, words)), dtype=">u8").astype(np.uint64)
 
 
 def run_hashes(words: np.ndarray, size: int) -> np.ndarray:
@@ -70,20 +85,56 @@ def run_hashes(words: np.ndarray, size: int) -> np.ndarray:
     return (out ^ (out >> np.uint64(29))) * np.uint64(0xC2B2AE3D27D4EB4F)
 
 
+def long_run_hashes(words: np.ndarray, size: int) -> np.ndarray:
+    """Like ``run_hashes``, other values: a run's hash is made from those of its first and of its last words, half as many or more."""
+
+    def mixed(x: np.ndarray) -> np.ndarray:
+        x = (x ^ (x >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
+        return (x ^ (x >> np.uint64(29))) * np.uint64(0xC2B2AE3D27D4EB4F)
+
+    if len(words) < size:
+        return words[:0]
+    out, n = mixed(words + np.uint64(1)), 1
+    while n < size:
+        step = min(n, size - n)
+        out, n = mixed((out[:-step] ^ (out[:-step] >> np.uint64(31))) * np.uint64(0xD6E8FEB86659FD93) + out[step:]), n + step
+    return out
+
+
 def shingle_hashes(words: list[bytes]) -> np.ndarray:
     return run_hashes(word_hashes(words), SHINGLE)
 
 
-def chosen_blocks(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and first words of the blocks that are the smallest of some ``PLACES`` consecutive ones; each hash once."""
+def extremes(values: np.ndarray, size: int, pick: np.ufunc) -> np.ndarray:
+    """The smallest (or largest) of each ``size`` consecutive values, from those of half as many."""
+    n = 1
+    while n < size:
+        step = min(n, size - n)
+        values, n = pick(values[:-step], values[step:]), n + step
+    return values
+
+
+def chosen_places(words: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Block hashes, and the places of those that are the smallest of some ``PLACES`` consecutive ones of a text.
+
+    ``words`` are the texts' words one after another, ``sizes`` the number of each text's words.
+    """
     blocks = run_hashes(words, BLOCK_WORDS)
-    if len(blocks) < PLACES:
-        return blocks[:0], np.zeros(0, dtype=np.int64)
-    lowest = np.lib.stride_tricks.sliding_window_view(blocks, PLACES).min(axis=1)
+    n = len(blocks) - PLACES + 1
+    if n < 1:
+        return blocks, np.zeros(0, dtype=np.int64)
+    lowest = extremes(blocks, PLACES, np.minimum)
+    # Not those that reach into the next text.
+    lowest[np.arange(n) + PASSAGE > np.repeat(np.cumsum(sizes), sizes)[:n]] = 0
     # A block is the smallest of a window if the largest of the minima of its windows is its own hash.
     edge = np.zeros(PLACES - 1, dtype=np.uint64)
-    around = np.lib.stride_tricks.sliding_window_view(np.concatenate([edge, lowest, edge]), PLACES).max(axis=1)
-    at = np.flatnonzero(around == blocks)
+    around = extremes(np.concatenate([edge, lowest, edge]), PLACES, np.maximum)
+    return blocks, np.flatnonzero(around == blocks)
+
+
+def chosen_blocks(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and first words of the chosen blocks of one text; each hash once."""
+    blocks, at = chosen_places(words, np.array([len(words)]))
     found, first = np.unique(blocks[at], return_index=True)
     return found, at[first]
 
@@ -100,10 +151,24 @@ class Signer:
     def sign(self, hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """One 64-bit value per list and band. No list is empty."""
         out = np.zeros((len(starts), self.bands), dtype=np.uint64)
+        ends = np.append(starts[1:], len(hashes))
+        first = 0
+        while first < len(starts):  # so many lists that their shingles stay in the processor's cache
+            last = max(first + 1, int(np.searchsorted(ends, starts[first] + SIGNED, side="right")))
+            part = hashes[starts[first] : ends[last - 1]]
+            out[first:last] = self.sign_part(part, starts[first:last] - starts[first])
+            first = last
+        return out
+
+    def sign_part(self, hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(starts), self.bands), dtype=np.uint64)
+        mixed = np.empty_like(hashes)
         for band in range(self.bands):
             value = np.full(len(starts), band + 1, dtype=np.uint64)
             for i in range(band * self.rows, (band + 1) * self.rows):
-                low = np.minimum.reduceat((hashes * self.factor[i] + self.offset[i]) >> np.uint64(20), starts)
+                np.multiply(hashes, self.factor[i], out=mixed)
+                np.add(mixed, self.offset[i], out=mixed)
+                low = np.minimum.reduceat(mixed, starts) >> np.uint64(20)
                 value = (value ^ (value >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + low
             out[:, band] = (value ^ (value >> np.uint64(29))) * np.uint64(0xC2B2AE3D27D4EB4F)
         return out
@@ -122,55 +187,62 @@ def paragraph_table(docs: DataFrame, bands: int, rows: int) -> DataFrame:
     ])
 
     def run(batches: Batches) -> Batches:
-        from xxhash import xxh3_128_hexdigest
+        from xxhash import xxh3_128_digest
 
         signer, met = Signer(bands, rows), set()
-        for batch in batches:
-            ids, pars, pids, signed, lists, held = [], [], [], [], [], 0
-            signatures: list[np.ndarray] = []
-            blocks: list[tuple] = []
 
-            def sign():
-                starts = spans(np.array([len(x) for x in lists]))[:-1]
-                signatures.append(signer.sign(np.concatenate(lists), starts).view(np.int64))
+        def tables(docs: list[int], texts: list[list[list[bytes]]]) -> Batches:
+            lines = list(chain.from_iterable(texts))
+            sizes, numbers = np.fromiter(map(len, lines), np.int64, len(lines)), np.fromiter(map(len, texts), np.int64, len(texts))
+            starts, of_text = spans(sizes), spans(numbers)
+            hashes = word_hashes(chain.from_iterable(lines))
+            in_text = np.diff(starts[of_text])  # words by text
+            ids = np.array(docs, dtype=np.int64)
+            at = np.flatnonzero(sizes >= SHINGLE)
+            if len(at):
+                digests = [xxh3_128_digest(b" ".join(lines[i])) for i in at.tolist()]
+                new = np.zeros(len(at), dtype=bool)
+                for i, digest in enumerate(digests):
+                    if digest not in met:
+                        met.add(digest)
+                        new[i] = True
+                flat = np.zeros(0, np.int64)
+                if new.any():
+                    counts = np.zeros(len(lines), dtype=np.int64)
+                    counts[at[new]] = sizes[at[new]] - SHINGLE + 1
+                    first = (np.arange(starts[-1]) - np.repeat(starts[:-1], sizes)) < np.repeat(counts, sizes)
+                    shingles = run_hashes(hashes, SHINGLE)
+                    chosen = shingles[first[: len(shingles)]]
+                    flat = signer.sign(chosen, spans(counts[at[new]])[:-1]).view(np.int64).ravel()
+                offsets = spans(np.where(new, bands, 0)).astype(np.int32)
+                values = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat), mask=pa.array(~new))
+                half = np.frombuffer(b"".join(digests), dtype=">u8")[::2].astype(np.uint64).view(np.int64)
+                text = np.repeat(np.arange(len(docs)), numbers)[at]
+                pars = at - of_text[text]
+                yield emit(schema, ids[text], pars.astype(np.int32), [x.hex() for x in digests], half, values, pa.nulls(len(at), pa.int64()))
+            blocks, place = chosen_places(hashes, in_text)
+            if len(place):
+                text = np.repeat(np.arange(len(docs)), in_text)[place]
+                order = np.lexsort((blocks[place], text))  # each hash of a text once, at its first place
+                text, place = text[order], place[order]
+                once = np.append(True, (np.diff(text) > 0) | (blocks[place[1:]] != blocks[place[:-1]]))
+                text, place = text[once], place[once]
+                none = [pa.nulls(len(place), schema.field(name).type) for name in ("pid", "p", "bands")]
+                yield emit(schema, ids[text], (place - starts[of_text[text]]).astype(np.int32), *none, blocks[place].view(np.int64))
 
+        for batch in batches:
+            docs, texts, held = [], [], 0
             for doc, text in zip(batch.column(0).to_pylist(), texts_of(batch.column(1)), strict=True):
-                lines = [word_list(x) for x in paragraphs_of(text)]
-                hashes, at = word_hashes([w for x in lines for w in x]), 0
-                found, places = chosen_blocks(hashes)
-                if len(found):
-                    blocks.append((np.full(len(found), doc), places, found.view(np.int64)))
-                for number, words in enumerate(lines):
-                    part, at = hashes[at : at + len(words)], at + len(words)
-                    if len(words) < SHINGLE:
-                        continue
-                    pid = xxh3_128_hexdigest(b" ".join(words))
-                    ids.append(doc)
-                    pars.append(number)
-                    pids.append(pid)
-                    signed.append(pid not in met)
-                    if pid not in met:
-                        met.add(pid)
-                        lists.append(run_hashes(part, SHINGLE))
-                        held += len(lists[-1])
-                        if held > SLICE:
-                            sign()
-                            lists, held = [], 0
-            if lists:
-                sign()
+                docs.append(doc)
+                texts.append(word_lines(text))
+                held += sum(map(len, texts[-1]))
+                if held > SLICE:
+                    yield from tables(docs, texts)
+                    docs, texts, held = [], [], 0
+            if docs:
+                yield from tables(docs, texts)
             if len(met) > 200_000:
                 met.clear()
-            if ids:
-                flags = np.array(signed)
-                flat = np.concatenate(signatures).ravel() if signatures else np.zeros(0, np.int64)
-                offsets = spans(np.where(flags, bands, 0)).astype(np.int32)
-                values = pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat), mask=pa.array(~flags))
-                half = np.array([int(x[:16], 16) for x in pids], dtype=np.uint64).view(np.int64)
-                yield emit(schema, ids, pars, pids, half, values, pa.nulls(len(ids), pa.int64()))
-            if blocks:
-                doc, place, h = (np.concatenate(x) for x in zip(*blocks, strict=True))
-                none = [pa.nulls(len(h), schema.field(name).type) for name in ("pid", "p", "bands")]
-                yield emit(schema, doc, place.astype(np.int32), *none, h)
 
     texts = docs.selectExpr("cast(doc_id as bigint) doc_id", "text").where("doc_id is not null and text is not null")
     return texts.mapInArrow(run, "doc_id long, par int, pid string, p long, bands array<long>, h long")
@@ -194,11 +266,27 @@ def extension(same: np.ndarray) -> int:
 
 def numbered(texts: tuple[str, str]) -> list[np.ndarray]:
     """The words of both texts as numbers that are equal where the words are."""
-    numbers: dict[bytes, int] = {}
-    return [
-        np.array([numbers.setdefault(w, len(numbers)) for x in paragraphs_of(t) for w in word_list(x)], dtype=np.uint64)
-        for t in texts
-    ]
+    numbers: dict[bytes, int] = defaultdict(count().__next__)
+    return [np.fromiter(map(numbers.__getitem__, w), np.uint64, len(w)) for w in map(words_of, texts)]
+
+
+def common_runs(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
+    """``start, end`` of the stretches of ``a`` whose runs of ``PASSAGE`` words ``b`` has too."""
+    ours, theirs = long_run_hashes(a, PASSAGE), long_run_hashes(b, PASSAGE)
+    values, first = np.unique(theirs, return_index=True)
+    at = np.minimum(np.searchsorted(values, ours), len(values) - 1)
+    same = np.flatnonzero(values[at] == ours)
+    runs_a, runs_b = (np.lib.stride_tricks.sliding_window_view(x, PASSAGE) for x in (a, b))
+    equal = np.ones(len(same), dtype=bool)
+    for start in range(0, len(same), COMPARED):
+        part = same[start : start + COMPARED]
+        equal[start : start + COMPARED] = (runs_a[part] == runs_b[first[at[part]]]).all(axis=1)
+    same = same[equal]
+    if not len(same):
+        return []
+    cuts = np.flatnonzero(np.diff(same) > 1)
+    starts, lasts = same[np.append(0, cuts + 1)], same[np.append(cuts, len(same) - 1)]
+    return list(zip(starts.tolist(), (lasts + PASSAGE).tolist(), strict=True))
 
 
 def common_passages(text: str, kept: str) -> list[tuple[int, int, int]]:
@@ -207,6 +295,9 @@ def common_passages(text: str, kept: str) -> list[tuple[int, int, int]]:
     Compared word by word from runs of ``SHINGLE`` equal words to both true ends. Stretches on both sides of inserted
     or missing words are one passage if these are at most ``GAP`` and a quarter of either stretch.
     """
+    if text == kept:
+        n = len(words_of(text))
+        return [(0, n, n)] if n >= PASSAGE else []
     a, b = numbered((text, kept))
     if min(len(a), len(b)) < PASSAGE:
         return []
@@ -243,16 +334,7 @@ def common_passages(text: str, kept: str) -> list[tuple[int, int, int]]:
         joined.append(x)
     out = [(x[0], x[1], x[4]) for x in joined]
     # Whatever the way through the matches was: every run of PASSAGE words that both have.
-    ours, theirs = run_hashes(a, PASSAGE), run_hashes(b, PASSAGE)
-    values, first = np.unique(theirs, return_index=True)
-    at = np.minimum(np.searchsorted(values, ours), len(values) - 1)
-    runs = [i for i in np.flatnonzero(values[at] == ours).tolist() if (a[i : i + PASSAGE] == b[first[at[i]] :][:PASSAGE]).all()]
-    for i in runs:
-        if out and len(joined) < len(out) and i <= out[-1][1] - PASSAGE + 1:
-            out[-1] = (out[-1][0], i + PASSAGE, i + PASSAGE - out[-1][0])
-        else:
-            out.append((i, i + PASSAGE, PASSAGE))
-    return out
+    return out + [(start, end, end - start) for start, end in common_runs(a, b)]
 
 
 def longest(passages: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
@@ -281,14 +363,15 @@ def passage_pairs(docs: DataFrame, blocks: DataFrame) -> DataFrame:
 
     def run(batches: Batches) -> Batches:
         for batch in batches:
-            for doc, text, hs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                hashes = word_hashes([w for x in paragraphs_of(text) for w in word_list(x)])
-                runs = run_hashes(hashes, PASSAGE)
+            lists = batch.column(2)
+            for i, (doc, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
+                hashes = word_hashes(words_of(text))
+                runs = long_run_hashes(hashes, PASSAGE)
                 if not len(runs):
                     continue
                 # A run has the same smallest block wherever it is, and that block is a chosen one.
-                lowest = np.lib.stride_tricks.sliding_window_view(run_hashes(hashes, BLOCK_WORDS), PLACES).min(axis=1)
-                near = np.isin(lowest, np.array(hs, dtype=np.int64).view(np.uint64))
+                lowest = extremes(run_hashes(hashes, BLOCK_WORDS), PLACES, np.minimum)
+                near = np.isin(lowest, lists[i].values.to_numpy().view(np.uint64))
                 found = np.unique(runs[near])
                 yield emit(schema, np.full(len(found), doc), found.view(np.int64))
 
