@@ -192,6 +192,82 @@ def test_blocks_are_chosen_by_the_words_around_them():
     assert len(chosen_blocks(word_hashes([b"a"] * (BLOCK_WORDS + PLACES - 2)))[0]) == 0
 
 
+class Local:
+    """Runs an operator's map over batches in this process."""
+
+    def selectExpr(self, *columns):
+        return self
+
+    def where(self, condition):
+        return self
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+def test_texts_are_hashed_together(monkeypatch):
+    """The table is made from some arrays per batch, not some per line, and is that of single texts."""
+    import pyarrow as pa
+
+    from txrisk.llm import paragraphs
+
+    shared = words(1, 60)
+    texts = ["", "a\n\nb", "ΑΣ\nΣΑΣ x y z t u v", " ".join(words(2, 24)), "\n".join([" ".join(words(3, 30))] * 2)]
+    texts += [" ".join(words(10 + i, i) + shared + words(90 + i, 7)) + f"\n{' '.join(words(5, 9))}\nshort" for i in range(60)]
+    texts.append(" ".join(words(7, 3000)))
+
+    def table(texts):
+        batch = pa.record_batch([pa.array(range(len(texts)), pa.int64()), texts], names=["doc_id", "text"])
+        out = pa.Table.from_batches(paragraphs.paragraph_table(Local(), 10, 4)(iter([batch]))).to_pylist()
+        return out
+
+    calls, run_hashes = [], paragraphs.run_hashes
+    monkeypatch.setattr(paragraphs, "run_hashes", lambda *a: calls.append(a) or run_hashes(*a))
+    found = table(texts)
+    assert len(calls) < 10
+    blocks, lines = {}, {}
+    for r in found:
+        if r["h"] is not None:
+            assert (r["doc_id"], r["h"]) not in blocks
+            blocks[r["doc_id"], r["h"]] = r["par"]
+        else:
+            lines[r["doc_id"], r["par"]] = r["pid"]
+    signed = {r["pid"]: r["bands"] for r in found if r["bands"]}
+    assert signed.keys() == set(lines.values())
+    for i, text in enumerate(texts):
+        own = [line.lower().encode().split() for line in text.split("\n")]
+        h, at = chosen_blocks(word_hashes([w for x in own for w in x]))
+        assert {k[1]: v for k, v in blocks.items() if k[0] == i} == dict(zip(h.view(np.int64).tolist(), at.tolist(), strict=True))
+        assert {k[1] for k in lines if k[0] == i} == {n for n, x in enumerate(own) if len(x) >= 5}
+        for n, x in enumerate(own):
+            if len(x) >= 5:
+                expected = paragraphs.Signer(10, 4).sign(paragraphs.shingle_hashes(x), np.array([0])).view(np.int64)[0]
+                assert signed[lines[i, n]] == expected.tolist()
+
+
+def test_hashes_of_long_runs_tell_runs_of_small_numbers_apart():
+    from txrisk.llm.paragraphs import long_run_hashes
+
+    r = np.random.default_rng(1)
+    numbers = r.integers(0, 3, 20_000, dtype=np.uint64)
+    runs = {tuple(numbers[i : i + 25].tolist()) for i in range(len(numbers) - 24)}
+    assert len(set(long_run_hashes(numbers, 25).tolist())) == len(runs)
+    assert len(long_run_hashes(numbers[:24], 25)) == 0 and len(long_run_hashes(numbers[:25], 25)) == 1
+
+
+def test_long_equal_texts_are_compared_at_once(monkeypatch):
+    """Runs that two texts have in common are checked as arrays; each run once took a comparison of its own."""
+    from txrisk.llm import paragraphs
+
+    a = words(1, 3000)
+    b = a[:1500] + ["other"] + a[1501:]
+    found = common_passages(" ".join(a), " ".join(b))
+    assert {(0, 1500, 1500), (1501, 3000, 1499)} <= set(found) and len(found) == 3
+    assert common_passages(" ".join(a), " ".join(a)) == [(0, 3000, 3000)]
+    monkeypatch.setattr(paragraphs, "COMPARED", 7)
+    assert common_passages(" ".join(a), " ".join(b)) == found
+
+
 def test_cut_text():
     text = "one two  three\n\nfour five\n six seven "
     assert cut_text(text, [], []) == text

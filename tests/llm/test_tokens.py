@@ -119,3 +119,24 @@ def test_empty_tables(spark, no_docs):
     prepare(spark)
     assert token_counts(no_docs, vocabulary_path()).count() == 0
     assert codec_digests(no_docs.select("doc_id", "text"), vocabulary_path()).count() == 0
+
+
+def test_what_a_task_remembers_goes_with_it():
+    import gc
+    import weakref
+
+    from txrisk.llm import bpe_codec
+    from txrisk.llm.queries import vocabulary_path
+    from txrisk.llm.tokenizer import read_vocabulary
+
+    data = read_vocabulary(vocabulary_path())
+    first = bpe_codec.worker_codec(data)
+    ids = first.encode(["some words of a text"])
+    assert first.known and first.trie.steps
+    second = bpe_codec.worker_codec(data)
+    assert not second.known and not second.trie.steps and not second.trie.apart
+    assert second.vocab is first.vocab and second.encode(["some words of a text"]) == ids
+    gone = weakref.ref(first)
+    del first
+    gc.collect()
+    assert gone() is None

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import hashlib
 from array import array
+from copy import copy
 
 from pyspark.sql import DataFrame
 
 from txrisk.llm.common import append
 from txrisk.llm.tokenizer import WORD_END, Vocabulary, read_vocabulary, vocabulary
 
-# Bounds of a worker's tables; emptied beyond, which costs time only.
+# Bounds of a task's tables; emptied beyond, which costs time only.
 CACHE_PIECES = 500_000
 CACHE_PAIRS = 400_000
 # A word's last character is moved by this much, so that it is another symbol than inside a word.
@@ -143,6 +144,13 @@ class Codec:
         self.digits = [str(i) for i in range(vocab.size)]
         self.known: dict[str, bytes] = {}  # ids as 32-bit numbers, the compactest form here
 
+    def emptied(self) -> Codec:
+        """The same vocabulary with tables of its own."""
+        out = copy(self)
+        out.trie, out.known = copy(self.trie), {}
+        out.trie.steps, out.trie.apart = {}, {}
+        return out
+
     def encode(self, texts: list[str]) -> list[list[int]]:
         known = self.known
         if len(known) > CACHE_PIECES:
@@ -177,11 +185,14 @@ _codecs: dict[str, Codec] = {}
 
 
 def worker_codec(data: str) -> Codec:
-    """One per Python worker."""
+    """One for each task: the vocabulary is read once per Python worker, what is remembered of texts goes with the task.
+
+    Workers live on and serve later stages, whose memory it would take.
+    """
     if data not in _codecs:
         _codecs.clear()
         _codecs[data] = Codec(vocabulary(data))
-    return _codecs[data]
+    return _codecs[data].emptied()
 
 
 def encode_decode(docs: DataFrame, path: str, prefix: str = "") -> DataFrame:

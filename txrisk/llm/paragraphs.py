@@ -57,14 +57,10 @@ def paragraphs_of(text: str) -> list[str]:
 
 
 def word_list(paragraph: str) -> list[bytes]:
+    """The words of a line, or those of all lines: a line end parts words, and no letter's lower case depends on what lies behind one."""
     return paragraph.lower().encode("utf-8", "replace").split()
 
 
-def words_of(text: str) -> list[bytes]:
-    """The words of all lines: a line end parts words too, and no letter's lower case depends on what lies behind one."""
-    return word_list(text)
-
-
 def word_lines(text: str) -> list[list[bytes]]:
     """``word_list`` of each line."""
     return [line.split() for line in text.lower().encode("utf-8", "replace").split(b"\n")]
@@ -267,7 +263,7 @@ def extension(same: np.ndarray) -> int:
 def numbered(texts: tuple[str, str]) -> list[np.ndarray]:
     """The words of both texts as numbers that are equal where the words are."""
     numbers: dict[bytes, int] = defaultdict(count().__next__)
-    return [np.fromiter(map(numbers.__getitem__, w), np.uint64, len(w)) for w in map(words_of, texts)]
+    return [np.fromiter(map(numbers.__getitem__, w), np.uint64, len(w)) for w in map(word_list, texts)]
 
 
 def common_runs(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
@@ -296,7 +292,7 @@ def common_passages(text: str, kept: str) -> list[tuple[int, int, int]]:
     or missing words are one passage if these are at most ``GAP`` and a quarter of either stretch.
     """
     if text == kept:
-        n = len(words_of(text))
+        n = len(word_list(text))
         return [(0, n, n)] if n >= PASSAGE else []
     a, b = numbered((text, kept))
     if min(len(a), len(b)) < PASSAGE:
@@ -365,7 +361,7 @@ def passage_pairs(docs: DataFrame, blocks: DataFrame) -> DataFrame:
         for batch in batches:
             lists = batch.column(2)
             for i, (doc, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
-                hashes = word_hashes(words_of(text))
+                hashes = word_hashes(word_list(text))
                 runs = long_run_hashes(hashes, PASSAGE)
                 if not len(runs):
                     continue
