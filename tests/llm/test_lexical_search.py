@@ -1,9 +1,11 @@
 import math
+import os
 import random
 import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from txrisk.llm import lexical_search, queries
@@ -133,3 +135,46 @@ def test_query_against_brute_force(spark, sf_docs):
 @pytest.mark.parametrize("n", [3 * 10**9])
 def test_lengths_beyond_64_bits(n):
     assert 10 + 90 * n * n // 7 > 2**63  # why a document's m is worked out in Python's whole numbers
+
+
+def test_batches_that_hold_the_ends_of_several_files():
+    """A task reads files one after another, each with its longest vectors first; short ones before long ones hide none."""
+    r = np.random.default_rng(2)
+    n = 1500
+    impacts = r.integers(50_000, 100_000, n)
+    impacts[:900] //= 50
+    length = np.sqrt(1000 * impacts.astype(float) ** 2)
+    q = lexical_search.Queries([0], [np.arange(1)], {}, np.full(1, 1000))
+    q.threshold = np.array([1000 * 90_000])
+    searcher = lexical_search.Searcher(q, 3)
+    searcher.add(list(range(n)), length, np.zeros(n, np.int64), impacts, np.ones(n, np.int64))
+    best = sorted((-1000 * int(i), d) for d, i in enumerate(impacts))[:3]
+    assert [(-s, d) for _, s, d in searcher.rows()] == best
+
+
+def test_a_block_is_searched_when_it_returns(spark, monkeypatch):
+    """What it wrote on the way is gone; a plan that reads the result searches nothing, however many blocks there are."""
+    prepare(spark)
+    kept, files = lexical_search.keep, {}
+
+    def noted(df, name):
+        out = kept(df, name)
+        files[name] = [f.removeprefix("file://") for f in out.inputFiles()]
+        return out
+
+    monkeypatch.setattr(lexical_search, "keep", noted)
+    docs = spark.createDataFrame(some_docs(7, 60), "doc_id long, text string")
+    items = spark.createDataFrame(some_docs(8, 5, 12), "item_id long, text string")
+    found = rank_documents(docs, items, 3)
+    assert "MapInArrow" not in found._jdf.queryExecution().toString()
+    left = {name: [f for f in names if os.path.exists(f)] for name, names in files.items()}
+    assert files["impact-vectors"] and not left["impact-vectors"] and not left["term-counts"] and not left["first-found"]
+    assert left["found"] == files["found"] and found.count() == found.count() > 0
+
+
+def test_a_task_of_many_batches():
+    """Pieces grow to whole batches, and no further however many batches come."""
+    batches = [pa.RecordBatch.from_pydict({"n": list(range(i, i + 300))}) for i in range(0, 60_000, 300)]
+    pieces = list(lexical_search._growing(iter(batches)))
+    assert pa.Table.from_batches(pieces)["n"].to_pylist() == list(range(60_000))
+    assert [p.num_rows for p in pieces[:4]] == [128, 172, 300, 300] and pieces[-1].num_rows == 300

@@ -10,15 +10,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from txrisk.llm.common import Batches, emit, keep, prepare, spans
+from txrisk.llm.common import Batches, discard, emit, keep, prepare, spans
 
 # (item, term) pairs that are searched at once; more items are searched in several passes. Bounds what is broadcast.
 BLOCK_PAIRS = 400_000
 # The buckets of the longest vectors, this many at least, are searched first: all others start from their thresholds.
 FIRST_ROWS = 4096
-# Buckets of lengths for that choice, per doubling of the length.
-STEPS = 8
-# Rows of a bucket inside a task, all of about one length.
+# Buckets of lengths for that choice, per doubling of the length: so fine that the last one adds few vectors.
+STEPS = 256
+# Rows of a task's first piece.
 BUCKET_ROWS = 128
 # Columns of a batch that are kept for other items.
 COLUMNS = 500
@@ -130,11 +130,11 @@ def weigh(queries: Queries, counted: DataFrame) -> Queries:
 
 
 def impact_vectors(counted: DataFrame, queries: Queries) -> DataFrame:
-    """``doc_id, length, terms, impacts`` of each document that has a weighty term of the block, longest vectors first.
+    """``doc_id, length, terms, impacts`` of each document that has a weighty term of the block, each file's longest first.
 
     A coordinate is the impact times the root of the term's weight, as is an item's the root of the weight, so
-    that their product is the score. The range partitions are cut by length and a hash of the row, which cuts
-    through any number of equal lengths.
+    that their product is the score. Long vectors cost most of the search, so rows are dealt by a hash that
+    knows no length: every file holds its share of each.
     """
     shared = counted.sparkSession.sparkContext.broadcast((queries.weight, queries.n_docs, queries.n_terms))
     fields = [("doc_id", pa.int64()), ("length", pa.float64()), ("row", pa.int64())]
@@ -161,9 +161,8 @@ def impact_vectors(counted: DataFrame, queries: Queries) -> DataFrame:
     vectors = counted.where("size(terms) > 0").mapInArrow(
         run, "doc_id bigint, length double, row bigint, terms array<int>, impacts array<bigint>"
     )
-    by_length = F.col("length").desc()
-    spread = vectors.where("length > 0").repartitionByRange(by_length, F.xxhash64("doc_id", "row"))
-    return spread.sortWithinPartitions(by_length).drop("row")
+    spread = vectors.where("length > 0").repartition(F.xxhash64("doc_id", "row"))
+    return spread.sortWithinPartitions(F.col("length").desc()).drop("row")
 
 
 class Searcher:
@@ -183,7 +182,7 @@ class Searcher:
         self.compared = 0
 
     def add(self, ids: list, length: np.ndarray, terms: np.ndarray, impacts: np.ndarray, sizes: np.ndarray) -> None:
-        """Search a batch of vectors, longest first."""
+        """Search a batch of vectors, in any order."""
         at = spans(sizes)
         row = np.repeat(np.arange(len(sizes)), sizes)
         contribution = self.q.weight[terms] * impacts
@@ -203,14 +202,12 @@ class Searcher:
             return columns[t]
 
         member = np.zeros(len(self.q.weight), dtype=bool)
-        heads = length[::BUCKET_ROWS]  # the longest vector of each bucket
         for i, mine in enumerate(self.q.terms):
             norm, threshold = self.norm[i], self.threshold[i]
             if not norm:
                 continue  # all its terms weigh nothing
-            # Cauchy and Schwarz: no vector of a bucket can reach the threshold if its longest cannot.
-            buckets = int(np.searchsorted(-heads * norm * (1 + SLACK), -threshold, side="right"))
-            rows = np.arange(min(buckets * BUCKET_ROWS, len(sizes)))
+            # Cauchy and Schwarz. A task reads several files, so a batch may hold the end of one and the longest of the next.
+            rows = np.flatnonzero(length * (norm * (1 + SLACK)) >= threshold)
             if threshold > 0 and len(rows):
                 # The cosine a vector needs bounds its coordinates: what those looked at give, and at most the
                 # product of what is left of both unit vectors, must reach it.
@@ -260,7 +257,9 @@ def _growing(batches: Batches) -> Batches:
         at = 0
         while at < batch.num_rows:
             yield batch.slice(at, size)
-            at, size = at + size, 2 * size
+            at += size
+            if size < batch.num_rows:  # else it would outgrow 64 bits in a task of many batches
+                size *= 2
 
 
 def _search(vectors: DataFrame, queries: Queries, k: int) -> DataFrame:
@@ -300,6 +299,7 @@ def search_block(docs: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
     counted = keep(count_terms(docs, queries.dictionary), "term-counts")
     queries = weigh(queries, counted)
     vectors = keep(impact_vectors(counted, queries), "impact-vectors")
+    discard(counted)
     cut = _first_length(vectors)
     first = keep(_top(_search(vectors.where(F.col("length") >= cut), queries, k), k), "first-found")
     # The k-th best score among some documents is a lower bound of that among all. At most k rows an item.
@@ -310,7 +310,9 @@ def search_block(docs: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
         if len(scores) >= k:
             queries.threshold[i] = min(scores)
     rest = _search(vectors.where(F.col("length") < cut), queries, k)
-    best = _top(first.select(rest.columns).unionByName(rest), k)
+    # Kept, so that the caller's plan searches nothing: there blocks would run at once, and hold up the names' broadcast.
+    best = keep(_top(first.select(rest.columns).unionByName(rest), k), "found")
+    discard(vectors, first)
     names = spark.createDataFrame(list(enumerate(queries.ids)), f"item int, item_id {_kind(pairs)}")
     # One row per item of the block.
     return best.join(F.broadcast(names), "item").select("item_id", F.col("rank").cast("int").alias("rank"), "doc_id", "score")
