@@ -2,6 +2,7 @@ import datetime as dt
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from txrisk.operators.features import feature_table
@@ -126,3 +127,111 @@ def test_seconds_of_several_days_are_parted_by_day():
         entries["at"] = [day * DAY_SECONDS, (day + 1) * DAY_SECONDS - 1]
         days[day] = entries.tobytes()
     assert by_day(b"".join(days.values())) == days and by_day(b"") == {}
+
+
+class Store:
+    """What a processor's handle gives, without a stream; counts the calls."""
+
+    def __init__(self):
+        self.value, self.map, self.calls = None, {}, 0
+
+    def getValueState(self, *_):
+        return self
+
+    getMapState = getValueState
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls += 1
+        self.value = value
+
+    def getValue(self, key):
+        self.calls += 1
+        return self.map.get(key)
+
+    def updateValue(self, key, value):
+        self.calls += 1
+        self.map[key] = value
+
+    def removeKey(self, key):
+        self.calls += 1
+        del self.map[key]
+
+
+class Clock:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentProcessingTimeInMs(self):
+        return self.ms
+
+
+def bucket_rows(n, keys, days, seed):
+    rows = random_rows(n, days, seed)
+    r = np.random.default_rng(seed)
+    rows["id"] = r.integers(0, keys, n) * 1_000_003
+    rows["sec"] -= 20 * 86400  # before 1970 as well
+    rows["message_day"] = (rows["sec"] // 86400).where(r.random(n) < 0.9)
+    rows["payload"] = [str(i) for i in range(n)]
+    return rows
+
+
+def fed(processor, rows, ms):
+    return pd.concat(processor.handleInputRows((3,), iter([rows[:7], rows[7:]]), Clock(ms)), ignore_index=True)
+
+
+@pytest.mark.parametrize("together", [0, 1 << 30])
+def test_keys_of_a_bucket_do_not_meet(monkeypatch, together):
+    """A bucket gives each key what a bucket of its own gives it, and keeps as much."""
+    from txrisk.streaming import keyed
+
+    monkeypatch.setattr(keyed, "TOGETHER", together)
+    rows = bucket_rows(900, 40, 90, 3).sort_values("sec", kind="stable", ignore_index=True)
+    one, store = keyed.Windows(MEASURES, ("payload",)), Store()
+    one.init(store)
+    single = {k: (keyed.Windows(MEASURES, ("payload",)), Store()) for k in rows["id"].unique()}
+    for p, s in single.values():
+        p.init(s)
+    for a, b in ((0, 300), (300, 301), (301, 700), (700, 900)):
+        part = rows[a:b].reset_index(drop=True)
+        found = fed(one, part, a)
+        apart = pd.concat([fed(single[k][0], g.reset_index(drop=True), a) for k, g in part.groupby("id")])
+        pd.testing.assert_frame_equal(found, apart.set_index("payload").loc[found["payload"]].reset_index(), rtol=1e-12)
+    kept = [np.frombuffer(s.value[1], dtype=DAY) for _, s in single.values()]
+    totals = np.frombuffer(store.value[1], dtype=DAY)
+    assert len(totals) == sum(map(len, kept)) and totals["n"].sum() == sum(k["n"].sum() for k in kept)
+    if not together:
+        size = sum(len(v[0]) for v in store.map.values())
+        assert size == sum(len(v[0]) for _, s in single.values() for v in s.map.values())
+
+
+def test_calls_to_the_store_do_not_grow_with_the_keys():
+    from txrisk.streaming import keyed
+
+    processor, store = keyed.Windows(MEASURES, ("payload",)), Store()
+    processor.init(store)
+    for ms in (0, 1):
+        found = fed(processor, bucket_rows(3000, 1000, 5, 9), ms)
+    assert len(found) == 3000 and store.calls < 60
+
+
+def test_an_idle_key_goes_and_its_era_is_free_again():
+    from txrisk.streaming import keyed
+
+    def row(key, day):
+        return pd.DataFrame({"id": [key], "sec": [day * 86400], "amount": 1.0, "fraud": 0.0, "message_day": float(day), "payload": "x"})
+
+    processor, store = keyed.Windows(MEASURES, ("payload",)), Store()
+    processor.init(store)
+    fed(processor, row(5, 100), 0)
+    assert fed(processor, row(6, 100), 10)["n_30"].tolist() == [1]
+    assert fed(processor, row(6, 101), keyed.KEY_LIFE_MS)["n_30"].tolist() == [2]
+    keys = np.frombuffer(store.value[0], dtype=keyed.KEY)
+    assert keys["id"].tolist() == [6]
+    assert fed(processor, row(5, 101), keyed.KEY_LIFE_MS + 1)["n_30"].tolist() == [1]
+    keys = np.frombuffer(store.value[0], dtype=keyed.KEY)
+    assert keys["id"].tolist() == [5, 6] and keys["era"].tolist() == [0, 1]
+    assert np.frombuffer(store.value[1], dtype=DAY)["n"].sum() == 3
